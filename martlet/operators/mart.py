@@ -92,13 +92,15 @@ def entity_kpis(games: DataFrame, streams: DataFrame, key: str = "game_id",
                            keep_key=True, nulls=nulls)
     top = pop.limit(1).select(F.struct(F.col(name).alias("n"),
                                        F.col("total_viewers").alias("v")))
+    # count and mean of live streams in one pass over the (large) stream table
+    st = sl.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg(value).alias("a")))
     return spark.range(1, numPartitions=1).select(
         games.filter(live).agg(F.count_distinct(key)).scalar().cast("int")
         .alias("total_games"),
-        sl.agg(F.count(F.lit(1))).scalar().cast("int").alias("total_active_streams"),
-        sl.agg(F.avg(value)).scalar().alias("avg_viewers_per_stream"),
+        st.scalar().alias("_st"),
         top.scalar().alias("_top"),
-    ).select("total_games", "total_active_streams", "avg_viewers_per_stream",
+    ).select("total_games", F.col("_st.n").cast("int").alias("total_active_streams"),
+             F.col("_st.a").alias("avg_viewers_per_stream"),
              F.col("_top.n").alias("top_game"),
              F.col("_top.v").cast("bigint").alias("top_game_viewers"))
 

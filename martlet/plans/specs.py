@@ -125,8 +125,10 @@ def clean_kind(df: DataFrame, r: KindRules) -> DataFrame:
         df = df.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in anys]))
     key = [k for k in r.key if k in df.columns]
     if key and len(key) == len(r.key):
+        named = {o if isinstance(o, str) else o[0] for o in r.order
+                 if isinstance(o, (str, tuple))}
         tie = [c for c in df.columns
-               if c not in key and _orderable(df.schema[c].dataType)]
+               if c not in key and c not in named and _orderable(df.schema[c].dataType)]
         df = keep_first(df, key, list(r.order) + tie)
     drops = [c for c in r.drop if c in df.columns]
     return df.drop(*drops) if drops else df
