@@ -31,7 +31,7 @@ from martlet.functions import (
 )
 from martlet.operators import (
     keep_first, top_k_per_key, distinct_values, split_by_kind, union_kinds,
-    first_match_lookup, unmatched_titles, null_blank_share, quality_report,
+    first_match_lookup, unmatched_titles, enrich_children, null_blank_share, quality_report,
     not_null_violations, unique_violations, fk_violations,
     max_length_violations, constraint_summary, popular_entities, entity_kpis,
     load_summary, log_kpis, duration_view, casted_view, count_per_category,
@@ -816,3 +816,73 @@ FROM part""")
 def q_clean_pokedex(spark, d):
     out = clean(raw_pokedex(spark, d), POKEDEX, run_id=_RUN).drop("dw_fecha_registro", "types")
     return _ntz(out, "extraction_time")
+
+
+# ------------------------------------------ extraction shape and sinks
+@query("top_entity_children", """
+WITH p AS (SELECT p_partkey AS game_id, p_name AS game_name FROM part
+           ORDER BY p_retailprice DESC, p_partkey LIMIT 200),
+     c AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS stream_id,
+                  l_partkey AS game_id, CAST(l_quantity AS INTEGER) AS viewer_count FROM lineitem)
+SELECT c.game_id, c.stream_id, p.game_name, c.viewer_count
+FROM c JOIN p ON c.game_id = p.game_id
+QUALIFY row_number() OVER (PARTITION BY c.game_id ORDER BY c.viewer_count DESC, c.stream_id) <= 50""")
+def q_top_entity_children(spark, d):
+    """Top 200 games, then at most 50 streams each, the stream's game name
+    falling back to the game's (S3, S5, J2). The caps are the feature."""
+    parents = (read_table(spark, d, "part", ["p_partkey", "p_name", "p_retailprice"])
+               .orderBy(F.desc("p_retailprice"), "p_partkey").limit(200)
+               .select(F.col("p_partkey").alias("game_id"), F.col("p_name").alias("game_name")))
+    kids = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey",
+                                             "l_quantity"]).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("stream_id"),
+        F.col("l_partkey").alias("game_id"),
+        F.lit(None).cast("string").alias("game_name"),
+        F.col("l_quantity").cast("int").alias("viewer_count"))
+    out = enrich_children(parents, kids, "game_id", "game_name", per_key_limit=50,
+                          order=[("viewer_count", "desc"), "stream_id"])
+    return out.select("game_id", "stream_id", "game_name", "viewer_count")
+
+
+@query("csv_round_trip", """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name,
+       '[' || array_to_string(string_split(p_name, ' '), ', ') || ']' AS types FROM part""")
+def q_csv_round_trip(spark, d):
+    """CSV export with an array column written as text, read back (K2)."""
+    from martlet.sinks import export_csv
+    p = read_table(spark, d, "part", ["p_partkey", "p_name"]).withColumn(
+        "types", F.split("p_name", " "))
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    export_csv(p, path)
+    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+
+
+@query("parquet_round_trip", "SELECT * FROM orders")
+def q_parquet_round_trip(spark, d):
+    """Partitioned Parquet write and read back (K1): the partition column
+    comes back from the directory names."""
+    path = scratch_path(spark, f"parquet-{uuid.uuid4().hex}")
+    write_parquet(read_table(spark, d, "orders"), path, partition_by=["o_orderstatus"])
+    return spark.read.parquet(path)
+
+
+@query("clean_profiles", f"""
+SELECT 'profile' AS record_type, c_name AS username, c_mktsegment AS format,
+       CAST(NULL AS DOUBLE) AS gxe, c_acctbal AS rating, c_nationkey AS levels,
+       CAST('2025-06-10T19:45:49' AS TIMESTAMP) AS extraction_time,
+       '{_RUN}' AS dw_id_carga, FALSE AS dw_deleted, 'SHOWDOWN' AS dw_source,
+       'showdown_api' AS dw_endpoint
+FROM customer""")
+def q_clean_profiles(spark, d):
+    """Ladder/profile cleaning (P29, P18): key (username, format), text
+    ratings to double, levels to int, blank gxe to NULL."""
+    from martlet.plans.specs import PROFILES
+    c = read_table(spark, d, "customer", ["c_name", "c_mktsegment", "c_acctbal", "c_nationkey"])
+    raw = c.select(F.lit("profile").alias("record_type"), F.col("c_name").alias("username"),
+                   F.col("c_mktsegment").alias("format"), F.lit("").alias("gxe"),
+                   F.col("c_acctbal").cast("string").alias("rating"),
+                   F.col("c_nationkey").cast("string").alias("levels"),
+                   F.lit("2025-06-10T19:45:49").alias("extraction_time"),
+                   F.lit("showdown").alias("source"), F.lit("users").alias("endpoint"))
+    out = clean(raw, PROFILES, run_id=_RUN).drop("dw_fecha_registro")
+    return _ntz(out, "extraction_time")
