@@ -51,17 +51,14 @@ def quality_report(df: DataFrame, source: str, keys: list[str] | None = None,
     and does not take part in the verdict.
     """
     cols = cols or df.columns
-    flags = [F.count_if(_missing(df, c)).alias(f"_z{i}") for i, c in enumerate(cols)]
-    if keys:
-        g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *flags)
-        r = g.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_records"),
-                  F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint")
-                  .alias("duplicate_count"),
-                  *[F.coalesce(F.sum(f"_z{i}"), F.lit(0)).alias(f"_z{i}")
-                    for i in range(len(cols))])
-    else:
-        r = df.agg(F.count(F.lit(1)).alias("total_records"),
-                   F.lit(None).cast("bigint").alias("duplicate_count"), *flags)
+    # null/blank counts: one global aggregate (map-side partials, no shuffle
+    # of rows); duplicates: a keyed aggregate over the key columns only, so
+    # a unique key shuffles nothing but the key itself.
+    r = df.agg(F.count(F.lit(1)).alias("total_records"),
+               *[F.count_if(_missing(df, c)).alias(f"_z{i}") for i, c in enumerate(cols)])
+    dup = (duplicate_count(df, keys).scalar() if keys
+           else F.lit(None).cast("bigint"))
+    r = r.select("*", dup.alias("duplicate_count"))
     pcts = [_pct(F.col(f"_z{i}"), F.col("total_records")) for i in range(len(cols))]
     pairs = []
     for c, p in zip(cols, pcts):

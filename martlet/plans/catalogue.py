@@ -18,7 +18,7 @@ derived deterministically inside both the query and its SQL.
 
 from __future__ import annotations
 
-import os
+import functools
 import uuid
 from typing import Callable
 
@@ -43,7 +43,7 @@ from martlet.plans.specs import clean, TWITCH, HLTB, POKEDEX
 from martlet.session import scratch_path
 from martlet.sinks import write_parquet, append_new_rows
 from martlet.sources import read_table, conform_to_schema, flatten_keyed_objects
-from martlet.sources.schemas import _schema, S, L, I
+from martlet.sources.schemas import schema_of, S, L, I
 from pyspark.sql.types import DecimalType
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,8 +52,15 @@ ORACLE: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
+    """Register a catalogue query (and its SQL twin). The registered callable
+    pins the session time zone to UTC, the library's contract for parsing
+    naive and ``Z``-marked stamps (T4, T5)."""
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        REGISTRY[name] = run
         if sql is not None:
             ORACLE[name] = sql.strip()
         return fn
@@ -302,11 +309,10 @@ def q_usage_ranking(spark, d):
 
 # ------------------------------------------------------ cleaning rules
 def _prio_raw():
-    return F.when(F.col("o_orderkey") % 7 == 0, F.lit("")) \
-    .when(F.col("o_orderkey") % 7 == 1, F.lit("   ")) \
-    .when(F.col("o_orderkey") % 7 == 2,
-          F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" "))) \
-    .otherwise(F.col("o_orderpriority"))
+    k = F.col("o_orderkey") % 7
+    return (F.when(k == 0, F.lit("")).when(k == 1, F.lit("   "))
+            .when(k == 2, F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" ")))
+            .otherwise(F.col("o_orderpriority")))
 _PRIO_RAW_SQL = """CASE o_orderkey % 7 WHEN 0 THEN '' WHEN 1 THEN '   '
        WHEN 2 THEN '  ' || o_orderpriority || ' ' ELSE o_orderpriority END"""
 
@@ -476,11 +482,12 @@ def q_distinct_limit(spark, d):
 
 # ------------------------------------------------------------------ lookup
 def _title():
-    return F.when(F.col("p_partkey") % 5 == 0, F.upper("p_name")) \
-    .when(F.col("p_partkey") % 5 == 1, F.concat(F.lit("  "), F.col("p_name"), F.lit("  "))) \
-    .when(F.col("p_partkey") % 5 == 2, F.expr("substr(p_name, 1, length(p_name) - 1)")) \
-    .when(F.col("p_partkey") % 5 == 3, F.regexp_replace("p_name", " ", "")) \
-    .otherwise(F.concat(F.col("p_name"), F.lit(" remastered")))
+    k, n = F.col("p_partkey") % 5, F.col("p_name")
+    return (F.when(k == 0, F.upper(n))
+            .when(k == 1, F.concat(F.lit("  "), n, F.lit("  ")))
+            .when(k == 2, F.substr(n, F.lit(1), F.length(n) - 1))
+            .when(k == 3, F.regexp_replace(n, " ", ""))
+            .otherwise(F.concat(n, F.lit(" remastered"))))
 _TITLES_SQL = """SELECT DISTINCT CASE p_partkey % 5 WHEN 0 THEN upper(p_name)
        WHEN 1 THEN '  ' || p_name || '  ' WHEN 2 THEN substr(p_name, 1, length(p_name) - 1)
        WHEN 3 THEN replace(p_name, ' ', '') ELSE p_name || ' remastered' END AS title FROM part"""
@@ -608,7 +615,7 @@ SELECT o_orderkey, o_custkey, TRY_CAST(o_totalprice AS DECIMAL(18,2)) AS o_total
        'SUCCESS' AS status, 0 AS records_count, CAST(NULL AS VARCHAR) AS note FROM orders""")
 def q_conform_defaults(spark, d):
     o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
-    target = _schema(("o_orderkey", L), ("o_custkey", L), ("o_totalprice", DecimalType(18, 2)),
+    target = schema_of(("o_orderkey", L), ("o_custkey", L), ("o_totalprice", DecimalType(18, 2)),
                      ("status", S), ("records_count", I), ("note", S))
     return conform_to_schema(o, target, defaults={"status": "SUCCESS", "records_count": 0})
 
@@ -644,7 +651,7 @@ def q_idempotent_append(spark, d):
 _RUN = "r0001"
 def _url():
     return F.when(F.col("p_partkey") % 3 == 0, F.lit("")).otherwise(
-    F.concat(F.lit("https://img.example/"), F.col("p_brand"), F.lit("-{width}x{height}.jpg")))
+        F.concat(F.lit("https://img.example/"), F.col("p_brand"), F.lit("-{width}x{height}.jpg")))
 _URL_SQL = ("CASE WHEN p_partkey % 3 = 0 THEN '' ELSE 'https://img.example/' || p_brand "
             "|| '-{width}x{height}.jpg' END")
 

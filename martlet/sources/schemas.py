@@ -14,33 +14,33 @@ from pyspark.sql.types import (
 S, L, D, I, TS = StringType(), LongType(), DoubleType(), IntegerType(), TimestampType()
 
 
-def _schema(*fields: tuple[str, DataType]) -> StructType:
+def schema_of(*fields: tuple[str, DataType]) -> StructType:
     return StructType([StructField(n, t, True) for n, t in fields])
 
 
 _LINEAGE = (("extraction_time", S), ("source", S), ("endpoint", S))
 
-GAMES = _schema(("record_type", S), ("game_id", S), ("game_name", S),
+GAMES = schema_of(("record_type", S), ("game_id", S), ("game_name", S),
                 ("box_art_url", S), *_LINEAGE)
 
-STREAMS = _schema(("record_type", S), ("stream_id", S), ("stream_title", S),
+STREAMS = schema_of(("record_type", S), ("stream_id", S), ("stream_title", S),
                   ("game_id", S), ("game_name", S), ("user_id", S),
                   ("user_name", S), ("viewer_count", L), ("started_at", S),
                   ("language", S), *_LINEAGE)
 
-POKEDEX = _schema(("record_type", S), ("pokemon_id", S), ("name", S),
+POKEDEX = schema_of(("record_type", S), ("pokemon_id", S), ("name", S),
                   ("types", ArrayType(S)), ("baseStats", MapType(S, I)),
                   ("abilities", MapType(S, S)), *_LINEAGE)
 
-HLTB = _schema(("record_type", S), ("game_name", S), ("game_image_url", S),
+HLTB = schema_of(("record_type", S), ("game_name", S), ("game_image_url", S),
                ("review_score", D), ("main_story", D), ("main_extra", D),
                ("completionist", D), *_LINEAGE)
 
-PROFILES = _schema(("record_type", S), ("username", S), ("format", S),
+PROFILES = schema_of(("record_type", S), ("username", S), ("format", S),
                    ("gxe", S), ("rating", S), ("levels", S), *_LINEAGE)
 
 # One row per pipeline step (K6/K7/K9). duration_seconds is derived.
-AUDIT = _schema(("run_id", S), ("step", S), ("load_start_time", TS),
+AUDIT = schema_of(("run_id", S), ("step", S), ("load_start_time", TS),
                 ("load_end_time", TS), ("records_count", L), ("source", S),
                 ("endpoint", S), ("output_file", S), ("status", S),
                 ("error_message", S))

@@ -26,6 +26,7 @@ def test_query_runs_without_python_udfs(spark, name):
     df.count()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_kind_filter_and_pruning_reach_scan(spark):

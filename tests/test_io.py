@@ -12,7 +12,7 @@ from martlet.sources import (
     GAMES, STREAMS, conform_to_schema, flatten_keyed_objects, point_read, read_json,
     read_pages, stamp_batch_time,
 )
-from martlet.sources.schemas import _schema, S, L, I
+from martlet.sources.schemas import schema_of, S, L, I
 
 
 def test_parquet_round_trip_and_point_read(spark, tmp_dir):
@@ -49,7 +49,7 @@ def test_paged_landing_and_keyed_objects(spark, tmp_dir):
         with open(os.path.join(d, f"page-{i:03d}.json"), "w") as f:
             json.dump({"data": [{"id": x, "name": x.upper()} for x in ids],
                        "pagination": {"cursor": f"c{i}"}}, f)
-    item = _schema(("id", S), ("name", S))
+    item = schema_of(("id", S), ("name", S))
     got = [r.id for r in read_pages(spark, d, item, limit=3).collect()]
     assert got == ["a", "b", "c"]
     obj = spark.createDataFrame([('{"bulbasaur": {"name": "Bulbasaur", "types": ["Grass"]},'
@@ -62,8 +62,8 @@ def test_paged_landing_and_keyed_objects(spark, tmp_dir):
 
 def test_conform_defaults_and_stamp(spark):
     df = spark.createDataFrame([("1", None)], "records_count string, source string")
-    target = _schema(("records_count", I), ("source", S), ("status", S), ("load_id", L))
-    r = conform_to_schema(df, target, {"status": "SUCCESS", "source": "UNKNOWN"}).first()
+    target = schema_of(("records_count", I), ("source", S), ("status", S), ("load_id", L))
+    r = conform_toschema_of(df, target, {"status": "SUCCESS", "source": "UNKNOWN"}).first()
     assert (r.records_count, r.source, r.status, r.load_id) == (1, None, "SUCCESS", None)
     assert stamp_batch_time(df, "t0").first().extraction_time == "t0"
 
@@ -93,7 +93,7 @@ def test_pipeline_rerun_is_idempotent(spark, tmp_dir):
     ]
     with open(os.path.join(land_dir, "part-0.json"), "w") as f:
         f.write("\n".join(json.dumps(r) for r in recs))
-    schema = _schema(*[(f.name, f.dataType) for f in STREAMS.fields] +
+    schema = schema_of(*[(f.name, f.dataType) for f in STREAMS.fields] +
                      [("box_art_url", S)])
     src = Landing("twitch", land_dir, schema)
     base = os.path.join(tmp_dir, "wh")
