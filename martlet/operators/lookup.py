@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martlet.functions.text import _c
 from martlet.operators.dedup import keep_first, top_k_per_key
+from martlet.session import checkpoint_dir
 
 
 def normalise_title(c) -> Column:
@@ -43,13 +44,19 @@ def deletion_variants(c, max_distance: int) -> Column:
 
 def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
                        title_col: str = "title", name_col: str = "name",
-                       id_col: str = "id", max_distance: int = 2) -> DataFrame:
+                       id_col: str = "id", max_distance: int = 2,
+                       materialize: bool = True) -> DataFrame:
     """Best catalogue entry for every distinct title.
 
     Rank: exact normalised match, then smallest edit distance (<= d), then
     smallest id. Titles with no entry within ``max_distance`` are absent
     (see :func:`unmatched_titles`). Output: title, match_id, match_name,
     distance.
+
+    The distinct titles and the de-duplicated catalogue are each used by the
+    exact join, the anti join and the variant join. With ``materialize``
+    they are computed once and written with ``checkpoint()`` to the shared
+    checkpoint folder, instead of being rescanned and reshuffled per use.
     """
     t = (titles.select(F.col(title_col).alias("title"))
          .filter(F.col("title").isNotNull()).distinct()
@@ -60,6 +67,9 @@ def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
     # one entry per normalised name: the smallest id (partial aggregation
     # map-side, so a name repeated a billion times is one row per task)
     best = keep_first(cat.filter(F.col("_ck").isNotNull()), ["_ck"], ["match_id"])
+    if materialize:
+        checkpoint_dir(titles.sparkSession)
+        t, best = t.checkpoint(eager=True), best.checkpoint(eager=True)
 
     exact = (t.join(best, t["_k"] == best["_ck"], "inner")
              .select("title", "match_id", "match_name",

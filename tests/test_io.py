@@ -108,3 +108,32 @@ def test_pipeline_rerun_is_idempotent(spark, tmp_dir):
     export_all(spark, ["twitch_games"], os.path.join(base, "core"), os.path.join(base, "csv"))
     assert spark.read.option("header", True).csv(os.path.join(base, "csv", "twitch_games")) \
         .count() == 1
+
+
+def test_publish_error_becomes_audit_row(spark, tmp_dir):
+    from martlet.plans.pipeline import publish
+    mart = os.path.join(tmp_dir, "core")
+    os.makedirs(mart)
+    with open(os.path.join(mart, "hltb_games"), "w") as f:  # a file where a table must go
+        f.write("not a table")
+    df = spark.createDataFrame([("G", "r1")], "game_name string, dw_id_carga string")
+    rows = publish(spark, df, "howlongtobeat", mart, "r1")
+    assert [r["status"] for r in rows] == ["ERROR"] and rows[0]["records_count"] == 0
+    assert rows[0]["error_message"]
+
+
+def test_cli_run_and_export(spark, tmp_dir):
+    from martlet.__main__ import LANDING_SCHEMAS
+    land = os.path.join(tmp_dir, "hltb")
+    os.makedirs(land)
+    with open(os.path.join(land, "a.json"), "w") as f:
+        f.write(json.dumps({"record_type": "hl_tb_time", "game_name": "Halo", "main_story": 9.5,
+                            "extraction_time": "2025-06-10T10:00:00"}))
+    from martlet.plans.pipeline import Landing, run_pipeline, export_all
+    base = os.path.join(tmp_dir, "wh")
+    logs = run_pipeline(spark, [Landing("howlongtobeat", land, LANDING_SCHEMAS["howlongtobeat"])],
+                        base, run_id="r1")
+    assert logs.filter("status = 'ERROR'").count() == 0
+    export_all(spark, ["hltb_games"], os.path.join(base, "core"), os.path.join(base, "csv"))
+    back = spark.read.option("header", True).csv(os.path.join(base, "csv", "hltb_games")).first()
+    assert (back.game_name, back.main_story) == ("Halo", "9.50")
