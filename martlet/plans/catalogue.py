@@ -658,7 +658,7 @@ _URL_SQL = ("CASE WHEN p_partkey % 3 = 0 THEN '' ELSE 'https://img.example/' ||
 
 def raw_twitch(spark, d) -> DataFrame:
     """Mixed games+streams landing as the extractor writes it, derived from
-    part (games; every 4th re-extracted a day later) and lineitem (streams)."""
+    part (games, extracted on two days) and lineitem (streams)."""
     p = read_table(spark, d, "part", ["p_partkey", "p_name", "p_brand"])
     k = F.col("p_partkey")
     name = F.when(k % 11 == 0, F.lit("")).when(
@@ -667,9 +667,13 @@ def raw_twitch(spark, d) -> DataFrame:
                   name.alias("game_name"), _url().alias("box_art_url"),
                   F.lit("2025-06-10T19:45:49.123456").alias("extraction_time"),
                   F.lit("twitch").alias("source"), F.lit("games/top").alias("endpoint"))
-    g2 = p.filter(k % 4 == 0).select(
+    # the whole list extracted again a day later: some names re-cased, some
+    # blank (then the older copy must win: filter before dedup, T1)
+    name2 = F.when(k % 11 == 5, F.lit("")).when(k % 4 == 0, F.upper("p_name")) \
+        .otherwise(F.col("p_name"))
+    g2 = p.select(
         F.lit("game").alias("record_type"), k.cast("string").alias("game_id"),
-        F.upper("p_name").alias("game_name"), _url().alias("box_art_url"),
+        name2.alias("game_name"), _url().alias("box_art_url"),
         F.lit("2025-06-11T08:00:00").alias("extraction_time"),
         F.lit("twitch").alias("source"), F.lit("games/top").alias("endpoint"))
     li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey",
@@ -706,8 +710,10 @@ WITH raw AS (
               ELSE p_name END AS game_name,
          {_URL_SQL} AS box_art_url, '2025-06-10T19:45:49.123456' AS extraction_time FROM part
   UNION ALL
-  SELECT 'game', CAST(p_partkey AS VARCHAR), upper(p_name), {_URL_SQL}, '2025-06-11T08:00:00'
-  FROM part WHERE p_partkey % 4 = 0),
+  SELECT 'game', CAST(p_partkey AS VARCHAR),
+         CASE WHEN p_partkey % 11 = 5 THEN '' WHEN p_partkey % 4 = 0 THEN upper(p_name)
+              ELSE p_name END,
+         {_URL_SQL}, '2025-06-11T08:00:00' FROM part),
 g AS (SELECT * FROM raw WHERE NULLIF(trim(game_name), '') IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY game_id
                                  ORDER BY CAST(extraction_time AS TIMESTAMP) DESC) = 1),
@@ -729,7 +735,7 @@ SELECT 'game' AS record_type, game_id, trim(game_name) AS game_name,
        NULLIF(box_art_url, '') AS box_art_url, CAST(extraction_time AS TIMESTAMP) AS extraction_time,
        CAST(NULL AS VARCHAR) AS stream_id, CAST(NULL AS VARCHAR) AS stream_title,
        CAST(NULL AS VARCHAR) AS user_id, CAST(NULL AS VARCHAR) AS user_name,
-       CAST(NULL AS BIGINT) AS viewer_count, CAST(NULL AS TIMESTAMP) AS started_at,
+       CAST(NULL AS INTEGER) AS viewer_count, CAST(NULL AS TIMESTAMP) AS started_at,
        CAST(NULL AS VARCHAR) AS language,
        '{_RUN}' AS dw_id_carga, FALSE AS dw_deleted, 'TWITCH' AS dw_source, 'twitch_api' AS dw_endpoint
 FROM g
