@@ -899,3 +899,26 @@ def q_clean_profiles(spark, d):
                    F.lit("showdown").alias("source"), F.lit("users").alias("endpoint"))
     out = clean(raw, PROFILES, run_id=_RUN).drop("dw_fecha_registro")
     return _ntz(out, "extraction_time")
+
+
+@query("reject_counts", """
+SELECT 'stream' AS kind, 'viewer_count' AS column_name,
+       COUNT(*) FILTER (WHERE event_type = 'signup') AS rejected FROM events
+UNION ALL
+SELECT 'stream', 'started_at', COUNT(*) FILTER (WHERE event_type = 'error') FROM events""")
+def q_reject_counts(spark, d):
+    """Per-column count of values that were present but did not convert
+    (T6), over a stream landing derived from events with text counts and
+    UTC stamps, some of them unparsable."""
+    from martlet.plans.specs import reject_counts
+    ev = read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    t = F.col("event_type")
+    raw = ev.select(
+        F.lit("stream").alias("record_type"), F.col("event_id").cast("string").alias("stream_id"),
+        F.concat(F.lit("user"), F.col("user_id")).alias("user_name"),
+        F.when(t == "signup", F.lit("n/a")).when(t == "view", F.lit(None).cast("string"))
+        .otherwise(F.floor("value").cast("bigint").cast("string")).alias("viewer_count"),
+        F.when(t == "error", F.lit("not a time"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("started_at"),
+        F.lit("2025-06-10T19:45:49").alias("extraction_time"))
+    return reject_counts(raw, TWITCH)

@@ -10,6 +10,7 @@ for that run (C7), so re-running a whole run changes nothing.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
 import uuid
 from dataclasses import dataclass
@@ -18,8 +19,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from martlet.operators.audit import audit_frame, observe_count
-from martlet.plans.specs import clean_source
-from martlet.sinks.writers import append_new_rows, export_csv, select_target_columns
+from martlet.plans.specs import SPECS, clean_source, reject_counts
+from martlet.sinks.writers import (
+    append_new_rows, export_csv, restamp_lineage, select_target_columns,
+)
 from martlet.sources.readers import read_json
 
 RUN_COL = "dw_id_carga"
@@ -85,11 +88,27 @@ def land(spark: SparkSession, src: Landing, raw_dir: str, run_id: str) -> dict:
             "records_count": n, "load_start_time": start, "load_end_time": _now()}
 
 
+def _raw(spark: SparkSession, name: str, raw_dir: str, run_id: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(raw_dir, name)).filter(
+        F.col(RUN_COL) == run_id).drop(RUN_COL)
+
+
 def clean_phase(spark: SparkSession, name: str, raw_dir: str, run_id: str) -> DataFrame:
     """This run's raw partition, cleaned by the source's spec."""
-    raw = spark.read.parquet(os.path.join(raw_dir, name)).filter(
-        F.col(RUN_COL) == run_id).drop(RUN_COL)
-    return clean_source(raw, name, run_id)
+    return clean_source(_raw(spark, name, raw_dir, run_id), name, run_id)
+
+
+def reject_audit(spark: SparkSession, name: str, raw_dir: str, run_id: str) -> dict:
+    """Audit row of the clean step: values present but not convertible are
+    NULL in the clean table and counted here, per column (T6)."""
+    start = _now()
+    rej = reject_counts(_raw(spark, name, raw_dir, run_id), SPECS[name.lower()]).collect()
+    total = sum(r.rejected for r in rej)  # bounded: one row per (kind, column)
+    msg = json.dumps({f"{r.kind}.{r.column_name}": r.rejected for r in rej}) if rej else None
+    return {"run_id": run_id, "step": "clean", "source": name.upper(),
+            "endpoint": f"clean/{name}", "output_file": None, "records_count": total,
+            "status": "SUCCESS", "error_message": msg,
+            "load_start_time": start, "load_end_time": _now()}
 
 
 def publish(spark: SparkSession, df: DataFrame, name: str, mart_dir: str,
@@ -104,6 +123,8 @@ def publish(spark: SparkSession, df: DataFrame, name: str, mart_dir: str,
             part = df if t.kind is None else df.filter(F.col("record_type") == t.kind)
             if t.columns:
                 part = select_target_columns(part, list(t.columns) + list(DW_COLS))
+            # lineage of the load, one rule for every source
+            part = restamp_lineage(part, name, f"load/core_{name}", run_id)
             existing = None
             if os.path.exists(path) or _exists(spark, path):
                 existing = spark.read.parquet(path).filter(F.col(RUN_COL) == run_id)
@@ -137,6 +158,7 @@ def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
     audit: list[dict] = []
     for src in landings:
         audit.append(land(spark, src, raw_dir, run_id))
+        audit.append(reject_audit(spark, src.name, raw_dir, run_id))
         cleaned = clean_phase(spark, src.name, raw_dir, run_id)
         pub = publish(spark, cleaned, src.name, mart_dir, run_id)
         audit += pub

@@ -227,6 +227,58 @@ SPECS = {
 }
 
 
+def _typed_rules(df: DataFrame, r: KindRules) -> dict[str, Column]:
+    """The rules of ``r`` that convert a value and can therefore reject one."""
+    have = set(df.columns)
+    conv: dict[str, Column] = {}
+    for c in r.null_to_zero:
+        conv[c] = casts.null_to_zero_int(c)
+    for c in r.positive_decimal:
+        # a positive value that does not fit decimal(6,2) is a reject; a
+        # non-positive one is "no data", not a reject
+        conv[c] = F.when(F.col(c).try_cast("double") <= 0, F.lit(0)).otherwise(
+            casts.positive_decimal(c))
+    for c in r.to_bool:
+        conv[c] = casts.to_bool(c)
+    for c in r.ints:
+        conv[c] = casts.safe_cast(c, "int")
+    for c in r.doubles:
+        conv[c] = casts.safe_cast(c, "double")
+    for c in r.timestamps:
+        if c in have and isinstance(df.schema[c].dataType, StringType):
+            conv[c] = casts.iso_to_timestamp(c)
+    for c in r.utc_timestamps:
+        if c in have and isinstance(df.schema[c].dataType, StringType):
+            conv[c] = casts.utc_to_timestamp(c)
+    return {c: e for c, e in conv.items() if c in have}
+
+
+def reject_counts(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Values that were present but did not convert, per (kind, column), in
+    one aggregate pass over the input (T6): long form (kind, column_name,
+    rejected); only columns with at least one reject are returned."""
+    df = normalize_column_names(df)
+    aggs, labels = [F.count(F.lit(1)).alias("_rows")], []
+    if ("extraction_time" in df.columns
+            and isinstance(df.schema["extraction_time"].dataType, StringType)):
+        aggs.append(F.count_if(casts.is_rejected(
+            "extraction_time", casts.iso_to_timestamp("extraction_time"))).alias("r_et"))
+        labels.append(("*", "extraction_time", "r_et"))
+    for i, r in enumerate(spec.kinds):
+        in_kind = F.lit(True) if r.kind is None else (F.col(spec.kind_col) == F.lit(r.kind))
+        for j, (c, conv) in enumerate(_typed_rules(df, r).items()):
+            a = f"r{i}_{j}"
+            aggs.append(F.count_if(in_kind & casts.is_rejected(c, conv)).alias(a))
+            labels.append((r.kind or "*", c, a))
+    if not labels:
+        return df.sparkSession.createDataFrame([], "kind string, column_name string, "
+                                                   "rejected bigint")
+    one = df.agg(*aggs)
+    rows = [F.struct(F.lit(k).alias("kind"), F.lit(c).alias("column_name"),
+                     F.col(a).alias("rejected")) for k, c, a in labels]
+    return one.select(F.inline(F.array(*rows))).filter(F.col("rejected") > 0)
+
+
 def clean_source(df: DataFrame, source: str, run_id: str | None = None) -> DataFrame:
     """Dispatch by source name, case-insensitive; unknown names raise."""
     spec = SPECS.get(source.lower())

@@ -102,7 +102,10 @@ def test_pipeline_rerun_is_idempotent(spark, tmp_dir):
     assert spark.read.parquet(os.path.join(base, "core", "twitch_games")).count() == 1
     assert spark.read.parquet(os.path.join(base, "core", "twitch_streams")).count() == 1
     last = {(r.step, r.source): r.records_count for r in logs.collect()}
-    assert last[("land", "TWITCH")] == 3
+    assert last[("land", "TWITCH")] == 3 and last[("clean", "TWITCH")] == 0
+    games = spark.read.parquet(os.path.join(base, "core", "twitch_games")).first()
+    assert (games.dw_source, games.dw_endpoint, games.dw_id_carga) == (
+        "TWITCH", "load/core_twitch", "r1")
     assert {r.status for r in spark.read.parquet(os.path.join(base, "etl_logs")).collect()} == {
         "SUCCESS"}
     export_all(spark, ["twitch_games"], os.path.join(base, "core"), os.path.join(base, "csv"))

@@ -3,7 +3,9 @@ from decimal import Decimal
 
 import pytest
 
-from martlet.plans.specs import clean, clean_source, TWITCH, HLTB, POKEDEX, PROFILES
+from martlet.plans.specs import (
+    clean, clean_source, reject_counts, TWITCH, HLTB, POKEDEX, PROFILES,
+)
 from martlet.sources import empty_frame, GAMES, STREAMS, POKEDEX as POKEDEX_SCHEMA, HLTB as HLTB_S
 from martlet.operators import union_kinds
 
@@ -91,3 +93,13 @@ def test_empty_input_and_dispatch(spark):
     assert clean(empty_frame(spark, GAMES), TWITCH).count() == 0
     with pytest.raises(ValueError):
         clean_source(empty_frame(spark, GAMES), "nope")
+
+
+def test_reject_counts(spark):
+    rej = {(r.kind, r.column_name): r.rejected
+           for r in reject_counts(_twitch_raw(spark), TWITCH).collect()}
+    assert rej == {("stream", "started_at"): 1}   # "not a time"; NULLs are not rejects
+    h = spark.createDataFrame([("hl_tb_time", "A", None, None, 10000.0, -1.0, None, "t", "h", "e")],
+                              HLTB_S)
+    rej = {(r.kind, r.column_name): r.rejected for r in reject_counts(h, HLTB).collect()}
+    assert rej == {("*", "main_story"): 1, ("*", "extraction_time"): 1}
