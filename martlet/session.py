@@ -51,12 +51,17 @@ def get_spark(app: str = "martlet", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator to a shared file system. Only
-    when it is unset (local runs, tests) do we create a private one.
+    On a cluster this is set by the operator to a shared file system and an
+    unset value is an error. Only in local mode (local runs, tests) do we
+    create a private one when it is unset.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a folder every executor "
+                "shares (HDFS, S3, ...); a machine-local folder does not survive on a cluster")
         d = tempfile.mkdtemp(prefix="martlet-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
