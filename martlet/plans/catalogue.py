@@ -922,3 +922,28 @@ def q_reject_counts(spark, d):
         .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("started_at"),
         F.lit("2025-06-10T19:45:49").alias("extraction_time"))
     return reject_counts(raw, TWITCH)
+
+
+@query("paged_collection", """
+SELECT p_partkey AS id, p_name AS name FROM part ORDER BY p_partkey LIMIT 200""")
+def q_paged_collection(spark, d):
+    """Paged listing (S2): the catalogue, listed by id, is landed as JSON
+    pages (``page=N`` folders, page N = ids 100N..100N+99, so a page holds
+    at most 100 items), then read back in page/position order and cut at the
+    first 200 items, as the collector does."""
+    from martlet.sources import read_pages
+    per_page = 100
+    p = read_table(spark, d, "part", ["p_partkey", "p_name"])
+    pages = (p.groupBy(F.floor(F.col("p_partkey") / per_page).alias("page"))
+             .agg(F.sort_array(F.collect_list(F.struct(
+                 F.col("p_partkey").alias("k"), F.col("p_name").alias("name")))).alias("_items"))
+             .select("page", F.transform("_items", lambda x: F.struct(
+                 x["k"].cast("string").alias("id"), x["name"].alias("name"))).alias("data"),
+                     F.struct(F.concat(F.lit("c"), F.col("page") + 1).alias("cursor"))
+                     .alias("pagination")))
+    path = scratch_path(spark, f"pages-{uuid.uuid4().hex}")
+    pages.write.partitionBy("page").json(path)
+    item = schema_of(("id", S), ("name", S))
+    got = read_pages(spark, path, item, limit=200, page_pattern=r"page=(-?\d+)",
+                     multi_line=False)
+    return got.select(F.col("id").cast("long").alias("id"), "name")

@@ -35,18 +35,21 @@ def read_json(spark: SparkSession, path: str, schema: StructType,
 
 def read_pages(spark: SparkSession, path: str, item_schema: StructType,
                limit: int | None = None,
-               page_pattern: str = r"(\d+)[^/]*$") -> DataFrame:
+               page_pattern: str = r"(\d+)[^/]*$",
+               multi_line: bool = True) -> DataFrame:
     """Paged API responses landed one page per file.
 
-    Each file holds ``{"data": [...], "pagination": {"cursor": ...}}``. Items
-    keep page order (page number parsed from the file name, then position in
-    the page); ``limit`` keeps the first n items overall, as the collector did.
+    Each file holds ``{"data": [...], "pagination": {"cursor": ...}}`` (one
+    object per file, or one per line with ``multi_line=False``). Items keep
+    page order (page number parsed from the file path with ``page_pattern``,
+    then position in the page); ``limit`` keeps the first n items overall, as
+    the collector did.
     """
     page_schema = StructType([
         StructField("data", ArrayType(item_schema), True),
         StructField("pagination",
                     StructType([StructField("cursor", StringType(), True)]), True)])
-    pages = (spark.read.schema(page_schema).option("multiLine", True).json(path)
+    pages = (spark.read.schema(page_schema).option("multiLine", multi_line).json(path)
              .withColumn("_page", F.regexp_extract(F.col("_metadata.file_path"),
                                                    page_pattern, 1).cast("long")))
     items = (pages.select("_page", F.posexplode("data").alias("_pos", "_item"))
