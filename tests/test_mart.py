@@ -65,6 +65,7 @@ def test_entity_kpis_single_row(spark):
     assert k.total_games == 4 and k.total_active_streams == 3  # NULL flag excluded (P19)
     assert abs(k.avg_viewers_per_stream - (100 + 50 + 10) / 3) < 1e-9
     assert (k.top_game, k.top_game_viewers) == ("Alpha", 150)
+    assert entity_kpis(games, streams, approx_distinct=True).first().total_games == 4
 
 
 def _logs(spark):
