@@ -16,7 +16,7 @@ from martlet.operators.quality import (  # noqa: F401
 from martlet.operators.mart import (  # noqa: F401
     popular_entities, entity_kpis, load_summary, log_kpis, duration_view,
     casted_view, count_per_category, mode_comparison, stat_leaders,
-    value_distribution, usage_ranking, live_rows,
+    value_distribution, usage_ranking, live_rows, longest,
 )
 from martlet.operators.audit import (  # noqa: F401
     with_audit_columns, with_duration_seconds, audit_frame, observe_count,

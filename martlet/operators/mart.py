@@ -145,6 +145,17 @@ def duration_view(df: DataFrame, measure: str = "main_story",
             .orderBy(F.desc_nulls_last(measure)))
 
 
+def longest(df: DataFrame, measure: str = "main_story", n: int = 10,
+            tie: list[str] | None = None, deleted: str | None = "dw_deleted") -> DataFrame:
+    """The n rows with the largest measure, ties by the ``tie`` columns
+    ascending, NULLs first (A13, "longest games"). Planned as
+    TakeOrderedAndProject: every task keeps n rows."""
+    if deleted:
+        df = df.filter(live_rows(deleted))
+    order = [F.desc_nulls_last(measure)] + [F.col(c).asc_nulls_first() for c in tie or []]
+    return df.filter(F.col(measure).isNotNull()).orderBy(*order).limit(n)
+
+
 def casted_view(df: DataFrame, text_col: str, out_col: str | None = None) -> DataFrame:
     """All columns plus the ISO text parsed to a timestamp; rows without the
     text dropped (P24)."""

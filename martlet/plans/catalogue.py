@@ -35,7 +35,7 @@ from martlet.operators import (
     not_null_violations, unique_violations, fk_violations,
     max_length_violations, constraint_summary, popular_entities, entity_kpis,
     load_summary, log_kpis, duration_view, casted_view, count_per_category,
-    mode_comparison, stat_leaders, value_distribution, usage_ranking,
+    mode_comparison, stat_leaders, value_distribution, usage_ranking, longest,
     with_audit_columns, with_duration_seconds,
 )
 from martlet.operators.audit import duration_seconds
@@ -947,3 +947,13 @@ def q_paged_collection(spark, d):
     got = read_pages(spark, path, item, limit=200, page_pattern=r"page=(-?\d+)",
                      multi_line=False)
     return got.select(F.col("id").cast("long").alias("id"), "name")
+
+
+@query("longest_games", f"""
+SELECT game_title, main_story, main_extra, completionist
+FROM ({_hours_sql()}) h WHERE dw_deleted = FALSE AND main_story IS NOT NULL
+ORDER BY main_story DESC, game_title, main_extra NULLS FIRST, completionist NULLS FIRST
+LIMIT 10""")
+def q_longest_games(spark, d):
+    return longest(hours(spark, d), "main_story", 10,
+                   tie=["game_title", "main_extra", "completionist"]).drop("dw_deleted")
