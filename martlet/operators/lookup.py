@@ -42,10 +42,51 @@ def deletion_variants(c, max_distance: int) -> Column:
     return F.array_distinct(F.concat(*levels))
 
 
+def _segment(length: Column, i: int, d: int) -> tuple[Column, Column]:
+    """0-based start and length of segment i when a string of ``length``
+    chars is cut into d+1 near-equal segments (the longer ones last)."""
+    n = d + 1
+    base = F.floor(length / F.lit(n)).cast("int")
+    short = F.lit(n) - length % F.lit(n)          # segments of length ``base``
+    seg_len = F.when(F.lit(i) < short, base).otherwise(base + 1)
+    start = F.lit(i) * base + F.greatest(F.lit(0), F.lit(i) - short)
+    return start, seg_len
+
+
+def segment_keys(c, max_distance: int) -> Column:
+    """Index side of the segment filter: (len, i, segment) for i = 0..d."""
+    s, d = _c(c), max_distance
+    n = F.length(s)
+    return F.array(*[F.struct(n.alias("l"), F.lit(i).alias("i"),
+                              F.substr(s, st + 1, ln).alias("seg"))
+                     for i in range(d + 1) for st, ln in [_segment(n, i, d)]])
+
+
+def segment_probes(c, max_distance: int) -> Column:
+    """Probe side: for every length l within d of the title's, every segment
+    i of an l-long string and every shift within d, the title's substring
+    at that place. A string within edit distance d keeps at least one of its
+    d+1 segments intact, shifted by at most d, so the probes find it."""
+    s, d = _c(c), max_distance
+    n = F.length(s)
+    probes = []
+    for dl in range(-d, d + 1):
+        ln_ = n + dl
+        for i in range(d + 1):
+            st, sl = _segment(ln_, i, d)
+            for delta in range(-d, d + 1):
+                start = st + delta
+                ok = (ln_ >= 0) & (start >= 0) & (start + sl <= n)
+                probes.append(F.when(ok, F.struct(ln_.alias("l"), F.lit(i).alias("i"),
+                                                  F.substr(s, start + 1, sl).alias("seg"))))
+    return F.array_distinct(F.filter(F.array(*probes), lambda x: x.isNotNull()))
+
+
 def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
                        title_col: str = "title", name_col: str = "name",
                        id_col: str = "id", max_distance: int = 2,
-                       materialize: bool = True) -> DataFrame:
+                       materialize: bool = True,
+                       blocking: str = "deletions") -> DataFrame:
     """Best catalogue entry for every distinct title.
 
     Rank: exact normalised match, then smallest edit distance (<= d), then
@@ -57,6 +98,12 @@ def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
     exact join, the anti join and the variant join. With ``materialize``
     they are computed once and written with ``checkpoint()`` to the shared
     checkpoint folder, instead of being rescanned and reshuffled per use.
+
+    ``blocking`` picks how fuzzy candidates are found; both are exact for
+    distance <= d. ``"deletions"`` joins deletion variants (about L^d/d!
+    rows per string, very few false candidates). ``"segments"`` joins the
+    d+1 segments of each catalogue name with (2d+1)^2 (d+1) probes per title
+    (independent of length: the choice for long names or big catalogues).
     """
     t = (titles.select(F.col(title_col).alias("title"))
          .filter(F.col("title").isNotNull()).distinct()
@@ -77,10 +124,18 @@ def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
     if max_distance <= 0:
         return exact
     rest = t.join(best, t["_k"] == best["_ck"], "left_anti")
-    tv = rest.select("title", "_k",
-                     F.explode(deletion_variants("_k", max_distance)).alias("_v"))
-    cv = best.select("_ck", "match_id", "match_name",
-                     F.explode(deletion_variants("_ck", max_distance)).alias("_v"))
+    if blocking == "deletions":
+        tv = rest.select("title", "_k",
+                         F.explode(deletion_variants("_k", max_distance)).alias("_v"))
+        cv = best.select("_ck", "match_id", "match_name",
+                         F.explode(deletion_variants("_ck", max_distance)).alias("_v"))
+    elif blocking == "segments":
+        tv = rest.select("title", "_k",
+                         F.explode(segment_probes("_k", max_distance)).alias("_v"))
+        cv = best.select("_ck", "match_id", "match_name",
+                         F.explode(segment_keys("_ck", max_distance)).alias("_v"))
+    else:
+        raise ValueError(f"unknown blocking {blocking!r}")
     cand = (tv.join(cv, "_v")
             .withColumn("distance", F.levenshtein("_k", "_ck", max_distance))
             .filter((F.col("distance") >= 0) & (F.col("distance") <= max_distance)))

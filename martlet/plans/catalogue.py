@@ -515,6 +515,14 @@ def q_lookup_first_match(spark, d):
     return first_match_lookup(_titles(spark, d), _catalogue(spark, d))
 
 
+@query("lookup_segments", f"""{_LOOKUP_SQL}
+SELECT title, match_id, match_name, distance FROM cand
+QUALIFY row_number() OVER (PARTITION BY title ORDER BY distance, match_id) = 1""")
+def q_lookup_segments(spark, d):
+    """Same lookup with the segment (pigeonhole) candidate filter."""
+    return first_match_lookup(_titles(spark, d), _catalogue(spark, d), blocking="segments")
+
+
 @query("lookup_unmatched", f"""{_LOOKUP_SQL}
 SELECT title FROM t WHERE title NOT IN (SELECT title FROM cand)""")
 def q_lookup_unmatched(spark, d):

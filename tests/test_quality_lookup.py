@@ -78,6 +78,9 @@ def test_lookup_matches_brute_force(spark):
     tdf = spark.createDataFrame([(t,) for t in titles], "title string")
     got = {r.title: (r.match_id, r.distance) for r in first_match_lookup(tdf, cdf).collect()}
     assert got == _brute(titles, cat)
+    seg = {r.title: (r.match_id, r.distance)
+           for r in first_match_lookup(tdf, cdf, blocking="segments").collect()}
+    assert seg == got
     un = {r.title for r in unmatched_titles(tdf, first_match_lookup(tdf, cdf)).collect()}
     assert un == titles - set(got)
 
@@ -100,3 +103,14 @@ def test_enrich_children_fallback_and_cap(spark):
     r = enrich_children(parents, kids, "game_id", "game_name", per_key_limit=2,
                         order=[("v", "desc"), "stream_id"]).collect()
     assert sorted((x.stream_id, x.game_name) for x in r) == [("s2", "Z!"), ("s3", "Zelda")]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.text(alphabet="ab c", min_size=0, max_size=7), st.text(alphabet="ab c", max_size=7))
+def test_segment_filter_complete(spark, a, b):
+    # a catalogue name b within distance 2 of title a shares a probe key
+    from martlet.operators.lookup import segment_keys, segment_probes
+    r = spark.createDataFrame([(a, b)], "a string, b string").select(
+        segment_probes("a", 2).alias("p"), segment_keys("b", 2).alias("k")).first()
+    if _lev(a, b) <= 2:
+        assert {tuple(x) for x in r.p} & {tuple(x) for x in r.k}
