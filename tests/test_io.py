@@ -140,3 +140,25 @@ def test_cli_run_and_export(spark, tmp_dir):
     export_all(spark, ["hltb_games"], os.path.join(base, "core"), os.path.join(base, "csv"))
     back = spark.read.option("header", True).csv(os.path.join(base, "csv", "hltb_games")).first()
     assert (back.game_name, back.main_story) == ("Halo", "9.50")
+
+
+def test_cli_subprocess(tmp_dir):
+    import subprocess
+    import sys as _sys
+    land = os.path.join(tmp_dir, "hltb")
+    os.makedirs(land)
+    with open(os.path.join(land, "a.json"), "w") as f:
+        f.write(json.dumps({"record_type": "hl_tb_time", "game_name": "Doom", "main_story": 12.0,
+                            "extraction_time": "2025-06-10T10:00:00"}))
+    base, out = os.path.join(tmp_dir, "wh"), os.path.join(tmp_dir, "csv")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo)
+    run = [_sys.executable, "-m", "martlet", "run", "--base", base,
+           "--landing", f"howlongtobeat={land}", "--run-id", "r1"]
+    assert subprocess.run(run, env=env, timeout=300, capture_output=True).returncode == 0
+    exp = [_sys.executable, "-m", "martlet", "export", "--in", os.path.join(base, "core"),
+           "--out", out, "hltb_games"]
+    assert subprocess.run(exp, env=env, timeout=300, capture_output=True).returncode == 0
+    files = [f for f in os.listdir(os.path.join(out, "hltb_games")) if f.endswith(".csv")]
+    text = "".join(open(os.path.join(out, "hltb_games", f)).read() for f in files)
+    assert "Doom" in text and "12.00" in text
