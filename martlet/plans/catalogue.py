@@ -606,15 +606,15 @@ def q_max_length_violations(spark, d):
 SELECT 'not_null' AS check_name, 'l_orderkey' AS column_name, COUNT(*) FILTER (WHERE l_orderkey IS NULL) AS violations FROM lineitem
 UNION ALL SELECT 'not_null', 'l_partkey', COUNT(*) FILTER (WHERE l_partkey IS NULL) FROM lineitem
 UNION ALL SELECT 'max_length', 'l_returnflag', COUNT(*) FILTER (WHERE length(l_returnflag) > 1) FROM lineitem
-UNION ALL SELECT 'max_length', 'l_shipmode_text', COUNT(*) FILTER (WHERE length(l_linestatus || l_returnflag) > 1) FROM lineitem
+UNION ALL SELECT 'max_length', 'status_flags', COUNT(*) FILTER (WHERE length(l_linestatus || l_returnflag) > 1) FROM lineitem
 UNION ALL SELECT 'unique', 'l_orderkey,l_linenumber', CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) FROM
   (SELECT COUNT(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1) u""")
 def q_constraint_summary(spark, d):
     li = read_table(spark, d, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber",
                                            "l_returnflag", "l_linestatus"])
-    li = li.withColumn("l_shipmode_text", F.concat("l_linestatus", "l_returnflag"))
+    li = li.withColumn("status_flags", F.concat("l_linestatus", "l_returnflag"))
     return constraint_summary(li, not_null=["l_orderkey", "l_partkey"],
-                              max_length={"l_returnflag": 1, "l_shipmode_text": 1},
+                              max_length={"l_returnflag": 1, "status_flags": 1},
                               unique=["l_orderkey", "l_linenumber"])
 
 
