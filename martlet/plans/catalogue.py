@@ -23,28 +23,30 @@ import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DecimalType
 
 from martlet.functions import (
     blank_to_null, default_if_blank, is_present, trimmed, positive_decimal,
     null_to_zero_int, to_bool, is_rejected, map_from_json, map_value,
-    array_first, array_nth, band, normalize_column_names,
+    array_first, array_nth, normalize_column_names,
 )
 from martlet.operators import (
     keep_first, top_k_per_key, distinct_values, split_by_kind, union_kinds,
-    first_match_lookup, unmatched_titles, enrich_children, null_blank_share, quality_report,
-    not_null_violations, unique_violations, fk_violations,
+    first_match_lookup, unmatched_titles, enrich_children, null_blank_share,
+    quality_report, not_null_violations, unique_violations, fk_violations,
     max_length_violations, constraint_summary, popular_entities, entity_kpis,
     load_summary, log_kpis, duration_view, casted_view, count_per_category,
     mode_comparison, stat_leaders, value_distribution, usage_ranking, longest,
     with_audit_columns, with_duration_seconds,
 )
 from martlet.operators.audit import duration_seconds
-from martlet.plans.specs import clean, TWITCH, HLTB, POKEDEX
+from martlet.plans.specs import clean, reject_counts, TWITCH, HLTB, POKEDEX, PROFILES
 from martlet.session import scratch_path
-from martlet.sinks import write_parquet, append_new_rows
-from martlet.sources import read_table, conform_to_schema, flatten_keyed_objects
+from martlet.sinks import append_new_rows, export_csv, write_parquet
+from martlet.sources import (
+    conform_to_schema, flatten_keyed_objects, read_pages, read_table,
+)
 from martlet.sources.schemas import schema_of, S, L, I
-from pyspark.sql.types import DecimalType
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -870,7 +872,6 @@ SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name,
        '[' || array_to_string(string_split(p_name, ' '), ', ') || ']' AS types FROM part""")
 def q_csv_round_trip(spark, d):
     """CSV export with an array column written as text, read back (K2)."""
-    from martlet.sinks import export_csv
     p = read_table(spark, d, "part", ["p_partkey", "p_name"]).withColumn(
         "types", F.split("p_name", " "))
     path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
@@ -897,7 +898,6 @@ FROM customer""")
 def q_clean_profiles(spark, d):
     """Ladder/profile cleaning (P29, P18): key (username, format), text
     ratings to double, levels to int, blank gxe to NULL."""
-    from martlet.plans.specs import PROFILES
     c = read_table(spark, d, "customer", ["c_name", "c_mktsegment", "c_acctbal", "c_nationkey"])
     raw = c.select(F.lit("profile").alias("record_type"), F.col("c_name").alias("username"),
                    F.col("c_mktsegment").alias("format"), F.lit("").alias("gxe"),
@@ -918,7 +918,6 @@ def q_reject_counts(spark, d):
     """Per-column count of values that were present but did not convert
     (T6), over a stream landing derived from events with text counts and
     UTC stamps, some of them unparsable."""
-    from martlet.plans.specs import reject_counts
     ev = read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     t = F.col("event_type")
     raw = ev.select(
@@ -939,7 +938,6 @@ def q_paged_collection(spark, d):
     pages (``page=N`` folders, page N = ids 100N..100N+99, so a page holds
     at most 100 items), then read back in page/position order and cut at the
     first 200 items, as the collector does."""
-    from martlet.sources import read_pages
     per_page = 100
     p = read_table(spark, d, "part", ["p_partkey", "p_name"])
     pages = (p.groupBy(F.floor(F.col("p_partkey") / per_page).alias("page"))

@@ -10,13 +10,11 @@ name, warehouse columns. Rules naming a column the input lacks are skipped
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import (
-    ArrayType, MapType, StringType, StructType, TimestampNTZType, TimestampType,
-)
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 from martlet.functions import casts, nested, text
 from martlet.functions.names import normalize_column_names

@@ -9,8 +9,8 @@ from martlet.sinks import (
     write_parquet,
 )
 from martlet.sources import (
-    GAMES, STREAMS, conform_to_schema, flatten_keyed_objects, point_read, read_json,
-    read_pages, stamp_batch_time,
+    STREAMS, conform_to_schema, flatten_keyed_objects, point_read, read_pages,
+    stamp_batch_time,
 )
 from martlet.sources.schemas import schema_of, S, L, I
 

@@ -1,8 +1,6 @@
-import itertools
 import random
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from martlet.operators import (
     constraint_summary, deletion_variants, duplicate_count, first_match_lookup,

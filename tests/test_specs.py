@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 
 from martlet.plans.specs import (
-    clean, clean_source, reject_counts, TWITCH, HLTB, POKEDEX, PROFILES,
+    clean, clean_source, reject_counts, TWITCH, HLTB, PROFILES,
 )
 from martlet.sources import empty_frame, GAMES, STREAMS, POKEDEX as POKEDEX_SCHEMA, HLTB as HLTB_S
 from martlet.operators import union_kinds
