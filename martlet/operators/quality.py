@@ -12,9 +12,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 
+def _q(c: str) -> Column:
+    """Column by exact name (dots, spaces and backticks allowed)."""
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
 def _missing(df: DataFrame, c: str) -> Column:
     """NULL, or '' for string columns only (T22: no '' test on non-strings)."""
-    col = F.col(f"`{c}`")
+    col = _q(c)
     if isinstance(df.schema[c].dataType, StringType):
         return col.isNull() | (col == F.lit(""))
     return col.isNull()
@@ -29,7 +34,7 @@ def null_blank_share(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     cols = cols or df.columns
     agg = df.agg(F.count(F.lit(1)).alias("_total"),
                  *[F.count_if(_missing(df, c)).alias(c) for c in cols])
-    long = agg.unpivot("_total", [f"`{c}`" for c in cols], "column_name", "null_count")
+    long = agg.unpivot("_total", [_q(c) for c in cols], "column_name", "null_count")
     return long.select("column_name", "null_count",
                        _pct(F.col("null_count"), F.col("_total")).alias("null_pct"))
 
@@ -37,7 +42,7 @@ def null_blank_share(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
     """rows - distinct keys, one row (A9). A NULL key is one value, as in
     ``dropDuplicates``. Counted through a keyed partial aggregate."""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    g = df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
     return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint")
                  .alias("duplicate_count"))
 
@@ -79,7 +84,7 @@ def quality_report(df: DataFrame, source: str, keys: list[str] | None = None,
 
 def not_null_violations(df: DataFrame, cols: list[str]) -> DataFrame:
     """Rows breaking NOT NULL on any of ``cols``, with the broken names."""
-    bad = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in cols]),
+    bad = F.filter(F.array(*[F.when(_q(c).isNull(), F.lit(c)) for c in cols]),
                    lambda x: x.isNotNull())
     return df.withColumn("violated", bad).filter(F.size("violated") > 0)
 
@@ -87,8 +92,8 @@ def not_null_violations(df: DataFrame, cols: list[str]) -> DataFrame:
 def unique_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values occurring more than once (C2). Rows with a NULL key part
     never conflict (SQL UNIQUE treats NULLs as distinct)."""
-    nn = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return (df.filter(nn).groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences"))
+    nn = reduce(lambda a, b: a & b, [_q(k).isNotNull() for k in keys])
+    return (df.filter(nn).groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("occurrences"))
             .filter(F.col("occurrences") > 1))
 
 
@@ -96,14 +101,14 @@ def fk_violations(child: DataFrame, fk: list[str], parent: DataFrame,
                   pk: list[str]) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent row.
     Only the key columns of the parent are read."""
-    nn = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in fk])
-    p = parent.select(*[F.col(b).alias(a) for a, b in zip(fk, pk)])
+    nn = reduce(lambda a, b: a & b, [_q(k).isNotNull() for k in fk])
+    p = parent.select(*[_q(b).alias(a) for a, b in zip(fk, pk)])
     return child.filter(nn).join(p, fk, "left_anti")
 
 
 def max_length_violations(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     """Rows with a text longer than its VARCHAR(n) limit (C4)."""
-    bad = F.filter(F.array(*[F.when(F.char_length(c) > n, F.lit(c))
+    bad = F.filter(F.array(*[F.when(F.char_length(_q(c)) > n, F.lit(c))
                              for c, n in limits.items()]),
                    lambda x: x.isNotNull())
     return df.withColumn("violated", bad).filter(F.size("violated") > 0)
@@ -116,8 +121,8 @@ def constraint_summary(df: DataFrame, not_null: list[str] | None = None,
     checks in one aggregate, uniqueness in one keyed aggregate."""
     not_null, max_length = not_null or [], max_length or {}
     parts = []
-    aggs = ([F.count_if(F.col(c).isNull()).alias(f"nn_{i}") for i, c in enumerate(not_null)]
-            + [F.count_if(F.char_length(c) > n).alias(f"ml_{i}")
+    aggs = ([F.count_if(_q(c).isNull()).alias(f"nn_{i}") for i, c in enumerate(not_null)]
+            + [F.count_if(F.char_length(_q(c)) > n).alias(f"ml_{i}")
                for i, (c, n) in enumerate(max_length.items())])
     if aggs:
         one = df.agg(*aggs)

@@ -21,6 +21,11 @@ def test_quality_report_one_pass(spark):
     share = {x.column_name: (x.null_count, x.null_pct) for x in null_blank_share(df).collect()}
     assert share == {"id": (1, 25.0), "name": (2, 50.0), "n": (1, 25.0)}
     assert duplicate_count(df, ["id"]).first()[0] == 1
+    dotted = spark.createDataFrame([(1, None)], "`a.b` int, `c d` string")
+    assert {r.column_name: r.null_count for r in null_blank_share(dotted).collect()} == {
+        "a.b": 0, "c d": 1}
+    assert not_null_violations(dotted, ["c d"]).count() == 1
+    assert duplicate_count(dotted, ["a.b"]).first()[0] == 0
     empty = spark.createDataFrame([], "id int, name string")
     e = quality_report(empty, "e", keys=["id"]).first()
     assert e.total_records == 0 and e.null_percentage == {"id": None, "name": None}
