@@ -14,16 +14,7 @@ import argparse
 import sys
 
 from martlet.session import get_spark
-from martlet.sources.schemas import HLTB, POKEDEX, PROFILES, STREAMS, schema_of, S
-
-# Landing name -> raw schema. The twitch landing mixes games
-# and streams, so its schema is the stream schema plus the game-only column.
-LANDING_SCHEMAS = {
-    "twitch": schema_of(*[(f.name, f.dataType) for f in STREAMS.fields], ("box_art_url", S)),
-    "showdown_pokedex": POKEDEX,
-    "howlongtobeat": HLTB,
-    "showdown": PROFILES,
-}
+from martlet.sources.schemas import LANDING_SCHEMAS
 
 
 def main(argv: list[str] | None = None) -> int:

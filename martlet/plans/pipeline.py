@@ -19,11 +19,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from martlet.operators.audit import audit_frame, observe_count
+from martlet.operators.dedup import distinct_values
+from martlet.operators.lookup import first_match_lookup, unmatched_titles
 from martlet.plans.specs import SPECS, clean_source, reject_counts
 from martlet.sinks.writers import (
     append_new_rows, export_csv, restamp_lineage, select_target_columns,
 )
-from martlet.sources.readers import read_json
+from martlet.sources.readers import conform_to_schema, read_json
+from martlet.sources.schemas import HLTB
 
 RUN_COL = "dw_id_carga"
 
@@ -177,6 +180,30 @@ def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
     return logs
 
 
+def hours_for_titles(games: DataFrame, catalogue: DataFrame, batch_time: str,
+                     n_titles: int = 100, max_distance: int = 2,
+                     name_col: str = "name", id_col: str = "id"
+                     ) -> tuple[DataFrame, DataFrame]:
+    """Duration records for the first ``n_titles`` distinct game names
+    (S8, S9, J3, J4), replacing one search request per title.
+
+    ``catalogue`` is the landed duration source (unique ``id_col``, a name
+    and the hour measures). Each title takes its best match; the record keeps
+    the *title* as ``game_name``, the match's measures and one batch time
+    (S13). Returns (records in the raw duration schema, unmatched titles).
+    """
+    titles = distinct_values(games.select(F.col("game_name").alias("title")), "title",
+                             limit=n_titles)
+    matches = first_match_lookup(titles, catalogue, "title", name_col, id_col, max_distance)
+    attrs = catalogue.drop(name_col).withColumnRenamed(id_col, "match_id")
+    records = matches.join(attrs, "match_id").select(
+        F.lit("hl_tb_time").alias("record_type"), F.col("title").alias("game_name"),
+        *[c for c in attrs.columns if c != "match_id"],
+        F.lit(batch_time).alias("extraction_time"),
+        F.lit("howlongtobeat").alias("source"), F.lit("hltb_search").alias("endpoint"))
+    return conform_to_schema(records, HLTB), unmatched_titles(titles, matches)
+
+
 def export_all(spark: SparkSession, names: list[str], in_dir: str, out_dir: str,
                single_file: bool = False) -> None:
     """Every named Parquet dataset to a CSV folder of the same name."""

@@ -12,7 +12,7 @@ from martlet.sources import (
     STREAMS, conform_to_schema, flatten_keyed_objects, point_read, read_pages,
     stamp_batch_time,
 )
-from martlet.sources.schemas import schema_of, S, L, I
+from martlet.sources.schemas import HLTB as HLTB_RAW, schema_of, S, L, I
 
 
 def test_parquet_round_trip_and_point_read(spark, tmp_dir):
@@ -162,3 +162,16 @@ def test_cli_subprocess(tmp_dir):
     files = [f for f in os.listdir(os.path.join(out, "hltb_games")) if f.endswith(".csv")]
     text = "".join(open(os.path.join(out, "hltb_games", f)).read() for f in files)
     assert "Doom" in text and "12.00" in text
+
+
+def test_hours_for_titles(spark):
+    from martlet.plans.pipeline import hours_for_titles
+    games = spark.createDataFrame([("1", "Zelda"), ("2", "Zelda"), ("3", "Halo 3"),
+                                   ("4", "Unknown Game")], "game_id string, game_name string")
+    cat = spark.createDataFrame([(10, "zelda", 50.0, None), (11, "Halo3", 8.5, 12.0)],
+                                "id long, name string, main_story double, main_extra double")
+    rec, miss = hours_for_titles(games, cat, "2025-06-10T10:00:00", n_titles=100)
+    got = {r.game_name: (r.main_story, r.main_extra, r.source) for r in rec.collect()}
+    assert got == {"Zelda": (50.0, None, "howlongtobeat"), "Halo 3": (8.5, 12.0, "howlongtobeat")}
+    assert rec.columns == [f.name for f in HLTB_RAW.fields]
+    assert [r.title for r in miss.collect()] == ["Unknown Game"]
