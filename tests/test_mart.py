@@ -156,3 +156,12 @@ def test_casted_view_and_sql_functions(spark):
     assert spark.sql("SELECT COUNT(*) FROM get_load_summary()").first()[0] == 2
     pop = spark.sql("SELECT game_name FROM v_twitch_popular_games").collect()
     assert {r.game_name for r in pop} == {"Alpha", "Beta", "Eps"}
+    g2 = games.withColumn("dw_id_carga", F.lit("r1")).unionByName(
+        games.filter("game_id = '1'").withColumn("dw_id_carga", F.lit("r2")))
+    s2 = streams.withColumn("dw_id_carga", F.lit("r2"))
+    register_mart_views(spark, g2, s2)
+    latest = spark.sql("SELECT game_name, total_viewers FROM v_twitch_popular_games_latest")
+    assert [tuple(r) for r in latest.collect()] == [("Alpha", 150)]
+    doubled = spark.sql("SELECT total_viewers FROM v_twitch_popular_games "
+                        "WHERE game_name = 'Alpha'").first()[0]
+    assert doubled == 300  # every load joined, as the plain view does
