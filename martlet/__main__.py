@@ -1,7 +1,7 @@
 """Command line: ``python -m martlet run|export ...``.
 
     python -m martlet run --base /warehouse --landing twitch=/landing/twitch \\
-        --landing howlongtobeat=/landing/hltb [--run-id R] [--fail-fast]
+        [--durations /landing/hltb_catalogue.parquet --titles 100] [--run-id R] [--fail-fast]
     python -m martlet export --in /warehouse/core --out /exports twitch_games hltb_games
 
 The session comes from spark-submit / the environment; nothing here sets a
@@ -28,6 +28,9 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--run-id")
     r.add_argument("--multi-line", action="store_true")
     r.add_argument("--fail-fast", action="store_true")
+    r.add_argument("--durations", metavar="PARQUET",
+                   help="duration catalogue to look this run's game names up in")
+    r.add_argument("--titles", type=int, default=100, help="game names to look up")
     e = sub.add_parser("export", help="Parquet datasets to CSV folders")
     e.add_argument("--in", dest="in_dir", required=True)
     e.add_argument("--out", required=True)
@@ -44,7 +47,9 @@ def main(argv: list[str] | None = None) -> int:
                 if name not in LANDING_SCHEMAS:
                     ap.error(f"unknown source {name!r}; known: {sorted(LANDING_SCHEMAS)}")
                 landings.append(Landing(name, path, LANDING_SCHEMAS[name], a.multi_line))
-            logs = run_pipeline(spark, landings, a.base, a.run_id, a.fail_fast)
+            durations = spark.read.parquet(a.durations) if a.durations else None
+            logs = run_pipeline(spark, landings, a.base, a.run_id, a.fail_fast,
+                                durations=durations, n_titles=a.titles)
             bad = logs.filter("status = 'ERROR'").count()
             return 1 if bad else 0
         export_all(spark, a.names, a.in_dir, a.out, a.single_file)

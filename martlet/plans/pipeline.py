@@ -160,21 +160,54 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def lookup_durations(spark: SparkSession, catalogue: DataFrame, raw_dir: str,
+                     mart_dir: str, run_id: str, n_titles: int = 100) -> dict:
+    """Durations for this run's published game names (S8, S9, J3, J4):
+    matched records become this run's raw duration partition; the audit
+    row counts them and reports how many titles found no match."""
+    start = _now()
+    games = spark.read.parquet(os.path.join(mart_dir, "twitch_games")).filter(
+        F.col(RUN_COL) == run_id)
+    recs, miss = hours_for_titles(games, catalogue, start.strftime("%Y-%m-%dT%H:%M:%S"),
+                                  n_titles)
+    out = os.path.join(raw_dir, "howlongtobeat")
+    n = _write_partition(recs.withColumn(RUN_COL, F.lit(run_id)), out, "overwrite")
+    unmatched = miss.count()
+    return {"run_id": run_id, "step": "lookup", "source": "HOWLONGTOBEAT",
+            "endpoint": "hltb_search", "output_file": out, "records_count": n,
+            "status": "SUCCESS",
+            "error_message": f"{unmatched} titles without match" if unmatched else None,
+            "load_start_time": start, "load_end_time": _now()}
+
+
 def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
-                 run_id: str | None = None, fail_fast: bool = False) -> DataFrame:
+                 run_id: str | None = None, fail_fast: bool = False,
+                 durations: DataFrame | None = None, n_titles: int = 100) -> DataFrame:
     """Whole batch (G1, G2, G3): for every source land, clean, publish; the
-    audit rows are appended to ``{base_dir}/etl_logs`` and returned."""
+    audit rows are appended to ``{base_dir}/etl_logs`` and returned.
+
+    With a ``durations`` catalogue, the first ``n_titles`` game names
+    published by this run are looked up in it and the matches go through
+    the same clean/publish path as a landed duration source."""
     run_id = run_id or new_run_id()
     raw_dir, mart_dir = os.path.join(base_dir, "raw"), os.path.join(base_dir, "core")
     audit: list[dict] = []
+
+    def finish(name: str) -> bool:
+        audit.append(reject_audit(spark, name, raw_dir, run_id))
+        pub = publish(spark, clean_phase(spark, name, raw_dir, run_id), name, mart_dir, run_id)
+        audit.extend(pub)
+        return fail_fast and any(r.get("status") == "ERROR" for r in pub)
+
+    stop = False
     for src in landings:
         audit.append(land(spark, src, raw_dir, run_id))
-        audit.append(reject_audit(spark, src.name, raw_dir, run_id))
-        cleaned = clean_phase(spark, src.name, raw_dir, run_id)
-        pub = publish(spark, cleaned, src.name, mart_dir, run_id)
-        audit += pub
-        if fail_fast and any(r.get("status") == "ERROR" for r in pub):
+        if finish(src.name):
+            stop = True
             break
+    if durations is not None and not stop:
+        audit.append(lookup_durations(spark, durations, raw_dir, mart_dir, run_id, n_titles))
+        finish("howlongtobeat")
     logs = audit_frame(spark, audit)
     logs.write.mode("append").parquet(os.path.join(base_dir, "etl_logs"))
     return logs

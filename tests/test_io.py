@@ -175,3 +175,25 @@ def test_hours_for_titles(spark):
     assert got == {"Zelda": (50.0, None, "howlongtobeat"), "Halo 3": (8.5, 12.0, "howlongtobeat")}
     assert rec.columns == [f.name for f in HLTB_RAW.fields]
     assert [r.title for r in miss.collect()] == ["Unknown Game"]
+
+
+def test_pipeline_with_duration_lookup(spark, tmp_dir):
+    land_dir = os.path.join(tmp_dir, "landed")
+    os.makedirs(land_dir)
+    recs = [{"record_type": "game", "game_id": str(i), "game_name": n, "source": "twitch",
+             "endpoint": "games/top", "extraction_time": "2025-06-10T10:00:00"}
+            for i, n in enumerate(["Zelda", "Halo 3", "Nope Nope"])]
+    with open(os.path.join(land_dir, "g.json"), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in recs))
+    from martlet.sources import LANDING_SCHEMAS
+    cat = spark.createDataFrame([(1, "zelda", 40.0, 0.0), (2, "halo3", 9.0, 12.5)],
+                                "id long, name string, main_story double, main_extra double")
+    base = os.path.join(tmp_dir, "wh")
+    logs = run_pipeline(spark, [Landing("twitch", land_dir, LANDING_SCHEMAS["twitch"])], base,
+                        run_id="r1", durations=cat)
+    hl = {r.game_name: (r.main_story, r.main_extra)
+          for r in spark.read.parquet(os.path.join(base, "core", "hltb_games")).collect()}
+    assert {k: (float(a), b) for k, (a, b) in hl.items()} == {"Zelda": (40.0, None),
+                                                             "Halo 3": (9.0, 12.5)}
+    look = [r for r in logs.collect() if r.step == "lookup"][0]
+    assert look.records_count == 2 and look.error_message == "1 titles without match"
