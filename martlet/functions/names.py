@@ -19,10 +19,9 @@ def normalize_name(name: str, strip_accents: bool = False) -> str:
     if strip_accents:
         s = "".join(ch for ch in unicodedata.normalize("NFKD", s)
                     if not unicodedata.combining(ch))
-    s = s.lower()
-    s = re.sub(r"[^a-z0-9]", "_", s)
-    s = re.sub(r"_+", "_", s)
-    return s.strip("_")
+    # the runs of [a-z0-9] joined by single underscores: every other
+    # character separates, and none is left at either end
+    return "_".join(re.findall(r"[a-z0-9]+", s.lower()))
 
 
 def normalize_column_names(df: DataFrame, strip_accents: bool = False) -> DataFrame:

@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from martlet.functions import (
@@ -83,3 +84,13 @@ def test_name_normalisation(spark):
     clash = spark.createDataFrame([(1, 2)], "`A b` int, `a_b` int")
     with pytest.raises(ValueError):
         normalize_column_names(clash)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=20))
+def test_name_rule_properties(name):
+    out = normalize_name(name)
+    assert set(out) <= set("abcdefghijklmnopqrstuvwxyz0123456789_")
+    assert "__" not in out and not out.startswith("_") and not out.endswith("_")
+    assert out.replace("_", "") == "".join(ch for ch in name.lower() if ch in
+                                           "abcdefghijklmnopqrstuvwxyz0123456789")
