@@ -16,7 +16,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from martlet.operators.audit import audit_frame, observe_count
 from martlet.operators.dedup import distinct_values
@@ -26,7 +26,7 @@ from martlet.sinks.writers import (
     append_new_rows, export_csv, restamp_lineage, select_target_columns,
 )
 from martlet.sources.readers import conform_to_schema, read_json
-from martlet.sources.schemas import HLTB
+from martlet.sources.schemas import HLTB, LANDING_SCHEMAS
 
 RUN_COL = "dw_id_carga"
 
@@ -99,8 +99,19 @@ def land(spark: SparkSession, src: Landing, raw_dir: str, run_id: str) -> dict:
             "records_count": n, "load_start_time": start, "load_end_time": _now()}
 
 
+def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A Parquet table read with its known schema: a table that holds no
+    rows yet (an empty landing writes no data files) reads as zero typed
+    rows instead of failing schema inference (T24)."""
+    if not (os.path.exists(path) or _exists(spark, path)):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def _raw(spark: SparkSession, name: str, raw_dir: str, run_id: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(raw_dir, name)).filter(
+    schema = StructType(LANDING_SCHEMAS[name.lower()].fields
+                        + [StructField(RUN_COL, StringType(), True)])
+    return _read(spark, os.path.join(raw_dir, name), schema).filter(
         F.col(RUN_COL) == run_id).drop(RUN_COL)
 
 
@@ -136,9 +147,7 @@ def publish(spark: SparkSession, df: DataFrame, name: str, mart_dir: str,
                 part = select_target_columns(part, list(t.columns) + list(DW_COLS))
             # lineage of the load, one rule for every source
             part = restamp_lineage(part, name, f"load/core_{name}", run_id)
-            existing = None
-            if os.path.exists(path) or _exists(spark, path):
-                existing = spark.read.parquet(path).filter(F.col(RUN_COL) == run_id)
+            existing = _read(spark, path, part.schema).filter(F.col(RUN_COL) == run_id)
             new = append_new_rows(part, existing, list(t.keys) + [RUN_COL])
             n = _write_partition(new, path, "append")
             rows.append({"run_id": run_id, "step": "publish", "source": name.upper(),
@@ -166,8 +175,10 @@ def lookup_durations(spark: SparkSession, catalogue: DataFrame, raw_dir: str,
     matched records become this run's raw duration partition; the audit
     row counts them and reports how many titles found no match."""
     start = _now()
-    games = spark.read.parquet(os.path.join(mart_dir, "twitch_games")).filter(
-        F.col(RUN_COL) == run_id)
+    games = _read(spark, os.path.join(mart_dir, "twitch_games"),
+                  StructType([StructField("game_name", StringType(), True),
+                              StructField(RUN_COL, StringType(), True)])
+                  ).filter(F.col(RUN_COL) == run_id)
     recs, miss = hours_for_titles(games, catalogue, start.strftime("%Y-%m-%dT%H:%M:%S"),
                                   n_titles)
     out = os.path.join(raw_dir, "howlongtobeat")

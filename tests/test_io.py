@@ -9,7 +9,7 @@ from martlet.sinks import (
     write_parquet,
 )
 from martlet.sources import (
-    STREAMS, conform_to_schema, flatten_keyed_objects, point_read, read_pages,
+    STREAMS, conform_to_schema, flatten_keyed_objects, point_read, read_json, read_pages,
     stamp_batch_time,
 )
 from martlet.sources.schemas import HLTB as HLTB_RAW, schema_of, S, L, I
@@ -197,3 +197,24 @@ def test_pipeline_with_duration_lookup(spark, tmp_dir):
                                                              "Halo 3": (9.0, 12.5)}
     look = [r for r in logs.collect() if r.step == "lookup"][0]
     assert look.records_count == 2 and look.error_message == "1 titles without match"
+
+
+def test_empty_and_malformed_landings(spark, tmp_dir):
+    from martlet.sources import LANDING_SCHEMAS, HLTB
+    empty = os.path.join(tmp_dir, "empty")
+    os.makedirs(empty)
+    bad = os.path.join(tmp_dir, "bad")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "a.json"), "w") as f:
+        f.write('{"record_type": "hl_tb_time", "game_name": "Halo", "main_story": 9.5}\n'
+                '{not json at all\n')
+    assert read_json(spark, bad, HLTB).count() == 2          # malformed row kept as NULLs
+    base = os.path.join(tmp_dir, "wh")
+    logs = run_pipeline(spark, [Landing("showdown_pokedex", empty,
+                                        LANDING_SCHEMAS["showdown_pokedex"]),
+                                Landing("howlongtobeat", bad, LANDING_SCHEMAS["howlongtobeat"])],
+                        base, run_id="r1")
+    steps = {(r.step, r.source): (r.records_count, r.status) for r in logs.collect()}
+    assert steps[("land", "SHOWDOWN_POKEDEX")] == (0, "SUCCESS")
+    assert steps[("publish", "SHOWDOWN_POKEDEX")] == (0, "SUCCESS")
+    assert steps[("publish", "HOWLONGTOBEAT")] == (1, "SUCCESS")  # NULL-name row filtered
