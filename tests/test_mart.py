@@ -165,3 +165,12 @@ def test_casted_view_and_sql_functions(spark):
     doubled = spark.sql("SELECT total_viewers FROM v_twitch_popular_games "
                         "WHERE game_name = 'Alpha'").first()[0]
     assert doubled == 300  # every load joined, as the plain view does
+
+
+def test_kpis_and_views_on_empty_tables(spark):
+    games = spark.createDataFrame([], G)
+    streams = spark.createDataFrame([], S)
+    k = entity_kpis(games, streams).collect()
+    assert [tuple(r) for r in k] == [(0, 0, None, None, None)]
+    assert popular_entities(games, streams).count() == 0
+    assert load_summary(_logs(spark).limit(0)).count() == 0
