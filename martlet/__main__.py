@@ -3,6 +3,7 @@
     python -m martlet run --base /warehouse --landing twitch=/landing/twitch \\
         [--durations /landing/hltb_catalogue.parquet --titles 100] [--run-id R] [--fail-fast]
     python -m martlet export --in /warehouse/core --out /exports twitch_games hltb_games
+    python -m martlet sql --base /warehouse "SELECT * FROM get_load_summary('TWITCH')"
 
 The session comes from spark-submit / the environment; nothing here sets a
 master, so the same command runs locally and on a cluster.
@@ -17,6 +18,24 @@ from martlet.session import get_spark
 from martlet.sources.schemas import LANDING_SCHEMAS
 
 
+def register_warehouse(spark, base: str) -> list[str]:
+    """Temp views and SQL table functions over a warehouse written by
+    ``run`` (``core/*`` mart tables and ``etl_logs``)."""
+    import os
+
+    from martlet.plans.views import register_mart_views, register_table_functions
+
+    core = os.path.join(base, "core")
+    games = spark.read.parquet(os.path.join(core, "twitch_games"))
+    streams = spark.read.parquet(os.path.join(core, "twitch_streams"))
+    hltb_path = os.path.join(core, "hltb_games")
+    hltb = spark.read.parquet(hltb_path) if os.path.exists(hltb_path) else None
+    logs = spark.read.parquet(os.path.join(base, "etl_logs"))
+    names = register_mart_views(spark, games, streams, hltb=hltb, logs=logs)
+    register_table_functions(spark)
+    return names
+
+
 def main(argv: list[str] | None = None) -> int:
     from martlet.plans.pipeline import Landing, export_all, run_pipeline
 
@@ -36,6 +55,11 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--out", required=True)
     e.add_argument("--single-file", action="store_true")
     e.add_argument("names", nargs="+")
+    q = sub.add_parser("sql", help="run SQL over the mart views and table functions")
+    q.add_argument("--base", required=True)
+    q.add_argument("--rows", type=int, default=50, help="rows to display")
+    q.add_argument("--out", help="write the full result as Parquet here instead")
+    q.add_argument("query")
     a = ap.parse_args(argv)
 
     spark = get_spark("martlet")
@@ -52,6 +76,14 @@ def main(argv: list[str] | None = None) -> int:
                                 durations=durations, n_titles=a.titles)
             bad = logs.filter("status = 'ERROR'").count()
             return 1 if bad else 0
+        if a.cmd == "sql":
+            register_warehouse(spark, a.base)
+            res = spark.sql(a.query)
+            if a.out:
+                res.write.mode("overwrite").parquet(a.out)
+            else:
+                res.show(a.rows, truncate=False)
+            return 0
         export_all(spark, a.names, a.in_dir, a.out, a.single_file)
         return 0
     finally:

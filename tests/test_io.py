@@ -218,3 +218,23 @@ def test_empty_and_malformed_landings(spark, tmp_dir):
     assert steps[("land", "SHOWDOWN_POKEDEX")] == (0, "SUCCESS")
     assert steps[("publish", "SHOWDOWN_POKEDEX")] == (0, "SUCCESS")
     assert steps[("publish", "HOWLONGTOBEAT")] == (1, "SUCCESS")  # NULL-name row filtered
+
+
+def test_sql_entry_over_warehouse(spark, tmp_dir):
+    from martlet.__main__ import register_warehouse
+    from martlet.sources import LANDING_SCHEMAS
+    land_dir = os.path.join(tmp_dir, "landed")
+    os.makedirs(land_dir)
+    recs = [{"record_type": "game", "game_id": "1", "game_name": "Zelda",
+             "extraction_time": "2025-06-10T10:00:00"},
+            {"record_type": "stream", "stream_id": "s1", "game_id": "1", "user_name": "ann",
+             "viewer_count": 10, "extraction_time": "2025-06-10T10:00:00"}]
+    with open(os.path.join(land_dir, "a.json"), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in recs))
+    base = os.path.join(tmp_dir, "wh")
+    run_pipeline(spark, [Landing("twitch", land_dir, LANDING_SCHEMAS["twitch"])], base, "r1")
+    register_warehouse(spark, base)
+    top = spark.sql("SELECT top_game, top_game_viewers FROM get_twitch_kpis()").first()
+    assert tuple(top) == ("Zelda", 10)
+    s = spark.sql("SELECT source, total_loads FROM get_load_summary('TWITCH')").collect()
+    assert [r.source for r in s] == ["TWITCH"]
