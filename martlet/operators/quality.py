@@ -26,7 +26,9 @@ def _missing(df: DataFrame, c: str) -> Column:
 
 
 def _pct(part: Column, total: Column) -> Column:
-    return F.when(total > 0, F.round(F.lit(100.0) * part / total, 2))
+    """Share in percent, 2 decimals, ties to even (as Python's ``round``);
+    NULL for an empty table."""
+    return F.when(total > 0, F.bround(F.lit(100.0) * part / total, 2))
 
 
 def null_blank_share(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

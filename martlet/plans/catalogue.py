@@ -545,7 +545,7 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 @query("null_share", "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL{blank}) AS null_count, "
-    f"ROUND(100.0::DOUBLE * COUNT(*) FILTER (WHERE {c} IS NULL{blank}) / COUNT(*), 2) AS null_pct "
+    f"round_even(100.0::DOUBLE * COUNT(*) FILTER (WHERE {c} IS NULL{blank}) / COUNT(*), 2) AS null_pct "
     f"FROM ({_DL_SQL}) j"
     for c, blank in [("doc_id", ""), ("lang", " OR lang = ''"), ("source", " OR source = ''"),
                      ("n_chars", ""), ("quality", ""), ("toxic", "")]))
@@ -560,7 +560,7 @@ SELECT 'documents' AS source, COUNT(*) AS total_records,
         + CASE WHEN COUNT(*) FILTER (WHERE toxic IS NULL) > 0 THEN 1 ELSE 0 END) AS n_columns_with_empty,
        COUNT(*) = COUNT(DISTINCT doc_id) AND COUNT(*) FILTER (WHERE quality IS NULL OR toxic IS NULL) = 0
          AS validation_passed,
-       ROUND(100.0::DOUBLE * COUNT(*) FILTER (WHERE quality IS NULL) / COUNT(*), 2) AS quality_null_pct
+       round_even(100.0::DOUBLE * COUNT(*) FILTER (WHERE quality IS NULL) / COUNT(*), 2) AS quality_null_pct
 FROM ({_DL_SQL}) j""")
 def q_quality_report(spark, d):
     r = quality_report(_docs_labels(spark, d), "documents", keys=["doc_id"])

@@ -117,3 +117,11 @@ def test_segment_filter_complete(spark, a, b):
         segment_probes("a", 2).alias("p"), segment_keys("b", 2).alias("k")).first()
     if _lev(a, b) <= 2:
         assert {tuple(x) for x in r.p} & {tuple(x) for x in r.k}
+
+
+def test_percent_ties_round_to_even(spark):
+    # 1 NULL in 800 rows is exactly 0.125 %: Python's round gives 0.12
+    from pyspark.sql import functions as F
+    df = spark.range(800).select(F.when(F.col("id") == 0, F.lit(None)).otherwise(
+        F.col("id")).alias("v"))
+    assert null_blank_share(df).first().null_pct == 0.12
