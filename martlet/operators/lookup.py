@@ -42,14 +42,15 @@ def deletion_variants(c, max_distance: int) -> Column:
     return F.array_distinct(F.concat(*levels))
 
 
-def _segment(length: Column, i: int, d: int) -> tuple[Column, Column]:
-    """0-based start and length of segment i when a string of ``length``
-    chars is cut into d+1 near-equal segments (the longer ones last)."""
-    n = d + 1
-    base = F.floor(length / F.lit(n)).cast("int")
-    short = F.lit(n) - length % F.lit(n)          # segments of length ``base``
-    seg_len = F.when(F.lit(i) < short, base).otherwise(base + 1)
-    start = F.lit(i) * base + F.greatest(F.lit(0), F.lit(i) - short)
+def _segment(length: Column, i, d: int) -> tuple[Column, Column]:
+    """0-based start and length of segment i (int or Column) when a string
+    of ``length`` chars is cut into d+1 near-equal segments (longer ones last)."""
+    n = F.lit(d + 1)
+    i = F.lit(i) if isinstance(i, int) else i
+    base = F.floor(length / n).cast("int")
+    short = n - length % n                         # segments of length ``base``
+    seg_len = F.when(i < short, base).otherwise(base + 1)
+    start = i * base + F.greatest(F.lit(0), i - short)
     return start, seg_len
 
 
@@ -57,29 +58,36 @@ def segment_keys(c, max_distance: int) -> Column:
     """Index side of the segment filter: (len, i, segment) for i = 0..d."""
     s, d = _c(c), max_distance
     n = F.length(s)
-    return F.array(*[F.struct(n.alias("l"), F.lit(i).alias("i"),
-                              F.substr(s, st + 1, ln).alias("seg"))
-                     for i in range(d + 1) for st, ln in [_segment(n, i, d)]])
+
+    def key(i: Column) -> Column:
+        st, ln = _segment(n, i, d)
+        return F.struct(n.alias("l"), i.alias("i"), F.substr(s, st + 1, ln).alias("seg"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(d)), key)
 
 
 def segment_probes(c, max_distance: int) -> Column:
     """Probe side: for every length l within d of the title's, every segment
     i of an l-long string and every shift within d, the title's substring
     at that place. A string within edit distance d keeps at least one of its
-    d+1 segments intact, shifted by at most d, so the probes find it."""
+    d+1 segments intact, shifted by at most d, so the probes find it.
+    Written with higher-order functions, so the expression stays small."""
     s, d = _c(c), max_distance
     n = F.length(s)
-    probes = []
-    for dl in range(-d, d + 1):
+    shifts = F.sequence(F.lit(-d), F.lit(d))
+
+    def probe(dl: Column, i: Column, delta: Column) -> Column:
         ln_ = n + dl
-        for i in range(d + 1):
-            st, sl = _segment(ln_, i, d)
-            for delta in range(-d, d + 1):
-                start = st + delta
-                ok = (ln_ >= 0) & (start >= 0) & (start + sl <= n)
-                probes.append(F.when(ok, F.struct(ln_.alias("l"), F.lit(i).alias("i"),
-                                                  F.substr(s, start + 1, sl).alias("seg"))))
-    return F.array_distinct(F.filter(F.array(*probes), lambda x: x.isNotNull()))
+        st, sl = _segment(ln_, i, d)
+        start = st + delta
+        ok = (ln_ >= 0) & (start >= 0) & (start + sl <= n)
+        return F.when(ok, F.struct(ln_.alias("l"), i.alias("i"),
+                                   F.substr(s, start + 1, sl).alias("seg")))
+
+    grid = F.flatten(F.transform(shifts, lambda dl: F.flatten(F.transform(
+        F.sequence(F.lit(0), F.lit(d)),
+        lambda i: F.transform(shifts, lambda delta: probe(dl, i, delta))))))
+    return F.array_distinct(F.filter(grid, lambda x: x.isNotNull()))
 
 
 def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
