@@ -178,11 +178,15 @@ def count_per_category(children: DataFrame, parents: DataFrame | None = None,
 def mode_comparison(df: DataFrame, modes: list[str], ids: list[str] | None = None,
                     mode_col: str = "mode", value_col: str = "hours") -> DataFrame:
     """Compare measures side by side (A13): unpivot, then per mode count,
-    exact mean, min, max."""
+    exact mean, median (``percentile_disc(0.5)``: a value of the data, its
+    buffer is a count per distinct value, not the rows), min, max."""
     long = df.unpivot(ids or [], modes, mode_col, value_col)
     return long.groupBy(mode_col).agg(
         F.count(value_col).alias("n_values"),
         exact_avg(value_col).alias("avg_value"),
+        # a data value, so casting back to the column's type is exact
+        F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value_col}`)")
+        .cast(long.schema[value_col].dataType).alias("median_value"),
         F.min(value_col).alias("min_value"), F.max(value_col).alias("max_value"))
 
 

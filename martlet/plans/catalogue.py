@@ -270,6 +270,7 @@ WITH h AS ({_hours_sql()}),
            UNION ALL SELECT 'completionist', completionist FROM h)
 SELECT mode, COUNT(hours) AS n_values,
        CAST(SUM(hours) AS DOUBLE) / COUNT(hours) AS avg_value,
+       percentile_disc(0.5) WITHIN GROUP (ORDER BY hours) AS median_value,
        MIN(hours) AS min_value, MAX(hours) AS max_value
 FROM u GROUP BY mode""")
 def q_mode_comparison(spark, d):

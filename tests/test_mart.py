@@ -118,6 +118,7 @@ def test_mode_comparison_leaders_distribution(spark):
                                "id int, main_story decimal(6,2), main_extra decimal(6,2)")
     r = {x.mode: x for x in mode_comparison(df, ["main_story", "main_extra"], ["id"]).collect()}
     assert (r["main_story"].n_values, r["main_story"].avg_value) == (2, 1.5)
+    assert r["main_story"].median_value == Decimal("1.00")
     assert r["main_extra"].n_values == 1
     st = spark.createDataFrame([(1, 10, 5), (2, 10, 9)], "id int, hp int, atk int")
     lead = {x.stat: (x.id, x.value) for x in stat_leaders(st, "id", ["hp", "atk"]).collect()}
