@@ -175,3 +175,15 @@ def test_kpis_and_views_on_empty_tables(spark):
     assert [tuple(r) for r in k] == [(0, 0, None, None, None)]
     assert popular_entities(games, streams).count() == 0
     assert load_summary(_logs(spark).limit(0)).count() == 0
+
+
+def test_duration_sql_view(spark):
+    games, streams = _mart(spark)
+    hltb = spark.createDataFrame(
+        [("A", Decimal("60.00"), None, None, False), ("B", Decimal("5.00"), None, None, False),
+         ("C", None, Decimal("3.00"), None, False), ("D", Decimal("30.00"), None, None, True)],
+        "game_name string, main_story decimal(6,2), main_extra decimal(6,2), "
+        "completionist decimal(6,2), dw_deleted boolean")
+    register_mart_views(spark, games, streams, hltb=hltb)
+    r = spark.sql("SELECT game_name, duration_category FROM v_hltb_games_by_duration").collect()
+    assert [tuple(x) for x in r] == [("A", "Muy Largo (> 50h)"), ("B", "Corto (< 10h)")]
