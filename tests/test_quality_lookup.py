@@ -125,3 +125,31 @@ def test_percent_ties_round_to_even(spark):
     df = spark.range(800).select(F.when(F.col("id") == 0, F.lit(None)).otherwise(
         F.col("id")).alias("v"))
     assert null_blank_share(df).first().null_pct == 0.12
+
+
+def test_segment_filter_complete_on_random_edits(spark):
+    # 4,000 random strings, each with 0-2 random edits: every pair must share
+    # a probe/segment key; checked in one Spark job
+    from pyspark.sql import functions as F
+    from martlet.operators.lookup import segment_keys, segment_probes
+    rnd = random.Random(3)
+    pairs = []
+    for _ in range(4000):
+        a = "".join(rnd.choice("abcde ") for _ in range(rnd.randint(0, 20)))
+        b = list(a)
+        for _ in range(rnd.randint(0, 2)):
+            op, pos = rnd.choice("isd"), rnd.randint(0, len(b))
+            if op == "i":
+                b.insert(pos, rnd.choice("abcde "))
+            elif b and op == "s":
+                b[min(pos, len(b) - 1)] = rnd.choice("abcde ")
+            elif b:
+                del b[min(pos, len(b) - 1)]
+        pairs.append((a, "".join(b)))
+    rows = spark.createDataFrame(pairs, "a string, b string").select(
+        "a", "b", segment_probes("a", 2).alias("p"), segment_keys("b", 2).alias("k"),
+        F.size(segment_probes("a", 2)).alias("n")).collect()
+    assert max(r.n for r in rows) <= 19
+    missed = [(r.a, r.b) for r in rows
+              if _lev(r.a, r.b) <= 2 and not ({tuple(x) for x in r.p} & {tuple(x) for x in r.k})]
+    assert missed == []
