@@ -34,30 +34,21 @@ def _latest_run(df: DataFrame, run_col: str) -> DataFrame:
     return df.filter(F.col(run_col) == latest)
 
 
-def popular_entities(games: DataFrame, streams: DataFrame, key: str = "game_id",
-                     name: str = "game_name", stream_id: str = "stream_id",
-                     value: str = "viewer_count", deleted: str = "dw_deleted",
-                     run_col: str | None = None, keep_key: bool = False,
-                     nulls: str = "last") -> DataFrame:
-    """Popular-games view.
-
-    Same result as ``games LEFT JOIN streams ON key WHERE g.deleted = FALSE
-    AND (s.deleted = FALSE OR s.deleted IS NULL) GROUP BY key, name``:
-    a game with no streams stays (count 0, sums NULL), a game whose streams
-    are all deleted disappears, and duplicated (key, name) game rows multiply
-    counts and sums as the plain join does. ``run_col`` restricts both sides
-    to the latest run first. Ordered by total_viewers DESC NULLS LAST (or
-    FIRST, the PostgreSQL default), then key.
-    """
-    if run_col:
-        games, streams = _latest_run(games, run_col), _latest_run(streams, run_col)
+def _stream_stats(streams: DataFrame, key: str, stream_id: str, value: str,
+                  deleted: str) -> DataFrame:
+    """Per-key partials of the stream table in one partial (map-side)
+    aggregate; rows count as live as after a LEFT JOIN (P20)."""
     live = live_rows(deleted, missing_is_live=True)
     v = F.when(live, F.col(value))
-    s = streams.groupBy(key).agg(
+    return streams.groupBy(key).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count_if(live).alias("_live"),
         F.count(F.when(live, F.col(stream_id))).alias("_cnt"),
         F.sum(v).alias("_sum"), F.avg(v).alias("_avg"), F.max(v).alias("_max"))
+
+
+def _popular(games: DataFrame, s: DataFrame, key: str, name: str, deleted: str,
+             keep_key: bool, nulls: str) -> DataFrame:
     g = (games.filter(live_rows(deleted)).groupBy(key, name)
          .agg(F.count(F.lit(1)).alias("_m")))
     j = (g.join(s, key, "left")
@@ -75,6 +66,27 @@ def popular_entities(games: DataFrame, streams: DataFrame, key: str = "game_id",
     return out if keep_key else out.drop("_key")
 
 
+def popular_entities(games: DataFrame, streams: DataFrame, key: str = "game_id",
+                     name: str = "game_name", stream_id: str = "stream_id",
+                     value: str = "viewer_count", deleted: str = "dw_deleted",
+                     run_col: str | None = None, keep_key: bool = False,
+                     nulls: str = "last") -> DataFrame:
+    """Popular-games view.
+
+    Same result as ``games LEFT JOIN streams ON key WHERE g.deleted = FALSE
+    AND (s.deleted = FALSE OR s.deleted IS NULL) GROUP BY key, name``:
+    a game with no streams stays (count 0, sums NULL), a game whose streams
+    are all deleted disappears, and duplicated (key, name) game rows multiply
+    counts and sums as the plain join does. ``run_col`` restricts both sides
+    to the latest run first. Ordered by total_viewers DESC NULLS LAST (or
+    FIRST, the PostgreSQL default), then key.
+    """
+    if run_col:
+        games, streams = _latest_run(games, run_col), _latest_run(streams, run_col)
+    s = _stream_stats(streams, key, stream_id, value, deleted)
+    return _popular(games, s, key, name, deleted, keep_key, nulls)
+
+
 def entity_kpis(games: DataFrame, streams: DataFrame, key: str = "game_id",
                 name: str = "game_name", stream_id: str = "stream_id",
                 value: str = "viewer_count", deleted: str = "dw_deleted",
@@ -83,24 +95,23 @@ def entity_kpis(games: DataFrame, streams: DataFrame, key: str = "game_id",
     mean viewers per live stream, and the top game with its viewers.
 
     Each figure is a scalar subquery (no join of one-row frames); name and
-    viewers of the top game come from the same single top-1 row.
+    viewers of the top game come from the same single top-1 row. Stream
+    count and mean are one global aggregate (map-side partials, no keyed
+    shuffle); the ranking pre-aggregates streams per game before its join.
     ``approx_distinct`` counts games with HyperLogLog++ (no shuffle by key,
     about 1% error) instead of the exact distinct count.
     """
     spark = games.sparkSession
-    live = live_rows(deleted)
-    sl = streams.filter(live)
-    pop = popular_entities(games, streams, key, name, stream_id, value, deleted,
-                           keep_key=True, nulls=nulls)
+    s = _stream_stats(streams, key, stream_id, value, deleted)
+    pop = _popular(games, s, key, name, deleted, keep_key=True, nulls=nulls)
     top = pop.limit(1).select(F.struct(F.col(name).alias("n"),
                                        F.col("total_viewers").alias("v")))
-    # count and mean of live streams in one pass over the (large) stream table
-    st = sl.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg(value).alias("a")))
+    st = streams.filter(live_rows(deleted)).agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.avg(value).alias("a")))
     return spark.range(1, numPartitions=1).select(
-        games.filter(live).agg(
+        games.filter(live_rows(deleted)).agg(
             F.approx_count_distinct(key) if approx_distinct else F.count_distinct(key)
-        ).scalar().cast("int")
-        .alias("total_games"),
+        ).scalar().cast("int").alias("total_games"),
         st.scalar().alias("_st"),
         top.scalar().alias("_top"),
     ).select("total_games", F.col("_st.n").cast("int").alias("total_active_streams"),
