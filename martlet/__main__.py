@@ -46,6 +46,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--landing", action="append", required=True, metavar="NAME=PATH")
     r.add_argument("--run-id")
     r.add_argument("--multi-line", action="store_true")
+    r.add_argument("--format", choices=("json", "parquet"), default="json",
+                   help="format of the landed files")
     r.add_argument("--fail-fast", action="store_true")
     r.add_argument("--durations", metavar="PARQUET",
                    help="duration catalogue to look this run's game names up in")
@@ -70,7 +72,8 @@ def main(argv: list[str] | None = None) -> int:
                 name, _, path = item.partition("=")
                 if name not in LANDING_SCHEMAS:
                     ap.error(f"unknown source {name!r}; known: {sorted(LANDING_SCHEMAS)}")
-                landings.append(Landing(name, path, LANDING_SCHEMAS[name], a.multi_line))
+                landings.append(Landing(name, path, LANDING_SCHEMAS[name], a.multi_line,
+                                        a.format))
             durations = spark.read.parquet(a.durations) if a.durations else None
             logs = run_pipeline(spark, landings, a.base, a.run_id, a.fail_fast,
                                 durations=durations, n_titles=a.titles)

@@ -33,11 +33,13 @@ RUN_COL = "dw_id_carga"
 
 @dataclass(frozen=True)
 class Landing:
-    """A landed source: JSON files at ``path`` with a fixed ``schema``."""
+    """A landed source: JSON (or Parquet) files at ``path``, read with a
+    fixed ``schema``."""
     name: str
     path: str
     schema: StructType
     multi_line: bool = False
+    fmt: str = "json"
 
 
 @dataclass(frozen=True)
@@ -87,8 +89,13 @@ def land(spark: SparkSession, src: Landing, raw_dir: str, run_id: str) -> dict:
     per-kind branches of the cleaning plan read only their own files
     (partition pruning instead of one full scan per kind)."""
     start = _now()
-    df = read_json(spark, src.path, src.schema, src.multi_line).withColumn(
-        RUN_COL, F.lit(run_id))
+    if src.fmt == "json":
+        df = read_json(spark, src.path, src.schema, src.multi_line)
+    elif src.fmt == "parquet":
+        df = spark.read.schema(src.schema).parquet(src.path)
+    else:
+        raise ValueError(f"unsupported landing format {src.fmt!r}")
+    df = df.withColumn(RUN_COL, F.lit(run_id))
     out = os.path.join(raw_dir, src.name)
     spec = SPECS[src.name.lower()]
     by_kind = (spec.kind_col,) if (spec.kind_col in df.columns

@@ -238,3 +238,16 @@ def test_sql_entry_over_warehouse(spark, tmp_dir):
     assert tuple(top) == ("Zelda", 10)
     s = spark.sql("SELECT source, total_loads FROM get_load_summary('TWITCH')").collect()
     assert [r.source for r in s] == ["TWITCH"]
+
+
+def test_parquet_landing(spark, tmp_dir):
+    from martlet.sources import LANDING_SCHEMAS, HLTB
+    src_dir = os.path.join(tmp_dir, "raw_parquet")
+    spark.createDataFrame([("hl_tb_time", "Halo", None, None, 9.5, None, None,
+                            "2025-06-10T10:00:00", "howlongtobeat", "hltb_search")],
+                          HLTB).write.parquet(src_dir)
+    base = os.path.join(tmp_dir, "wh")
+    logs = run_pipeline(spark, [Landing("howlongtobeat", src_dir,
+                                        LANDING_SCHEMAS["howlongtobeat"], fmt="parquet")],
+                        base, run_id="r1")
+    assert {(r.step, r.records_count) for r in logs.collect()} >= {("land", 1), ("publish", 1)}
