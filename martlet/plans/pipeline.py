@@ -52,6 +52,7 @@ class MartTable:
 
 
 # Source -> mart tables, keys as in the mart's UNIQUE rules.
+# Twitch lands either mixed ("twitch") or as separate game and stream sets.
 ROUTES: dict[str, tuple[MartTable, ...]] = {
     "twitch": (MartTable("twitch_games", ("game_id",), "game",
                          ("record_type", "game_id", "game_name", "box_art_url",
@@ -63,6 +64,8 @@ ROUTES: dict[str, tuple[MartTable, ...]] = {
     "showdown_pokedex": (MartTable("showdown_pokedex", ("pokemon_id",)),),
     "howlongtobeat": (MartTable("hltb_games", ("game_name",)),),
 }
+ROUTES["twitch_games"] = (ROUTES["twitch"][0],)
+ROUTES["twitch_streams"] = (ROUTES["twitch"][1],)
 DW_COLS = ("dw_fecha_registro", "dw_id_carga", "dw_deleted", "dw_source", "dw_endpoint")
 
 

@@ -251,3 +251,23 @@ def test_parquet_landing(spark, tmp_dir):
                                         LANDING_SCHEMAS["howlongtobeat"], fmt="parquet")],
                         base, run_id="r1")
     assert {(r.step, r.records_count) for r in logs.collect()} >= {("land", 1), ("publish", 1)}
+
+
+def test_separate_game_and_stream_landings(spark, tmp_dir):
+    from martlet.sources import LANDING_SCHEMAS
+    g, st = os.path.join(tmp_dir, "g"), os.path.join(tmp_dir, "s")
+    os.makedirs(g)
+    os.makedirs(st)
+    with open(os.path.join(g, "a.json"), "w") as f:
+        f.write(json.dumps({"record_type": "game", "game_id": "1", "game_name": "Zelda",
+                            "extraction_time": "2025-06-10T10:00:00"}))
+    with open(os.path.join(st, "a.json"), "w") as f:
+        f.write(json.dumps({"record_type": "stream", "stream_id": "s1", "game_id": "1",
+                            "user_name": "ann", "viewer_count": 4,
+                            "extraction_time": "2025-06-10T10:00:00"}))
+    base = os.path.join(tmp_dir, "wh")
+    run_pipeline(spark, [Landing("twitch_games", g, LANDING_SCHEMAS["twitch_games"]),
+                         Landing("twitch_streams", st, LANDING_SCHEMAS["twitch_streams"])],
+                 base, run_id="r1")
+    assert spark.read.parquet(os.path.join(base, "core", "twitch_games")).count() == 1
+    assert spark.read.parquet(os.path.join(base, "core", "twitch_streams")).count() == 1
