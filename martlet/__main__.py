@@ -52,6 +52,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--durations", metavar="PARQUET",
                    help="duration catalogue to look this run's game names up in")
     r.add_argument("--titles", type=int, default=100, help="game names to look up")
+    r.add_argument("--quality", action="store_true",
+                   help="add a quality-report audit row per published table")
     e = sub.add_parser("export", help="Parquet datasets to CSV folders")
     e.add_argument("--in", dest="in_dir", required=True)
     e.add_argument("--out", required=True)
@@ -76,7 +78,7 @@ def main(argv: list[str] | None = None) -> int:
                                         a.format))
             durations = spark.read.parquet(a.durations) if a.durations else None
             logs = run_pipeline(spark, landings, a.base, a.run_id, a.fail_fast,
-                                durations=durations, n_titles=a.titles)
+                                durations=durations, n_titles=a.titles, quality=a.quality)
             bad = logs.filter("status = 'ERROR'").count()
             return 1 if bad else 0
         if a.cmd == "sql":

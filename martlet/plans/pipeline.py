@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from martlet.operators.audit import audit_frame, observe_count
 from martlet.operators.dedup import distinct_values
 from martlet.operators.lookup import first_match_lookup, unmatched_titles
+from martlet.operators.quality import quality_report
 from martlet.plans.specs import SPECS, clean_source, reject_counts
 from martlet.sinks.writers import (
     append_new_rows, export_csv, restamp_lineage, select_target_columns,
@@ -179,6 +180,30 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def quality_audit(spark: SparkSession, name: str, mart_dir: str, run_id: str) -> list[dict]:
+    """Quality report (A10) of this run's rows in every table the source
+    publishes to: one audit row each, the report as JSON in the message."""
+    rows = []
+    for t in ROUTES.get(name, ()):
+        start = _now()
+        path = os.path.join(mart_dir, t.table)
+        if not (os.path.exists(path) or _exists(spark, path)):
+            continue
+        df = spark.read.parquet(path).filter(F.col(RUN_COL) == run_id)
+        cols = [c for c in df.columns if c not in DW_COLS]
+        r = quality_report(df, t.table, keys=list(t.keys), cols=cols).first()
+        report = {"duplicate_count": r.duplicate_count,
+                  "columns_with_empty": list(r.columns_with_empty),
+                  "null_percentage": dict(r.null_percentage),
+                  "validation_passed": r.validation_passed}
+        rows.append({"run_id": run_id, "step": "quality", "source": name.upper(),
+                     "endpoint": f"quality/{t.table}", "output_file": path,
+                     "records_count": r.total_records, "status": "SUCCESS",
+                     "error_message": json.dumps(report, sort_keys=True),
+                     "load_start_time": start, "load_end_time": _now()})
+    return rows
+
+
 def lookup_durations(spark: SparkSession, catalogue: DataFrame, raw_dir: str,
                      mart_dir: str, run_id: str, n_titles: int = 100) -> dict:
     """Durations for this run's published game names (S8, S9, J3, J4):
@@ -203,13 +228,15 @@ def lookup_durations(spark: SparkSession, catalogue: DataFrame, raw_dir: str,
 
 def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
                  run_id: str | None = None, fail_fast: bool = False,
-                 durations: DataFrame | None = None, n_titles: int = 100) -> DataFrame:
+                 durations: DataFrame | None = None, n_titles: int = 100,
+                 quality: bool = False) -> DataFrame:
     """Whole batch (G1, G2, G3): for every source land, clean, publish; the
     audit rows are appended to ``{base_dir}/etl_logs`` and returned.
 
     With a ``durations`` catalogue, the first ``n_titles`` game names
     published by this run are looked up in it and the matches go through
-    the same clean/publish path as a landed duration source."""
+    the same clean/publish path as a landed duration source. With
+    ``quality`` every published table gets a quality-report audit row."""
     run_id = run_id or new_run_id()
     raw_dir, mart_dir = os.path.join(base_dir, "raw"), os.path.join(base_dir, "core")
     audit: list[dict] = []
@@ -218,6 +245,8 @@ def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
         audit.append(reject_audit(spark, name, raw_dir, run_id))
         pub = publish(spark, clean_phase(spark, name, raw_dir, run_id), name, mart_dir, run_id)
         audit.extend(pub)
+        if quality:
+            audit.extend(quality_audit(spark, name, mart_dir, run_id))
         return fail_fast and any(r.get("status") == "ERROR" for r in pub)
 
     stop = False

@@ -271,3 +271,22 @@ def test_separate_game_and_stream_landings(spark, tmp_dir):
                  base, run_id="r1")
     assert spark.read.parquet(os.path.join(base, "core", "twitch_games")).count() == 1
     assert spark.read.parquet(os.path.join(base, "core", "twitch_streams")).count() == 1
+
+
+def test_quality_step_in_pipeline(spark, tmp_dir):
+    from martlet.sources import LANDING_SCHEMAS
+    land = os.path.join(tmp_dir, "h")
+    os.makedirs(land)
+    with open(os.path.join(land, "a.json"), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in [
+            {"record_type": "hl_tb_time", "game_name": "Halo", "main_story": 9.5,
+             "extraction_time": "2025-06-10T10:00:00"},
+            {"record_type": "hl_tb_time", "game_name": "Doom", "main_story": 4.0,
+             "main_extra": 6.0, "extraction_time": "2025-06-10T10:00:00"}]))
+    logs = run_pipeline(spark, [Landing("howlongtobeat", land, LANDING_SCHEMAS["howlongtobeat"])],
+                        os.path.join(tmp_dir, "wh"), run_id="r1", quality=True)
+    q = [r for r in logs.collect() if r.step == "quality"]
+    assert len(q) == 1 and q[0].records_count == 2
+    rep = json.loads(q[0].error_message)
+    assert rep["duplicate_count"] == 0 and rep["null_percentage"]["main_extra"] == 50.0
+    assert rep["validation_passed"] is False and "main_extra" in rep["columns_with_empty"]
