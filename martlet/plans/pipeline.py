@@ -226,6 +226,19 @@ def lookup_durations(spark: SparkSession, catalogue: DataFrame, raw_dir: str,
             "load_start_time": start, "load_end_time": _now()}
 
 
+def append_audit(spark: SparkSession, rows: list[dict], logs_dir: str,
+                 idempotent: bool = False) -> DataFrame:
+    """Append audit rows to the log table (G3). ``idempotent`` skips rows
+    whose (run_id, step, endpoint) is already logged, for replays of the
+    same run (streaming micro-batches); a batch re-run logs every attempt."""
+    logs = audit_frame(spark, rows)
+    if idempotent:
+        existing = _read(spark, logs_dir, logs.schema)
+        logs = append_new_rows(logs, existing, ["run_id", "step", "endpoint"])
+    logs.write.mode("append").parquet(logs_dir)
+    return logs
+
+
 def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
                  run_id: str | None = None, fail_fast: bool = False,
                  durations: DataFrame | None = None, n_titles: int = 100,
@@ -258,9 +271,7 @@ def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
     if durations is not None and not stop:
         audit.append(lookup_durations(spark, durations, raw_dir, mart_dir, run_id, n_titles))
         finish("howlongtobeat")
-    logs = audit_frame(spark, audit)
-    logs.write.mode("append").parquet(os.path.join(base_dir, "etl_logs"))
-    return logs
+    return append_audit(spark, audit, os.path.join(base_dir, "etl_logs"))
 
 
 def hours_for_titles(games: DataFrame, catalogue: DataFrame, batch_time: str,

@@ -16,8 +16,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from martlet.operators.audit import audit_frame
-from martlet.plans.pipeline import Landing, publish
+from martlet.plans.pipeline import Landing, append_audit, publish
 from martlet.plans.specs import clean_source
 from martlet.session import scratch_path
 
@@ -41,7 +40,8 @@ def start_incremental(spark: SparkSession, src: Landing, base_dir: str,
         session = batch.sparkSession
         cleaned = clean_source(batch, src.name, run_id)
         rows = publish(session, cleaned, src.name, mart_dir, run_id)
-        audit_frame(session, rows).write.mode("append").parquet(logs_dir)
+        # a replayed batch logs nothing twice
+        append_audit(session, rows, logs_dir, idempotent=True)
 
     w = (stream.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", ckpt).queryName(f"land-{src.name}"))

@@ -30,3 +30,14 @@ def test_incremental_landing_exactly_once(spark, tmp_dir):
     mart = spark.read.parquet(os.path.join(base, "core", "hltb_games"))
     assert sorted(r.game_name for r in mart.collect()) == ["Halo", "Zelda"]
     assert mart.select("dw_id_carga").distinct().count() == 2
+
+
+def test_audit_append_idempotent_for_replays(spark, tmp_dir):
+    from martlet.plans.pipeline import append_audit
+    logs_dir = os.path.join(tmp_dir, "logs")
+    row = {"run_id": "stream-x-0000000001", "step": "publish", "endpoint": "load/core_x",
+           "source": "X", "records_count": 3}
+    append_audit(spark, [row], logs_dir, idempotent=True)
+    append_audit(spark, [dict(row, records_count=0)], logs_dir, idempotent=True)  # replay
+    got = spark.read.parquet(logs_dir).collect()
+    assert [(r.run_id, r.records_count) for r in got] == [("stream-x-0000000001", 3)]
