@@ -9,6 +9,28 @@ import __spark_entry__ as entry  # noqa: E402
 from conftest import SF  # noqa: E402
 
 
+def global_windows(plan: str) -> list[str]:
+    """Window operators whose spec has no partition key: the first argument
+    of windowspecdefinition is then a sort key or the frame itself."""
+    out = []
+    for ln in plan.splitlines():
+        if "Window [" not in ln or "windowspecdefinition(" not in ln:
+            continue
+        first = ln.split("windowspecdefinition(", 1)[1].split(", ", 1)[0]
+        if "ASC NULLS" in first or "DESC NULLS" in first or first.startswith("specifiedwindowframe"):
+            out.append(ln)
+    return out
+
+
+def test_global_window_detector(spark):
+    from pyspark.sql import Window, functions as F
+    glob = spark.range(10).withColumn("r", F.row_number().over(Window.orderBy("id")))
+    part = spark.range(10).withColumn("r", F.row_number().over(
+        Window.partitionBy(F.col("id") % 2).orderBy("id")))
+    assert global_windows(glob._jdf.queryExecution().executedPlan().toString())
+    assert not global_windows(part._jdf.queryExecution().executedPlan().toString())
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["game_name", "active_streams", "avg_viewers", "total_viewers",
@@ -27,6 +49,8 @@ def test_query_runs_without_python_udfs(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # no window without a partition key: it would pull every row into one task
+    assert not global_windows(plan)
 
 
 def test_kind_filter_and_pruning_reach_scan(spark):
