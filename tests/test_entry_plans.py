@@ -68,3 +68,15 @@ def test_popular_entities_aggregates_before_join(spark):
     # the child side is reduced per key (partial aggregate) before the join
     join_at = plan.index("Join LeftOuter")
     assert "Aggregate [game_id" in plan[join_at:]
+
+
+def test_limits_only_where_they_are_the_feature(spark):
+    # top-n reports and first-n listings; every other query returns whole results
+    import re
+    capped = {n for n, q in entry.oracle_sql().items() if re.search(r"\bLIMIT\b", q)}
+    assert capped == {"distinct_limit", "kpis", "longest_games", "paged_collection",
+                      "top_entity_children"}
+    for n in sorted(entry.queries()):
+        plan = entry.queries()[n](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        has_limit = "GlobalLimit" in plan or "LocalLimit" in plan
+        assert has_limit == (n in capped), n
