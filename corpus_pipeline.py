@@ -5,33 +5,70 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlet.llm import packing
+from martlet.llm import decontam, packing, quality, secrets, simhash
 from martlet.llm.common import stored
 from martlet.llm.queries import vocabulary
 from martlet.sources.readers import read_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: SQL can express neither fingerprints' components nor packing
+#: SQL can express neither the components of fingerprints nor packing
 ORACLE_SQL: str | None = None
 
 
+def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``ids`` (chosen_id), with their columns."""
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["chosen_id"]), "left_semi")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no rule of the cascade rejects."""
+    return quality.kept_documents(docs)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near-duplicates the document with the smallest
+    doc_id; of rows that share that id, one. Rows without an id stay if nothing
+    with an id is linked to them."""
+    found = simhash.near_duplicates(docs.select("doc_id", "text"), shingle=4, max_bits=4)
+    ids = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
+        F.col("doc_id").alias("chosen_id")).distinct()
+    kept = _chosen(docs, ids)
+    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't contaminated. Rows of one doc_id go if one of them is."""
+    items = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    judged = decontam.contamination(docs.select("doc_id", "text"), items, slack=0)
+    bad = judged.filter("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret in their texts replaced by a mark."""
+    return secrets.redacted_documents(docs)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences."""
     return packing.pack_documents(docs, vocabulary())
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", simhash_near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
     ("best-fit packing", best_fit_packing),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the last one's rows."""
+    """All stages over ``documents``; the rows of the last."""
     docs = read_table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs, name.replace(" ", "-"))
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

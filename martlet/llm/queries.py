@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlet.sources.readers import read_table
 
-from . import packing, simhash, token_store
+from . import (decontam, packing, quality, secrets, simhash, substrings, token_counts, token_store, toxicity, urls)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +43,45 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(documents(spark, sf_dir))
+
+
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "source", "lang", "text"])
+    return token_counts.rolled_up(docs, vocabulary(), "byte_bpe_50k")
+
+
+@query
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(documents(spark, sf_dir)).drop("kept")
+
+
+# The rules of the URL query.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    return urls.filtered(pages, urls.rule_table(spark, URL_RULES))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(documents(spark, sf_dir), read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
