@@ -49,7 +49,9 @@ def collected(df: DataFrame, bound: int, what: str) -> list:
     return rows
 
 
-def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows, else as it
-    is, for a shuffled join. For stored tables, whose count costs little."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, most: int = 1_000_000, entries: str | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows, or entries in
+    all rows of its array column ``entries``; else as it is, for a shuffled join.
+    For stored tables, whose count costs little."""
+    n = df.agg(F.sum(F.size(entries))).first()[0] or 0 if entries else df.limit(most + 1).count()
+    return F.broadcast(df) if n <= most else df

@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import small, stored
 from .tokens import groups
 
-#: documents whose spans are sent to all tasks; with more, texts are shuffled
-SENT = 200_000
+#: spans sent to all tasks; with more, texts are shuffled to them
+SENT = 1_000_000
 
 C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -178,7 +178,7 @@ def reread(docs: DataFrame, runs: DataFrame, k: int, w: int) -> DataFrame:
                          batch.column("doc_id").take(take), batch.column("tkey").take(take),
                          pa.array(np.concatenate(pos).astype(np.int32))], schema=schema)
 
-    return docs.join(small(spans, SENT), ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "spans").mapInArrow(
+    return docs.join(small(spans, SENT, "spans"), ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "spans").mapInArrow(
         run, "w1 long, w2 long, doc_id long, tkey long, pos int")
 
 
@@ -236,7 +236,7 @@ def without_repeats(docs: DataFrame, k: int = 26, w: int = 25) -> DataFrame:
                                               pa.array(sha, pa.string()), pa.array(kept, pa.string())],
                                              names=["doc_id", "tkey", "n_removed", "kept_sha256", "kept"])
 
-    changed = (keyed.join(small(gone, SENT), ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "gone")
+    changed = (keyed.join(small(gone, SENT, "gone"), ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "gone")
                .mapInArrow(run, "doc_id long, tkey long, n_removed long, kept_sha256 string, kept string")
                .dropDuplicates(["doc_id", "tkey"]))
     return (summary.select("doc_id", "tkey", "n_words", "sha").join(changed, ["doc_id", "tkey"], "left")
