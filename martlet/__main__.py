@@ -23,13 +23,13 @@ def register_warehouse(spark, base: str) -> list[str]:
     ``run`` (``core/*`` mart tables and ``etl_logs``)."""
     import os
 
+    from martlet.plans.pipeline import exists, read_mart
     from martlet.plans.views import register_mart_views, register_table_functions
 
     core = os.path.join(base, "core")
-    games = spark.read.parquet(os.path.join(core, "twitch_games"))
-    streams = spark.read.parquet(os.path.join(core, "twitch_streams"))
+    games, streams = (read_mart(spark, os.path.join(core, t)) for t in ("twitch_games", "twitch_streams"))
     hltb_path = os.path.join(core, "hltb_games")
-    hltb = spark.read.parquet(hltb_path) if os.path.exists(hltb_path) else None
+    hltb = read_mart(spark, hltb_path) if exists(spark, hltb_path) else None
     logs = spark.read.parquet(os.path.join(base, "etl_logs"))
     names = register_mart_views(spark, games, streams, hltb=hltb, logs=logs)
     register_table_functions(spark)
@@ -51,7 +51,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--fail-fast", action="store_true")
     r.add_argument("--durations", metavar="PARQUET",
                    help="duration catalogue to look this run's game names up in")
-    r.add_argument("--titles", type=int, default=100, help="game names to look up")
+    r.add_argument("--titles", type=int, help="look up only the first so many game names")
+    r.add_argument("--max-distance", type=int, default=2, help="edits within which names match")
     r.add_argument("--quality", action="store_true",
                    help="add a quality-report audit row per published table")
     e = sub.add_parser("export", help="Parquet datasets to CSV folders")
@@ -78,7 +79,8 @@ def main(argv: list[str] | None = None) -> int:
                                         a.format))
             durations = spark.read.parquet(a.durations) if a.durations else None
             logs = run_pipeline(spark, landings, a.base, a.run_id, a.fail_fast,
-                                durations=durations, n_titles=a.titles, quality=a.quality)
+                                durations=durations, n_titles=a.titles, quality=a.quality,
+                                max_distance=a.max_distance)
             bad = logs.filter("status = 'ERROR'").count()
             return 1 if bad else 0
         if a.cmd == "sql":

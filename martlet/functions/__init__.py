@@ -8,7 +8,7 @@ from martlet.functions.casts import (  # noqa: F401
     utc_to_timestamp, safe_cast, is_rejected,
 )
 from martlet.functions.nested import (  # noqa: F401
-    map_value, array_first, array_nth, json_text, complex_to_string,
+    map_value, array_first, array_nth, json_text,
     map_from_json,
 )
 from martlet.functions.bands import band, DURATION_BANDS  # noqa: F401

@@ -31,9 +31,3 @@ def json_text(c) -> Column:
 def map_from_json(c, value_type: str = "int") -> Column:
     """JSON object text -> ``map<string, value_type>``; bad JSON -> NULL."""
     return F.from_json(_c(c), f"map<string,{value_type}>")
-
-
-def complex_to_string(c) -> Column:
-    """Spark's own text form of a complex value (``{k -> v}``, ``[a, b]``),
-    as the CSV export writes it (K2)."""
-    return _c(c).cast("string")

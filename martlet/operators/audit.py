@@ -37,17 +37,18 @@ def with_duration_seconds(df: DataFrame, start: str = "load_start_time",
 
 
 def audit_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
-    """Audit rows with the defaults of the log table (K6): count 0, source
-    UNKNOWN, status SUCCESS, times 'now'; plus derived duration_seconds."""
+    """Audit rows with the defaults of the log table (K6): counts 0, source
+    UNKNOWN, status SUCCESS, times and created_at 'now'; plus derived
+    duration_seconds."""
     now = _dt.datetime.now(_dt.timezone.utc)
     full = []
     for r in rows:
         full.append((
             r.get("run_id"), r.get("step"),
             r.get("load_start_time") or now, r.get("load_end_time") or now,
-            int(r.get("records_count") or 0), r.get("source") or "UNKNOWN",
-            r.get("endpoint"), r.get("output_file"),
-            r.get("status") or "SUCCESS", r.get("error_message")))
+            int(r.get("records_count") or 0), int(r.get("rejected_count") or 0),
+            r.get("source") or "UNKNOWN", r.get("endpoint"), r.get("output_file"),
+            r.get("status") or "SUCCESS", r.get("error_message"), r.get("created_at") or now))
     return with_duration_seconds(spark.createDataFrame(full, AUDIT))
 
 

@@ -54,14 +54,21 @@ def _segment(length: Column, i, d: int) -> tuple[Column, Column]:
     return start, seg_len
 
 
+def _around(s: Column, start: Column, length: Column) -> Column:
+    """A string without one of its segments, a mark in the segment's place."""
+    return F.concat(F.substr(s, F.lit(1), start), F.lit("\u0000"), F.substr(s, start + length + 1))
+
+
 def segment_keys(c, max_distance: int) -> Column:
-    """Index side of the segment filter: (len, i, segment) for i = 0..d."""
+    """Index side of the segment filter: (len, i, segment) for i = 0..d, and
+    ``rest``, what the string has on either side of the segment."""
     s, d = _c(c), max_distance
     n = F.length(s)
 
     def key(i: Column) -> Column:
         st, ln = _segment(n, i, d)
-        return F.struct(n.alias("l"), i.alias("i"), F.substr(s, st + 1, ln).alias("seg"))
+        return F.struct(n.alias("l"), i.alias("i"), F.substr(s, st + 1, ln).alias("seg"),
+                        _around(s, st, ln).alias("rest"))
 
     return F.transform(F.sequence(F.lit(0), F.lit(d)), key)
 
@@ -95,7 +102,8 @@ def segment_probes(c, max_distance: int) -> Column:
                 start = st + delta
                 ok = (ln_ >= 0) & (start >= 0) & (start + sl <= n)
                 return F.when(ok, F.struct(ln_.alias("l"), i.alias("i"),
-                                           F.substr(s, start + 1, sl).alias("seg")))
+                                           F.substr(s, start + 1, sl).alias("seg"),
+                                           _around(s, start, sl).alias("rest")))
 
             return F.transform(shifts, probe)
 
@@ -105,11 +113,40 @@ def segment_probes(c, max_distance: int) -> Column:
     return F.array_distinct(F.filter(grid, lambda x: x.isNotNull()))
 
 
+def segment_candidates(titles: DataFrame, catalogue: DataFrame, max_distance: int,
+                       block: int = 1000) -> DataFrame:
+    """Pairs (title, _k, _ck, match_id, match_name) among which all pairs within
+    ``max_distance`` are: those that share a segment. A pair may occur twice.
+
+    Catalogue blocks (names with one segment in one place) are counted first.
+    A title meets at most ``block`` names in a block of that size or less. In a
+    larger one, where names share a prefix, say, what surrounds the segment
+    decides as well: two strings that agree on a segment are within d edits only
+    if the rests are, and those share a deletion variant. So a title meets only
+    names with an equal variant of the rest, and the result stays complete."""
+    names = catalogue.select("_ck", "match_id", "match_name", F.explode(
+        segment_keys("_ck", max_distance)).alias("_s")).select("_ck", "match_id", "match_name", "_s.*")
+    probes = titles.select("title", "_k", F.explode(
+        segment_probes("_k", max_distance)).alias("_s")).select("title", "_k", "_s.*")
+    key = ["l", "i", "seg"]
+    large = (names.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > block).select(*key, F.lit(True).alias("_large")))
+
+    def keyed(df: DataFrame) -> DataFrame:
+        marked = df.join(large, key, "left")
+        variants = F.when(F.col("_large"), deletion_variants("rest", max_distance)).otherwise(
+            F.array(F.lit("")))
+        return marked.select(*[c for c in df.columns if c != "rest"], F.explode(variants).alias("_v"))
+
+    return (keyed(probes).join(keyed(names).hint("merge"), key + ["_v"])
+            .select("title", "_k", "_ck", "match_id", "match_name"))
+
+
 def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
                        title_col: str = "title", name_col: str = "name",
                        id_col: str = "id", max_distance: int = 2,
                        materialize: bool = True,
-                       blocking: str = "deletions") -> DataFrame:
+                       blocking: str = "segments", block: int = 1000) -> DataFrame:
     """Best catalogue entry for every distinct title.
 
     Rank: exact normalised match, then smallest edit distance (<= d), then
@@ -118,16 +155,18 @@ def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
     distance.
 
     The distinct titles and the de-duplicated catalogue are each used by the
-    exact join, the anti join and the variant join. With ``materialize``
+    exact join, the anti join and the candidate join. With ``materialize``
     they are computed once and written with ``checkpoint()`` to the shared
     checkpoint folder, instead of being rescanned and reshuffled per use.
 
     ``blocking`` picks how fuzzy candidates are found; both are exact for
-    distance <= d. ``"deletions"`` joins deletion variants (about L^d/d!
-    rows per string, very few false candidates). ``"segments"`` joins the
-    d+1 segments of each catalogue name with a bounded number of probes per
-    title (at most 19 for d = 2, whatever the length: the choice for long
-    names or big catalogues).
+    distance <= d. ``"segments"`` joins the d+1 segments of each catalogue
+    name with a bounded number of probes per title (at most 19 for d = 2,
+    whatever the length), see :func:`segment_candidates`. ``"deletions"``
+    joins deletion variants: very few false candidates, but the rows per
+    string grow with the d-th power of its length, so it suits short names.
+    Both exploded sides are joined by sort and merge, with skew splitting: the
+    planner sizes an exploded side as if it weren't, and would broadcast it.
     """
     t = (titles.select(F.col(title_col).alias("title"))
          .filter(F.col("title").isNotNull()).distinct()
@@ -153,15 +192,12 @@ def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
                          F.explode(deletion_variants("_k", max_distance)).alias("_v"))
         cv = best.select("_ck", "match_id", "match_name",
                          F.explode(deletion_variants("_ck", max_distance)).alias("_v"))
+        cand = tv.join(cv.hint("merge"), "_v")
     elif blocking == "segments":
-        tv = rest.select("title", "_k",
-                         F.explode(segment_probes("_k", max_distance)).alias("_v"))
-        cv = best.select("_ck", "match_id", "match_name",
-                         F.explode(segment_keys("_ck", max_distance)).alias("_v"))
+        cand = segment_candidates(rest, best, max_distance, block)
     else:
         raise ValueError(f"unknown blocking {blocking!r}")
-    cand = (tv.join(cv, "_v")
-            .withColumn("distance", F.levenshtein("_k", "_ck", max_distance))
+    cand = (cand.withColumn("distance", F.levenshtein("_k", "_ck", max_distance))
             .filter((F.col("distance") >= 0) & (F.col("distance") <= max_distance)))
     fuzzy = keep_first(cand, ["title"], ["distance", "match_id"]).select(
         "title", "match_id", "match_name", "distance")

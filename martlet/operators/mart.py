@@ -29,9 +29,11 @@ def exact_avg(c) -> Column:
     return F.try_divide(F.sum(col).cast("double"), F.count(col))
 
 
-def _latest_run(df: DataFrame, run_col: str) -> DataFrame:
-    latest = df.agg(F.max(run_col)).scalar()
-    return df.filter(F.col(run_col) == latest)
+def _latest_run(of: DataFrame, run_col: str, time_col: str) -> Column:
+    """The run loaded last into ``of``: by load time where the table has it
+    (run ids need not sort by time), else by id."""
+    last = F.max_by(run_col, F.struct(time_col, run_col)) if time_col in of.columns else F.max(run_col)
+    return of.agg(last).scalar()
 
 
 def _stream_stats(streams: DataFrame, key: str, stream_id: str, value: str,
@@ -78,11 +80,12 @@ def popular_entities(games: DataFrame, streams: DataFrame, key: str = "game_id",
     a game with no streams stays (count 0, sums NULL), a game whose streams
     are all deleted disappears, and duplicated (key, name) game rows multiply
     counts and sums as the plain join does. ``run_col`` restricts both sides
-    to the latest run first. Ordered by total_viewers DESC NULLS LAST (or
-    FIRST, the PostgreSQL default), then key.
+    to one run first, the one loaded last into ``games``. Ordered by
+    total_viewers DESC NULLS LAST (or FIRST, the PostgreSQL default), then key.
     """
     if run_col:
-        games, streams = _latest_run(games, run_col), _latest_run(streams, run_col)
+        last = _latest_run(games, run_col, "dw_fecha_registro")
+        games, streams = games.filter(F.col(run_col) == last), streams.filter(F.col(run_col) == last)
     s = _stream_stats(streams, key, stream_id, value, deleted)
     return _popular(games, s, key, name, deleted, keep_key, nulls)
 
@@ -147,13 +150,15 @@ def log_kpis(logs: DataFrame) -> DataFrame:
 def duration_view(df: DataFrame, measure: str = "main_story",
                   keep: list[str] | None = None, deleted: str | None = "dw_deleted",
                   bands=DURATION_BANDS, otherwise: str = DURATION_ELSE) -> DataFrame:
-    """Rows with a measure, banded first-match, longest first."""
+    """Rows with a measure, banded first-match, longest first.
+    Rows with equal measures follow the other columns' order: the result is
+    deterministic, and the sort can split a common value among tasks."""
     if deleted:
         df = df.filter(live_rows(deleted))
     keep = keep if keep is not None else [c for c in df.columns if c != deleted]
     return (df.filter(F.col(measure).isNotNull())
             .select(*keep, band(measure, bands, otherwise).alias("duration_category"))
-            .orderBy(F.desc_nulls_last(measure)))
+            .orderBy(F.desc_nulls_last(measure), *[F.asc_nulls_first(c) for c in keep if c != measure]))
 
 
 def longest(df: DataFrame, measure: str = "main_story", n: int = 10,

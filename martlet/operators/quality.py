@@ -1,7 +1,8 @@
 """Data-quality report and table-constraint checks.
 
-Every report is one aggregate pass (plus one keyed shuffle for uniqueness):
-no per-column jobs and nothing collected to the driver.
+Every report reads its input once: where a key's uniqueness is asked for, the
+column counts ride along in the keyed aggregate. No per-column jobs, and nothing
+collected to the driver.
 """
 
 from __future__ import annotations
@@ -58,14 +59,18 @@ def quality_report(df: DataFrame, source: str, keys: list[str] | None = None,
     and does not take part in the verdict.
     """
     cols = cols or df.columns
-    # null/blank counts: one global aggregate (map-side partials, no shuffle
-    # of rows); duplicates: a keyed aggregate over the key columns only, so
-    # a unique key shuffles nothing but the key itself.
-    r = df.agg(F.count(F.lit(1)).alias("total_records"),
-               *[F.count_if(_missing(df, c)).alias(f"_z{i}") for i, c in enumerate(cols)])
-    dup = (duplicate_count(df, keys).scalar() if keys
-           else F.lit(None).cast("bigint"))
-    r = r.select("*", dup.alias("duplicate_count"))
+    # one pass: missing values are summed per key (map-side first), then over
+    # the keys; a key's surplus rows are its duplicates
+    z = [F.count_if(_missing(df, c)).alias(f"_z{i}") for i, c in enumerate(cols)]
+    if keys:
+        per_key = df.groupBy(*[_q(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+            F.count(F.lit(1)).alias("_n"), *z)
+        r = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_records"),
+                        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_count"),
+                        *[F.coalesce(F.sum(f"_z{i}"), F.lit(0)).alias(f"_z{i}") for i in range(len(cols))])
+    else:
+        r = df.agg(F.count(F.lit(1)).alias("total_records"),
+                   F.lit(None).cast("bigint").alias("duplicate_count"), *z)
     pcts = [_pct(F.col(f"_z{i}"), F.col("total_records")) for i in range(len(cols))]
     pairs = []
     for c, p in zip(cols, pcts):
@@ -119,25 +124,24 @@ def max_length_violations(df: DataFrame, limits: dict[str, int]) -> DataFrame:
 def constraint_summary(df: DataFrame, not_null: list[str] | None = None,
                        max_length: dict[str, int] | None = None,
                        unique: list[str] | None = None) -> DataFrame:
-    """Long form (check_name, column_name, violations): NOT NULL and length
-    checks in one aggregate, uniqueness in one keyed aggregate."""
+    """Long form (check_name, column_name, violations) of NOT NULL, length and
+    uniqueness checks, in one pass over the input: with a unique key the other
+    counts are summed per key first. Rows with a NULL key part never conflict."""
     not_null, max_length = not_null or [], max_length or {}
-    parts = []
-    aggs = ([F.count_if(_q(c).isNull()).alias(f"nn_{i}") for i, c in enumerate(not_null)]
-            + [F.count_if(F.char_length(_q(c)) > n).alias(f"ml_{i}")
-               for i, (c, n) in enumerate(max_length.items())])
-    if aggs:
-        one = df.agg(*aggs)
-        rows = ([F.struct(F.lit("not_null").alias("check_name"), F.lit(c).alias("column_name"),
-                          F.col(f"nn_{i}").alias("violations")) for i, c in enumerate(not_null)]
-                + [F.struct(F.lit("max_length").alias("check_name"), F.lit(c).alias("column_name"),
-                            F.col(f"ml_{i}").alias("violations"))
-                   for i, c in enumerate(max_length)])
-        parts.append(one.select(F.inline(F.array(*rows))))
+    labels = ([("not_null", c) for c in not_null] + [("max_length", c) for c in max_length]
+              + ([("unique", ",".join(unique))] if unique else []))
+    counts = ([F.count_if(_q(c).isNull()) for c in not_null]
+              + [F.count_if(F.char_length(_q(c)) > n) for c, n in max_length.items()])
+    counts = [c.alias(f"_v{i}") for i, c in enumerate(counts)]
     if unique:
-        u = unique_violations(df, unique).agg(
-            F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).cast("bigint")
-            .alias("violations"))
-        parts.append(u.select(F.lit("unique").alias("check_name"),
-                              F.lit(",".join(unique)).alias("column_name"), "violations"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        keys = [f"_k{i}" for i in range(len(unique))]
+        per_key = df.groupBy(*[_q(c).alias(k) for c, k in zip(unique, keys)]).agg(
+            F.count(F.lit(1)).alias("_n"), *counts)
+        whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        one = per_key.agg(*[F.coalesce(F.sum(f"_v{i}"), F.lit(0)).alias(f"_v{i}") for i in range(len(counts))],
+                          F.coalesce(F.sum(F.when(whole, F.col("_n") - 1)), F.lit(0)).alias(f"_v{len(counts)}"))
+    else:
+        one = df.agg(*counts)
+    rows = [F.struct(F.lit(check).alias("check_name"), F.lit(c).alias("column_name"),
+                     F.col(f"_v{i}").alias("violations")) for i, (check, c) in enumerate(labels)]
+    return one.select(F.inline(F.array(*rows)))

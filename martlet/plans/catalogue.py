@@ -427,14 +427,20 @@ def q_map_stats(spark, d):
 
 
 @query("keyed_flatten", """
-SELECT event_id, e.key AS key, TRY_CAST(e.value AS INTEGER) AS v
-FROM events, json_each(props) e""")
+SELECT event_id, 'user' || CAST(user_id AS VARCHAR) AS key, event_type AS label,
+       CAST(event_id % 97 AS INTEGER) AS n FROM events
+UNION ALL
+SELECT event_id, 'id' || CAST(event_id AS VARCHAR), NULL, CAST(user_id % 89 AS INTEGER) FROM events
+UNION ALL
+SELECT event_id, event_type, 'last', NULL FROM events""")
 def q_keyed_flatten(spark, d):
-    ev = read_table(spark, d, "events", ["event_id", "props"]) \
-        .withColumn("props", F.concat(F.lit('{"o": '), F.col("props"), F.lit("}")))
-    # the object-of-objects shape {id: {...}}: here {"o": {"k": n}}, one level
-    flat = flatten_keyed_objects(ev, "props", "k int", key_name="_outer")
-    return flat.select("event_id", F.lit("k").alias("key"), F.col("k").alias("v"))
+    """Three objects per record, under keys of their own, some without a field."""
+    ev = read_table(spark, d, "events", ["event_id", "user_id", "event_type"])
+    obj = F.format_string('{"user%d": {"label": "%s", "n": %d}, "id%d": {"n": %d}, "%s": {"label": "last"}}',
+                          "user_id", "event_type", F.col("event_id") % 97, "event_id",
+                          F.col("user_id") % 89, "event_type")
+    return flatten_keyed_objects(ev.select("event_id", obj.alias("payload")), "payload",
+                                 "label string, n int")
 
 
 @query("array_items", """
@@ -478,9 +484,10 @@ def q_topk_per_key(spark, d):
 
 
 @query("distinct_limit", """
-SELECT DISTINCT p_brand FROM part ORDER BY p_brand LIMIT 100""")
+SELECT DISTINCT o_custkey FROM orders ORDER BY o_custkey LIMIT 100""")
 def q_distinct_limit(spark, d):
-    return distinct_values(read_table(spark, d, "part", ["p_brand"]), "p_brand", limit=100)
+    """The first 100 of many more distinct values (S9: the limit is the feature)."""
+    return distinct_values(read_table(spark, d, "orders", ["o_custkey"]), "o_custkey", limit=100)
 
 
 # ------------------------------------------------------------------ lookup
@@ -816,12 +823,18 @@ def raw_pokedex(spark, d) -> DataFrame:
                          F.lit("def"), (k % 97).cast("int"),
                          F.lit("spa"), (k % 89).cast("int"),
                          F.lit("spd"), (k % 83).cast("int"))
-    return p.select(
+    new = p.select(
         F.lit("pokedex").alias("record_type"), k.cast("string").alias("pokemon_id"),
         F.concat(F.lit("  "), F.col("p_name")).alias("name"), types.alias("types"),
         stats.alias("baseStats"), F.create_map(F.lit("0"), F.col("p_brand")).alias("abilities"),
         F.lit("2025-06-10T19:45:49").alias("extraction_time"),
         F.lit("showdown").alias("source"), F.lit("data/pokedex.json").alias("endpoint"))
+    # an older copy of every entry (dropped), and of some a copy of the same
+    # time that differs in its types only: the shorter array comes first
+    older = new.withColumns({"name": F.lit("older"), "extraction_time": F.lit("2025-06-09T00:00:00")})
+    twin = new.filter(F.col("pokemon_id").cast("long") % 4 == 0).withColumn(
+        "types", F.concat("types", F.array(F.lit("zz"))))
+    return new.unionByName(older).unionByName(twin)
 
 
 @query("clean_pokedex", f"""
@@ -847,13 +860,15 @@ def q_clean_pokedex(spark, d):
 WITH p AS (SELECT p_partkey AS game_id, p_name AS game_name FROM part
            ORDER BY p_retailprice DESC, p_partkey LIMIT 200),
      c AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS stream_id,
-                  l_partkey AS game_id, CAST(l_quantity AS INTEGER) AS viewer_count FROM lineitem)
-SELECT c.game_id, c.stream_id, p.game_name, c.viewer_count
+                  l_partkey AS game_id, CAST(l_quantity AS INTEGER) AS viewer_count,
+                  CASE WHEN l_linenumber % 2 = 0 THEN 'as played in ' || CAST(l_orderkey AS VARCHAR) END AS own
+           FROM lineitem)
+SELECT c.game_id, c.stream_id, COALESCE(c.own, p.game_name) AS game_name, c.viewer_count
 FROM c JOIN p ON c.game_id = p.game_id
-QUALIFY row_number() OVER (PARTITION BY c.game_id ORDER BY c.viewer_count DESC, c.stream_id) <= 50""")
+QUALIFY row_number() OVER (PARTITION BY c.game_id ORDER BY c.viewer_count DESC, c.stream_id) <= 10""")
 def q_top_entity_children(spark, d):
-    """Top 200 games, then at most 50 streams each, the stream's game name
-    falling back to the game's (S3, S5, J2). The caps are the feature."""
+    """Top 200 games, then at most 10 of their some 30 streams each, a missing
+    name falling back to the game's (S3, S5, J2). The caps are the feature."""
     parents = (read_table(spark, d, "part", ["p_partkey", "p_name", "p_retailprice"])
                .orderBy(F.desc("p_retailprice"), "p_partkey").limit(200)
                .select(F.col("p_partkey").alias("game_id"), F.col("p_name").alias("game_name")))
@@ -861,9 +876,10 @@ def q_top_entity_children(spark, d):
                                              "l_quantity"]).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("stream_id"),
         F.col("l_partkey").alias("game_id"),
-        F.lit(None).cast("string").alias("game_name"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("as played in "), F.col("l_orderkey")))
+        .alias("game_name"),
         F.col("l_quantity").cast("int").alias("viewer_count"))
-    out = enrich_children(parents, kids, "game_id", "game_name", per_key_limit=50,
+    out = enrich_children(parents, kids, "game_id", "game_name", per_key_limit=10,
                           order=[("viewer_count", "desc"), "stream_id"])
     return out.select("game_id", "stream_id", "game_name", "viewer_count")
 
@@ -906,7 +922,9 @@ def q_clean_profiles(spark, d):
                    F.col("c_nationkey").cast("string").alias("levels"),
                    F.lit("2025-06-10T19:45:49").alias("extraction_time"),
                    F.lit("showdown").alias("source"), F.lit("users").alias("endpoint"))
-    out = clean(raw, PROFILES, run_id=_RUN).drop("dw_fecha_registro")
+    # every profile extracted once before, with another rating: dropped
+    before = raw.withColumns({"rating": F.lit("-1"), "extraction_time": F.lit("2025-06-09T19:45:49")})
+    out = clean(before.unionByName(raw), PROFILES, run_id=_RUN).drop("dw_fecha_registro")
     return _ntz(out, "extraction_time")
 
 
@@ -935,10 +953,10 @@ def q_reject_counts(spark, d):
 @query("paged_collection", """
 SELECT p_partkey AS id, p_name AS name FROM part ORDER BY p_partkey LIMIT 200""")
 def q_paged_collection(spark, d):
-    """Paged listing (S2): the catalogue, listed by id, is landed as JSON
-    pages (``page=N`` folders, page N = ids 100N..100N+99, so a page holds
-    at most 100 items), then read back in page/position order and cut at the
-    first 200 items, as the collector does."""
+    """Paged listing (S2): the catalogue, listed by id, is landed as JSON page
+    objects (page N = ids 100N..100N+99, so a page holds at most 100 items),
+    many to a file, then read back in page/position order and cut at the first
+    200 items, as the collector does."""
     per_page = 100
     p = read_table(spark, d, "part", ["p_partkey", "p_name"])
     pages = (p.groupBy(F.floor(F.col("p_partkey") / per_page).alias("page"))
@@ -949,10 +967,9 @@ def q_paged_collection(spark, d):
                      F.struct(F.concat(F.lit("c"), F.col("page") + 1).alias("cursor"))
                      .alias("pagination")))
     path = scratch_path(spark, f"pages-{uuid.uuid4().hex}")
-    pages.write.partitionBy("page").json(path)
+    pages.write.json(path)
     item = schema_of(("id", S), ("name", S))
-    got = read_pages(spark, path, item, limit=200, page_pattern=r"page=(-?\d+)",
-                     multi_line=False)
+    got = read_pages(spark, path, item, limit=200, multi_line=False, page_col="page")
     return got.select(F.col("id").cast("long").alias("id"), "name")
 
 

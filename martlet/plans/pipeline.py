@@ -2,9 +2,10 @@
 
 Every phase reads what the previous one *wrote*, so lineage is cut at each
 table and a lost executor only re-runs tasks of the current phase. Raw and
-mart tables are partitioned by run id; landing a run again replaces only its
-own partition (dynamic overwrite) and publishing skips keys already stored
-for that run (C7), so re-running a whole run changes nothing.
+clean tables have one folder per run, which landing or cleaning the run again
+replaces whole; publishing skips keys already stored for that run (C7), so
+re-running a whole run changes nothing. Rows that break a mart constraint go to
+a rejects table beside the mart, and every row left out is counted in the audit.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import os
+import re
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from martlet.operators.audit import audit_frame, observe_count
 from martlet.operators.dedup import distinct_values
@@ -24,7 +26,7 @@ from martlet.operators.lookup import first_match_lookup, unmatched_titles
 from martlet.operators.quality import quality_report
 from martlet.plans.specs import SPECS, clean_source, reject_counts
 from martlet.sinks.writers import (
-    append_new_rows, export_csv, restamp_lineage, select_target_columns,
+    append_new_rows, constraint_breaks, export_csv, restamp_lineage, select_target_columns,
 )
 from martlet.sources.readers import conform_to_schema, read_json
 from martlet.sources.schemas import HLTB, LANDING_SCHEMAS
@@ -45,28 +47,47 @@ class Landing:
 
 @dataclass(frozen=True)
 class MartTable:
-    """A publish target (K8): rows of ``kind`` (None = all) of a source."""
+    """A publish target (K8): rows of ``kind`` (None = all) of a source, and the
+    constraints that a row must meet to be stored (C1, C4)."""
     table: str
     keys: tuple[str, ...]
     kind: str | None = None
     columns: tuple[str, ...] | None = None
+    not_null: tuple[str, ...] = ()
+    max_length: dict[str, int] = field(default_factory=dict)
 
 
-# Source -> mart tables, keys as in the mart's UNIQUE rules.
-# Twitch lands either mixed ("twitch") or as separate game and stream sets.
+# Source -> mart tables, with the mart's UNIQUE, NOT NULL and
+# VARCHAR(n) rules. Twitch lands either mixed ("twitch") or as separate game
+# and stream sets; ladder and profile records land together.
 ROUTES: dict[str, tuple[MartTable, ...]] = {
     "twitch": (MartTable("twitch_games", ("game_id",), "game",
                          ("record_type", "game_id", "game_name", "box_art_url",
-                          "extraction_time")),
+                          "extraction_time"),
+                         ("game_id", "game_name"),
+                         {"record_type": 20, "game_id": 50, "game_name": 500}),
                MartTable("twitch_streams", ("stream_id",), "stream",
                          ("record_type", "stream_id", "user_id", "user_name", "game_id",
                           "game_name", "stream_title", "viewer_count", "started_at",
-                          "language", "extraction_time"))),
-    "showdown_pokedex": (MartTable("showdown_pokedex", ("pokemon_id",)),),
-    "howlongtobeat": (MartTable("hltb_games", ("game_name",)),),
+                          "language", "extraction_time"),
+                         ("stream_id", "user_id"),
+                         {"record_type": 20, "stream_id": 50, "user_id": 50, "user_name": 100,
+                          "game_id": 50, "game_name": 500, "language": 10})),
+    "showdown_pokedex": (MartTable("showdown_pokedex", ("pokemon_id",),
+                                   not_null=("record_type", "pokemon_id"),
+                                   max_length={"record_type": 20, "pokemon_id": 100, "name": 100,
+                                               "type1": 30, "type2": 30}),),
+    "howlongtobeat": (MartTable("hltb_games", ("game_name",), not_null=("game_name",)),),
+    "showdown": (MartTable("showdown_ladder", ("username", "format"), "ladder",
+                           ("record_type", "username", "format", "elo", "rating", "wins", "losses",
+                            "games", "extraction_time"), ("username",)),
+                 MartTable("showdown_profiles", ("username", "format"), "profile",
+                           ("record_type", "username", "format", "win_ratio", "gxe", "rating",
+                            "games_played", "levels", "extraction_time"), ("username",))),
 }
 ROUTES["twitch_games"] = (ROUTES["twitch"][0],)
 ROUTES["twitch_streams"] = (ROUTES["twitch"][1],)
+ROUTES["showdown_profiles"] = ROUTES["showdown"]
 DW_COLS = ("dw_fecha_registro", "dw_id_carga", "dw_deleted", "dw_source", "dw_endpoint")
 
 
@@ -78,16 +99,40 @@ def new_run_id() -> str:
     return _now().strftime("%Y%m%d%H%M%S") + "-" + uuid.uuid4().hex[:8]
 
 
-def _write_partition(df: DataFrame, path: str, mode: str,
-                     extra_partitions: tuple[str, ...] = ()) -> int:
+def routes_of(name: str) -> tuple[MartTable, ...]:
+    """Mart tables of a source, by name in any case; a source that the mart
+    doesn't know raises instead of vanishing (K8)."""
+    try:
+        return ROUTES[name.lower()]
+    except KeyError:
+        raise ValueError(f"unknown source: {name!r}; known: {sorted(ROUTES)}") from None
+
+
+def _run_path(table: str, run_id: str) -> str:
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", run_id):
+        raise ValueError(f"run id must be of letters, digits, '.', '_' and '-': {run_id!r}")
+    return os.path.join(table, f"{RUN_COL}={run_id}")
+
+
+def _write_run(df: DataFrame, table: str, run_id: str,
+               extra_partitions: tuple[str, ...] = ()) -> int:
+    """Replace a run's folder of ``table`` by the rows of ``df``, none included."""
     obs_df, obs = observe_count(df, f"w{uuid.uuid4().hex[:6]}")
-    (obs_df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy(RUN_COL, *extra_partitions).parquet(path))
+    w = obs_df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*extra_partitions) if extra_partitions else w).parquet(_run_path(table, run_id))
+    return int(obs.get.get("rows", 0))
+
+
+def _append(df: DataFrame, table: str, run_id: str) -> int:
+    """Add rows of a run to ``table``. Without rows it still leaves a file with
+    the columns, so that an empty table can be read."""
+    obs_df, obs = observe_count(df.drop(RUN_COL), f"w{uuid.uuid4().hex[:6]}")
+    obs_df.write.mode("append").parquet(_run_path(table, run_id))
     return int(obs.get.get("rows", 0))
 
 
 def land(spark: SparkSession, src: Landing, raw_dir: str, run_id: str) -> dict:
-    """Landed JSON -> raw Parquet partition of this run.
+    """Landed JSON -> raw Parquet folder of this run.
 
     A landing that mixes record kinds is also partitioned by kind, so the
     per-kind branches of the cleaning plan read only their own files
@@ -99,14 +144,13 @@ def land(spark: SparkSession, src: Landing, raw_dir: str, run_id: str) -> dict:
         df = spark.read.schema(src.schema).parquet(src.path)
     else:
         raise ValueError(f"unsupported landing format {src.fmt!r}")
-    df = df.withColumn(RUN_COL, F.lit(run_id))
-    out = os.path.join(raw_dir, src.name)
+    out = os.path.join(raw_dir, src.name.lower())
     spec = SPECS[src.name.lower()]
     by_kind = (spec.kind_col,) if (spec.kind_col in df.columns
                                    and any(k.kind for k in spec.kinds)) else ()
-    n = _write_partition(df, out, "overwrite", by_kind)
+    n = _write_run(df, out, run_id, by_kind)
     return {"run_id": run_id, "step": "land", "source": src.name.upper(),
-            "endpoint": f"parquet/{src.name}", "output_file": out,
+            "endpoint": f"parquet/{src.name.lower()}", "output_file": out,
             "records_count": n, "load_start_time": start, "load_end_time": _now()}
 
 
@@ -114,115 +158,150 @@ def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A Parquet table read with its known schema: a table that holds no
     rows yet (an empty landing writes no data files) reads as zero typed
     rows instead of failing schema inference (T24)."""
-    if not (os.path.exists(path) or _exists(spark, path)):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
 
-def _raw(spark: SparkSession, name: str, raw_dir: str, run_id: str) -> DataFrame:
-    schema = StructType(LANDING_SCHEMAS[name.lower()].fields
-                        + [StructField(RUN_COL, StringType(), True)])
-    return _read(spark, os.path.join(raw_dir, name), schema).filter(
-        F.col(RUN_COL) == run_id).drop(RUN_COL)
+def _of_run(spark: SparkSession, table: str, schema: StructType, run_id: str) -> DataFrame:
+    """One run's rows of a table, the run id as text whatever it looks like."""
+    if RUN_COL not in schema.fieldNames():
+        schema = StructType(schema.fields + [StructField(RUN_COL, StringType(), True)])
+    return _read(spark, table, schema).filter(F.col(RUN_COL) == run_id)
 
 
-def clean_phase(spark: SparkSession, name: str, raw_dir: str, run_id: str) -> DataFrame:
-    """This run's raw partition, cleaned by the source's spec."""
-    return clean_source(_raw(spark, name, raw_dir, run_id), name, run_id)
+def _raw(spark: SparkSession, name: str, raw_dir: str, run_id: str) -> DataFrame:
+    return _of_run(spark, os.path.join(raw_dir, name.lower()), LANDING_SCHEMAS[name.lower()],
+                   run_id).drop(RUN_COL)
 
 
-def reject_audit(spark: SparkSession, name: str, raw_dir: str, run_id: str) -> dict:
-    """Audit row of the clean step: values present but not convertible are
-    NULL in the clean table and counted here, per column (T6)."""
+def clean_phase(spark: SparkSession, name: str, raw_dir: str, clean_dir: str,
+                run_id: str) -> tuple[DataFrame, dict]:
+    """This run's raw rows, cleaned by the source's spec (P30) and written; the
+    table read back, and the step's audit row (A6): rows after cleaning, rows
+    before it, and per column the values that were there but did not convert
+    (T6) or rows of no known kind."""
     start = _now()
-    rej = reject_counts(_raw(spark, name, raw_dir, run_id), SPECS[name.lower()]).collect()
-    total = sum(r.rejected for r in rej)  # bounded: one row per (kind, column)
-    msg = json.dumps({f"{r.kind}.{r.column_name}": r.rejected for r in rej}) if rej else None
-    return {"run_id": run_id, "step": "clean", "source": name.upper(),
-            "endpoint": f"clean/{name}", "output_file": None, "records_count": total,
-            "status": "SUCCESS", "error_message": msg,
-            "load_start_time": start, "load_end_time": _now()}
+    raw = _raw(spark, name, raw_dir, run_id)
+    cleaned = clean_source(raw, name, run_id)
+    out = os.path.join(clean_dir, name.lower())
+    n = _write_run(cleaned.drop(RUN_COL), out, run_id)
+    rejects = reject_counts(raw, SPECS[name.lower()]).collect()  # one row per kind and column
+    note = {"rows_before": raw.count(), "rows_after": n}
+    if rejects:
+        note["rejected"] = {f"{r.kind}.{r.column_name}": r.rejected for r in rejects}
+    audit = {"run_id": run_id, "step": "clean", "source": name.upper(),
+             "endpoint": f"transform/{name.lower()}", "output_file": out, "records_count": n,
+             "rejected_count": sum(r.rejected for r in rejects), "status": "SUCCESS",
+             "error_message": json.dumps(note, sort_keys=True),
+             "load_start_time": start, "load_end_time": _now()}
+    return _of_run(spark, out, cleaned.schema, run_id).select(*cleaned.columns), audit
 
 
 def publish(spark: SparkSession, df: DataFrame, name: str, mart_dir: str,
             run_id: str) -> list[dict]:
     """Route to mart tables and append only rows whose (key, run) is new
-    (K8, C2, C7). A failing target yields an ERROR audit row (T21)."""
+    (K8, C2, C7). Rows that break NOT NULL or a length go to
+    ``_rejects/{table}`` with the names of the columns, and are counted. A
+    failing target yields an ERROR audit row (T21); an unknown source raises."""
     rows = []
-    for t in ROUTES.get(name, ()):
+    for t in routes_of(name):
         start = _now()
         path = os.path.join(mart_dir, t.table)
+        row = {"run_id": run_id, "step": "publish", "source": name.upper(),
+               "endpoint": f"load/core_{name.lower()}", "output_file": path, "load_start_time": start}
         try:
             part = df if t.kind is None else df.filter(F.col("record_type") == t.kind)
             if t.columns:
                 part = select_target_columns(part, list(t.columns) + list(DW_COLS))
             # lineage of the load, one rule for every source
-            part = restamp_lineage(part, name, f"load/core_{name}", run_id)
+            part = restamp_lineage(part, name, f"load/core_{name.lower()}", run_id)
+            have = set(part.columns)
+            checked = part.withColumn("violated", constraint_breaks(
+                [c for c in t.not_null if c in have], {c: n for c, n in t.max_length.items() if c in have}))
+            bad = checked.filter(F.size("violated") > 0)
+            rejects = os.path.join(mart_dir, "_rejects", t.table)
+            n_bad = _write_run(bad.drop(RUN_COL), rejects, run_id)
+            good = checked.filter(F.size("violated") == 0).drop("violated")
             existing = _read(spark, path, part.schema).filter(F.col(RUN_COL) == run_id)
-            new = append_new_rows(part, existing, list(t.keys) + [RUN_COL])
-            n = _write_partition(new, path, "append")
-            rows.append({"run_id": run_id, "step": "publish", "source": name.upper(),
-                         "endpoint": f"load/core_{name}", "output_file": path,
-                         "records_count": n, "status": "SUCCESS",
-                         "load_start_time": start, "load_end_time": _now()})
+            n = _append(append_new_rows(good, existing, list(t.keys) + [RUN_COL]), path, run_id)
+            rows.append(row | {"records_count": n, "rejected_count": n_bad, "status": "SUCCESS",
+                               "load_end_time": _now()})
         except Exception as e:  # noqa: BLE001 - recorded, caller decides
-            rows.append({"run_id": run_id, "step": "publish", "source": name.upper(),
-                         "endpoint": f"load/core_{name}", "output_file": path,
-                         "records_count": 0, "status": "ERROR",
-                         "error_message": str(e)[:2000],
-                         "load_start_time": start, "load_end_time": _now()})
+            rows.append(row | {"records_count": 0, "status": "ERROR", "error_message": str(e),
+                               "load_end_time": _now()})
     return rows
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def rejected_rows(spark: SparkSession, table: MartTable, schema: StructType, mart_dir: str) -> DataFrame:
+    """Rows kept out of a mart table, with the columns that broke a constraint."""
+    fields = [f for f in schema.fields if f.name != RUN_COL]
+    full = StructType(fields + [StructField("violated", ArrayType(StringType()), True),
+                                StructField(RUN_COL, StringType(), True)])
+    return _read(spark, os.path.join(mart_dir, "_rejects", table.table), full)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on the file system that its scheme names."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def read_mart(spark: SparkSession, path: str) -> DataFrame:
+    """A mart table with its run ids as text: left to inference, the folder
+    name of run ``0001`` would come back as the number 1."""
+    fields = [f if f.name != RUN_COL else StructField(RUN_COL, StringType(), True)
+              for f in spark.read.parquet(path).schema.fields]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
 def quality_audit(spark: SparkSession, name: str, mart_dir: str, run_id: str) -> list[dict]:
     """Quality report (A10) of this run's rows in every table the source
     publishes to: one audit row each, the report as JSON in the message."""
     rows = []
-    for t in ROUTES.get(name, ()):
+    for t in routes_of(name):
         start = _now()
         path = os.path.join(mart_dir, t.table)
-        if not (os.path.exists(path) or _exists(spark, path)):
+        if not exists(spark, path):
             continue
-        df = spark.read.parquet(path).filter(F.col(RUN_COL) == run_id)
+        df = read_mart(spark, path).filter(F.col(RUN_COL) == run_id)
         cols = [c for c in df.columns if c not in DW_COLS]
         r = quality_report(df, t.table, keys=list(t.keys), cols=cols).first()
         report = {"duplicate_count": r.duplicate_count,
                   "columns_with_empty": list(r.columns_with_empty),
                   "null_percentage": dict(r.null_percentage),
-                  "validation_passed": r.validation_passed}
+                  "total_records": r.total_records, "validation_passed": r.validation_passed}
+        # the step writes no records, so it adds none to the load summary
         rows.append({"run_id": run_id, "step": "quality", "source": name.upper(),
                      "endpoint": f"quality/{t.table}", "output_file": path,
-                     "records_count": r.total_records, "status": "SUCCESS",
+                     "records_count": 0, "status": "SUCCESS",
                      "error_message": json.dumps(report, sort_keys=True),
                      "load_start_time": start, "load_end_time": _now()})
     return rows
 
 
 def lookup_durations(spark: SparkSession, catalogue: DataFrame, raw_dir: str,
-                     mart_dir: str, run_id: str, n_titles: int = 100) -> dict:
+                     mart_dir: str, run_id: str, n_titles: int | None = None,
+                     max_distance: int = 2) -> dict:
     """Durations for this run's published game names (S8, S9, J3, J4):
-    matched records become this run's raw duration partition; the audit
-    row counts them and reports how many titles found no match."""
+    matched records become this run's raw duration folder; the audit row
+    counts them and reports how many titles found no match, and how many an
+    explicit ``n_titles`` left out."""
     start = _now()
-    games = _read(spark, os.path.join(mart_dir, "twitch_games"),
-                  StructType([StructField("game_name", StringType(), True),
-                              StructField(RUN_COL, StringType(), True)])
-                  ).filter(F.col(RUN_COL) == run_id)
-    recs, miss = hours_for_titles(games, catalogue, start.strftime("%Y-%m-%dT%H:%M:%S"),
-                                  n_titles)
+    games = _of_run(spark, os.path.join(mart_dir, "twitch_games"),
+                    StructType([StructField("game_name", StringType(), True)]), run_id)
+    recs, _ = hours_for_titles(games, catalogue, start.strftime("%Y-%m-%dT%H:%M:%S"),
+                               n_titles, max_distance)
     out = os.path.join(raw_dir, "howlongtobeat")
-    n = _write_partition(recs.withColumn(RUN_COL, F.lit(run_id)), out, "overwrite")
-    unmatched = miss.count()
+    n = _write_run(recs, out, run_id)
+    total = games.select(F.count_distinct("game_name")).first()[0]
+    asked = total if n_titles is None else min(total, n_titles)
+    notes = [f"{asked - n} titles without match"] if asked > n else []
+    notes += [f"{total - asked} titles beyond the limit of {n_titles}"] if total > asked else []
     return {"run_id": run_id, "step": "lookup", "source": "HOWLONGTOBEAT",
             "endpoint": "hltb_search", "output_file": out, "records_count": n,
-            "status": "SUCCESS",
-            "error_message": f"{unmatched} titles without match" if unmatched else None,
+            "status": "SUCCESS", "error_message": "; ".join(notes) or None,
             "load_start_time": start, "load_end_time": _now()}
 
 
@@ -241,23 +320,27 @@ def append_audit(spark: SparkSession, rows: list[dict], logs_dir: str,
 
 def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
                  run_id: str | None = None, fail_fast: bool = False,
-                 durations: DataFrame | None = None, n_titles: int = 100,
-                 quality: bool = False) -> DataFrame:
+                 durations: DataFrame | None = None, n_titles: int | None = None,
+                 quality: bool = False, max_distance: int = 2) -> DataFrame:
     """Whole batch (G1, G2, G3): for every source land, clean, publish; the
-    audit rows are appended to ``{base_dir}/etl_logs`` and returned.
-
-    With a ``durations`` catalogue, the first ``n_titles`` game names
-    published by this run are looked up in it and the matches go through
-    the same clean/publish path as a landed duration source. With
-    ``quality`` every published table gets a quality-report audit row."""
+    audit rows are appended to ``{base_dir}/etl_logs`` and returned. A source
+    without a route raises before anything is read.
+
+    With a ``durations`` catalogue, the game names published by this run (the
+    first ``n_titles`` if given) are looked up in it, names within
+    ``max_distance`` edits match, and the matches go through the same
+    clean/publish path as a landed duration source. With ``quality`` every
+    published table gets a quality-report audit row."""
     run_id = run_id or new_run_id()
-    raw_dir, mart_dir = os.path.join(base_dir, "raw"), os.path.join(base_dir, "core")
+    raw_dir, clean_dir, mart_dir = (os.path.join(base_dir, d) for d in ("raw", "clean", "core"))
+    for src in landings:
+        routes_of(src.name)
     audit: list[dict] = []
 
     def finish(name: str) -> bool:
-        audit.append(reject_audit(spark, name, raw_dir, run_id))
-        pub = publish(spark, clean_phase(spark, name, raw_dir, run_id), name, mart_dir, run_id)
-        audit.extend(pub)
+        cleaned, row = clean_phase(spark, name, raw_dir, clean_dir, run_id)
+        pub = publish(spark, cleaned, name, mart_dir, run_id)
+        audit.extend([row, *pub])
         if quality:
             audit.extend(quality_audit(spark, name, mart_dir, run_id))
         return fail_fast and any(r.get("status") == "ERROR" for r in pub)
@@ -269,17 +352,17 @@ def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
             stop = True
             break
     if durations is not None and not stop:
-        audit.append(lookup_durations(spark, durations, raw_dir, mart_dir, run_id, n_titles))
+        audit.append(lookup_durations(spark, durations, raw_dir, mart_dir, run_id, n_titles, max_distance))
         finish("howlongtobeat")
     return append_audit(spark, audit, os.path.join(base_dir, "etl_logs"))
 
 
 def hours_for_titles(games: DataFrame, catalogue: DataFrame, batch_time: str,
-                     n_titles: int = 100, max_distance: int = 2,
+                     n_titles: int | None = None, max_distance: int = 2,
                      name_col: str = "name", id_col: str = "id"
                      ) -> tuple[DataFrame, DataFrame]:
-    """Duration records for the first ``n_titles`` distinct game names
-    (S8, S9, J3, J4), replacing one search request per title.
+    """Duration records for the distinct game names, or the first ``n_titles``
+    of them (S8, S9, J3, J4), replacing one search request per title.
 
     ``catalogue`` is the landed duration source (unique ``id_col``, a name
     and the hour measures). Each title takes its best match; the record keeps

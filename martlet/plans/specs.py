@@ -21,6 +21,7 @@ from martlet.functions.names import normalize_column_names
 from martlet.operators.audit import with_audit_columns
 from martlet.operators.dedup import keep_first
 from martlet.operators.kinds import union_kinds
+from martlet.sources.schemas import GAMES, HLTB as HLTB_RAW, STREAMS
 
 
 @dataclass(frozen=True)
@@ -46,6 +47,7 @@ class KindRules:
     array_items: tuple[tuple[str, str, int], ...] = ()      # (out, array, 1-based)
     json_cols: tuple[tuple[str, str], ...] = ()             # (out, source)
     drop: tuple[str, ...] = ()
+    own: tuple[str, ...] = ()              # columns the kind fills (empty: all)
 
 
 @dataclass(frozen=True)
@@ -59,7 +61,11 @@ class SourceSpec:
 
 
 def _orderable(dt) -> bool:
-    return not isinstance(dt, (MapType, ArrayType, StructType))
+    if isinstance(dt, ArrayType):
+        return _orderable(dt.elementType)
+    if isinstance(dt, StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    return not isinstance(dt, MapType)
 
 
 def _rule_columns(df: DataFrame, r: KindRules) -> dict[str, Column]:
@@ -110,7 +116,11 @@ def _rule_columns(df: DataFrame, r: KindRules) -> dict[str, Column]:
 
 def clean_kind(df: DataFrame, r: KindRules) -> DataFrame:
     """Apply one kind's rules (P3-P18) in plan order: required-field filter,
-    value rules, at-least-one filter, keep-first dedup."""
+    value rules, at-least-one filter, keep-first dedup.
+
+    Ties of the dedup order are broken by the columns the kind fills, so rows
+    that differ only in a map (no order) are the one case left to chance. Rows
+    whose key columns are missing raise: they could not be told apart."""
     have = set(df.columns)
     req = [c for c in r.require if c in have]
     if req:
@@ -121,13 +131,16 @@ def clean_kind(df: DataFrame, r: KindRules) -> DataFrame:
     anys = [c for c in r.any_of if c in df.columns]
     if anys and len(anys) == len(r.any_of):
         df = df.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in anys]))
-    key = [k for k in r.key if k in df.columns]
-    if key and len(key) == len(r.key):
-        named = {o if isinstance(o, str) else o[0] for o in r.order
-                 if isinstance(o, (str, tuple))}
-        tie = [c for c in df.columns
-               if c not in key and c not in named and _orderable(df.schema[c].dataType)]
-        df = keep_first(df, key, list(r.order) + tie)
+    if r.key:
+        absent = [k for k in r.key if k not in df.columns]
+        if absent:  # fine for a landing without rows of this kind
+            return df.filter(F.raise_error(F.lit(
+                f"rows of kind {r.kind!r} without their key columns {absent}")).cast("boolean"))
+        order = [o for o in r.order if (o if isinstance(o, str) else o[0]) in df.columns]
+        named = {o if isinstance(o, str) else o[0] for o in order}
+        tie = [c for c in df.columns if c not in r.key and c not in named
+               and (not r.own or c in r.own) and _orderable(df.schema[c].dataType)]
+        df = keep_first(df, list(r.key), order + tie)
     drops = [c for c in r.drop if c in df.columns]
     return df.drop(*drops) if drops else df
 
@@ -157,14 +170,18 @@ def clean(df: DataFrame, spec: SourceSpec, run_id: str | None = None,
     if ("extraction_time" in df.columns
             and isinstance(df.schema["extraction_time"].dataType, StringType)):
         df = df.withColumn("extraction_time", casts.iso_to_timestamp("extraction_time"))
+    # constants stay out of the dedup sorts: landing labels go at the end anyway,
+    # and the kind is put back as a literal
+    df = df.drop(*[c for c in spec.drop if c in df.columns])
     parts = []
     for r in spec.kinds:
-        part = df if r.kind is None else df.filter(F.col(spec.kind_col) == F.lit(r.kind))
-        parts.append(clean_kind(part, r))
+        if r.kind is None:
+            parts.append(clean_kind(df, r))
+            continue
+        part = clean_kind(df.filter(F.col(spec.kind_col) == F.lit(r.kind)).drop(spec.kind_col), r)
+        parts.append(part.select(F.lit(r.kind).alias(spec.kind_col), "*"))
     out = union_kinds(_align_types(df, parts))
-    out = with_audit_columns(out, spec.dw_source, spec.endpoint, run_id)
-    drops = [c for c in spec.drop if c in out.columns]
-    return out.drop(*drops) if drops else out
+    return with_audit_columns(out, spec.dw_source, spec.endpoint, run_id)
 
 
 _NEWEST = (("extraction_time", "desc"),)
@@ -176,11 +193,13 @@ TWITCH = SourceSpec(
     kinds=(
         KindRules(kind="game", key=("game_id",), order=_NEWEST,
                   require=("game_name",), trim=("game_name",),
-                  blank_to_null=("box_art_url", "igdb_id")),
+                  blank_to_null=("box_art_url", "igdb_id"),
+                  own=tuple(GAMES.fieldNames()) + ("igdb_id",)),
         KindRules(kind="stream", key=("stream_id",), order=_NEWEST,
                   require=("user_name",), trim=("stream_title",),
                   null_to_zero=("viewer_count",), utc_timestamps=("started_at",),
-                  default_unknown=("language",), to_bool=("is_mature",)),
+                  default_unknown=("language",), to_bool=("is_mature",),
+                  own=tuple(STREAMS.fieldNames()) + ("is_mature",)),
     ))
 
 POKEDEX = SourceSpec(
@@ -204,7 +223,9 @@ HLTB = SourceSpec(
                   positive_decimal=("main_story", "main_extra", "completionist",
                                     "review_score"),
                   null_to_zero=("count_comp", "count_review"),
-                  any_of=("main_story", "main_extra", "completionist")),
+                  any_of=("main_story", "main_extra", "completionist"),
+                  own=tuple(c for c in HLTB_RAW.fieldNames() if c != "record_type")
+                  + ("game_alias", "count_comp", "count_review")),
     ))
 
 PROFILES = SourceSpec(
@@ -268,6 +289,11 @@ def reject_counts(df: DataFrame, spec: SourceSpec) -> DataFrame:
             a = f"r{i}_{j}"
             aggs.append(F.count_if(in_kind & casts.is_rejected(c, conv)).alias(a))
             labels.append((r.kind or "*", c, a))
+    kinds = [r.kind for r in spec.kinds]
+    if None not in kinds and spec.kind_col in df.columns:
+        # rows of no listed kind are left out by the plan: count them here
+        aggs.append(F.count_if(~F.coalesce(F.col(spec.kind_col).isin(kinds), F.lit(False))).alias("r_kind"))
+        labels.append(("*", spec.kind_col, "r_kind"))
     if not labels:
         return df.sparkSession.createDataFrame([], "kind string, column_name string, "
                                                    "rejected bigint")

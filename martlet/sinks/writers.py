@@ -3,7 +3,10 @@ nothing passes through the driver."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, MapType, NullType, StructType
 
 
@@ -83,10 +86,21 @@ def append_new_rows(df: DataFrame, existing: DataFrame | None,
     """Rows of ``df`` whose key is not already in ``existing`` (C7): with
     UNIQUE(key, run) this makes a re-run an idempotent no-op. Only the key
     columns of the target are read; duplicates inside ``df`` are kept for
-    the caller's dedup rule to decide."""
+    the caller's dedup rule to decide. A NULL key equals a stored NULL key, so
+    a re-run does not store such a row again."""
     if existing is None:
         return df
-    return df.join(existing.select(*keys), keys, "left_anti")
+    stored = existing.select(*[F.col(k).alias(f"_stored_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(stored[f"_stored_{k}"]) for k in keys])
+    return df.join(stored, same, "left_anti")
+
+
+def constraint_breaks(not_null: Iterable[str] = (), max_length: dict[str, int] | None = None) -> Column:
+    """Names of the columns of a row that break NOT NULL or VARCHAR(n)
+    as an array; empty for a row that may be stored."""
+    bad = [F.when(F.col(c).isNull(), F.lit(c)) for c in not_null]
+    bad += [F.when(F.char_length(c) > n, F.lit(c)) for c, n in (max_length or {}).items()]
+    return F.array_distinct(F.array_compact(F.array(F.lit(None).cast("string"), *bad)))
 
 
 def route_by_kind(df: DataFrame, routes: dict[str, tuple[str, list[str] | None]],

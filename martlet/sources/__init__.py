@@ -1,7 +1,7 @@
 """Readers for landed data and the explicit raw schemas."""
 
 from martlet.sources.schemas import (  # noqa: F401
-    GAMES, STREAMS, POKEDEX, HLTB, PROFILES, AUDIT, RAW_SCHEMAS, LANDING_SCHEMAS,
+    GAMES, STREAMS, POKEDEX, HLTB, PROFILES, AUDIT, LANDING_SCHEMAS,
 )
 from martlet.sources.readers import (  # noqa: F401
     read_parquet, read_table, read_json, read_pages, flatten_keyed_objects,

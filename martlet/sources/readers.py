@@ -6,7 +6,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 
 def read_parquet(spark: SparkSession, path: str,
@@ -36,22 +36,25 @@ def read_json(spark: SparkSession, path: str, schema: StructType,
 def read_pages(spark: SparkSession, path: str, item_schema: StructType,
                limit: int | None = None,
                page_pattern: str = r"(\d+)[^/]*$",
-               multi_line: bool = True) -> DataFrame:
+               multi_line: bool = True, page_col: str | None = None) -> DataFrame:
     """Paged API responses landed one page per file.
 
     Each file holds ``{"data": [...], "pagination": {"cursor": ...}}`` (one
     object per file, or one per line with ``multi_line=False``). Items keep
-    page order (page number parsed from the file path with ``page_pattern``,
-    then position in the page); ``limit`` keeps the first n items overall, as
-    the collector did.
+    page order (page number, then position in the page); ``limit`` keeps the
+    first n items overall, as the collector did. The page number is the field
+    ``page_col`` of the page object, so that many pages can share a file, or
+    else is parsed from the file path with ``page_pattern``; a path without a
+    number raises.
     """
-    page_schema = StructType([
+    page_schema = StructType(([StructField(page_col, LongType(), True)] if page_col else []) + [
         StructField("data", ArrayType(item_schema), True),
         StructField("pagination",
                     StructType([StructField("cursor", StringType(), True)]), True)])
     pages = (spark.read.schema(page_schema).option("multiLine", multi_line).json(path)
-             .withColumn("_page", F.regexp_extract(F.col("_metadata.file_path"),
-                                                   page_pattern, 1).cast("long")))
+             .withColumn("_page", F.col(page_col) if page_col else F.coalesce(
+                 F.regexp_extract(F.col("_metadata.file_path"), page_pattern, 1).try_cast("long"),
+                 F.raise_error(F.concat(F.lit("no page number in "), F.col("_metadata.file_path"))))))
     items = (pages.select("_page", F.posexplode("data").alias("_pos", "_item"))
              .select("_page", "_pos", "_item.*"))
     if limit is not None:

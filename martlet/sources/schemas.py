@@ -36,14 +36,17 @@ HLTB = schema_of(("record_type", S), ("game_name", S), ("game_image_url", S),
                ("review_score", D), ("main_story", D), ("main_extra", D),
                ("completionist", D), *_LINEAGE)
 
+# ladder and profile records share one landing; numbers land as text
 PROFILES = schema_of(("record_type", S), ("username", S), ("format", S),
-                   ("gxe", S), ("rating", S), ("levels", S), *_LINEAGE)
+                   ("elo", S), ("rating", S), ("wins", S), ("losses", S), ("games", S),
+                   ("win_ratio", S), ("gxe", S), ("games_played", S), ("levels", S), *_LINEAGE)
 
 # One row per pipeline step (K6/K7/K9). duration_seconds is derived.
+# records_count: rows the step wrote; rejected_count: values or rows it set aside.
 AUDIT = schema_of(("run_id", S), ("step", S), ("load_start_time", TS),
-                ("load_end_time", TS), ("records_count", L), ("source", S),
+                ("load_end_time", TS), ("records_count", L), ("rejected_count", L), ("source", S),
                 ("endpoint", S), ("output_file", S), ("status", S),
-                ("error_message", S))
+                ("error_message", S), ("created_at", TS))
 
 # Landing name -> raw schema. The twitch landing mixes games
 # and streams, so its schema is the stream schema plus the game-only column.
@@ -54,12 +57,5 @@ LANDING_SCHEMAS = {
     "showdown_pokedex": POKEDEX,
     "howlongtobeat": HLTB,
     "showdown": PROFILES,
-}
-
-RAW_SCHEMAS = {
-    "twitch_games": GAMES,
-    "twitch_streams": STREAMS,
-    "showdown_pokedex": POKEDEX,
-    "howlongtobeat": HLTB,
     "showdown_profiles": PROFILES,
 }

@@ -2,9 +2,11 @@
 
 New JSON files under a landing folder are picked up by the file source,
 cleaned by the source's spec and published to the mart inside
-``foreachBatch``. The micro-batch id is the run id, so a batch replayed after
-a failure finds its (key, run) rows already stored and appends nothing: the
-streaming checkpoint plus the keyed anti-join give exactly-once tables.
+``foreachBatch``. The stream's checkpoint folder and the micro-batch id make
+the run id, so a batch replayed after a failure finds its (key, run) rows
+already stored and appends nothing: the streaming checkpoint plus the keyed
+anti-join give exactly-once tables. The checkpoint lies in the base folder
+unless given, where every later application finds it.
 Run it with ``available_now=True`` as a scheduled job (process what has
 landed, then stop) or with a processing-time trigger as a service.
 """
@@ -12,13 +14,13 @@ landed, then stop) or with a processing-time trigger as a service.
 from __future__ import annotations
 
 import os
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from martlet.plans.pipeline import Landing, append_audit, publish
 from martlet.plans.specs import clean_source
-from martlet.session import scratch_path
 
 
 def start_incremental(spark: SparkSession, src: Landing, base_dir: str,
@@ -27,7 +29,9 @@ def start_incremental(spark: SparkSession, src: Landing, base_dir: str,
                       max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; returns the running query (call
     ``awaitTermination()`` on it)."""
-    ckpt = checkpoint or scratch_path(spark, f"stream-{src.name}")
+    # beside the tables it fills, so that the next application goes on from it
+    ckpt = checkpoint or os.path.join(base_dir, "_checkpoints", src.name.lower())
+    stream_id = f"{zlib.crc32(ckpt.encode()):08x}"
     mart_dir = os.path.join(base_dir, "core")
     logs_dir = os.path.join(base_dir, "etl_logs")
     reader = spark.readStream.schema(src.schema).option("multiLine", src.multi_line)
@@ -36,7 +40,7 @@ def start_incremental(spark: SparkSession, src: Landing, base_dir: str,
     stream = reader.json(src.path)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"stream-{src.name}-{batch_id:010d}"
+        run_id = f"stream-{src.name.lower()}-{stream_id}-{batch_id:010d}"
         session = batch.sparkSession
         cleaned = clean_source(batch, src.name, run_id)
         rows = publish(session, cleaned, src.name, mart_dir, run_id)

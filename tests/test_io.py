@@ -1,3 +1,4 @@
+import pytest
 import json
 import os
 
@@ -102,7 +103,7 @@ def test_pipeline_rerun_is_idempotent(spark, tmp_dir):
     assert spark.read.parquet(os.path.join(base, "core", "twitch_games")).count() == 1
     assert spark.read.parquet(os.path.join(base, "core", "twitch_streams")).count() == 1
     last = {(r.step, r.source): r.records_count for r in logs.collect()}
-    assert last[("land", "TWITCH")] == 3 and last[("clean", "TWITCH")] == 0
+    assert last[("land", "TWITCH")] == 3 and last[("clean", "TWITCH")] == 2
     games = spark.read.parquet(os.path.join(base, "core", "twitch_games")).first()
     assert (games.dw_source, games.dw_endpoint, games.dw_id_carga) == (
         "TWITCH", "load/core_twitch", "r1")
@@ -228,7 +229,7 @@ def test_sql_entry_over_warehouse(spark, tmp_dir):
     recs = [{"record_type": "game", "game_id": "1", "game_name": "Zelda",
              "extraction_time": "2025-06-10T10:00:00"},
             {"record_type": "stream", "stream_id": "s1", "game_id": "1", "user_name": "ann",
-             "viewer_count": 10, "extraction_time": "2025-06-10T10:00:00"}]
+             "user_id": "u1", "viewer_count": 10, "extraction_time": "2025-06-10T10:00:00"}]
     with open(os.path.join(land_dir, "a.json"), "w") as f:
         f.write("\n".join(json.dumps(r) for r in recs))
     base = os.path.join(tmp_dir, "wh")
@@ -263,7 +264,7 @@ def test_separate_game_and_stream_landings(spark, tmp_dir):
                             "extraction_time": "2025-06-10T10:00:00"}))
     with open(os.path.join(st, "a.json"), "w") as f:
         f.write(json.dumps({"record_type": "stream", "stream_id": "s1", "game_id": "1",
-                            "user_name": "ann", "viewer_count": 4,
+                            "user_name": "ann", "user_id": "u1", "viewer_count": 4,
                             "extraction_time": "2025-06-10T10:00:00"}))
     base = os.path.join(tmp_dir, "wh")
     run_pipeline(spark, [Landing("twitch_games", g, LANDING_SCHEMAS["twitch_games"]),
@@ -286,7 +287,104 @@ def test_quality_step_in_pipeline(spark, tmp_dir):
     logs = run_pipeline(spark, [Landing("howlongtobeat", land, LANDING_SCHEMAS["howlongtobeat"])],
                         os.path.join(tmp_dir, "wh"), run_id="r1", quality=True)
     q = [r for r in logs.collect() if r.step == "quality"]
-    assert len(q) == 1 and q[0].records_count == 2
     rep = json.loads(q[0].error_message)
+    assert len(q) == 1 and q[0].records_count == 0 and rep["total_records"] == 2
     assert rep["duplicate_count"] == 0 and rep["null_percentage"]["main_extra"] == 50.0
     assert rep["validation_passed"] is False and "main_extra" in rep["columns_with_empty"]
+
+
+# ------------------------------------------------------ nothing lost unseen
+def _lines(path, name, rows):
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, name), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows))
+
+
+def _game(game_id, name="Zelda", kind="game"):
+    return {"record_type": kind, "game_id": game_id, "game_name": name,
+            "extraction_time": "2025-06-10T10:00:00"}
+
+
+def _twitch(path):
+    from martlet.sources import LANDING_SCHEMAS
+    return Landing("Twitch", path, LANDING_SCHEMAS["twitch"])
+
+
+def test_unknown_source_raises_before_anything_runs(spark, tmp_dir):
+    from martlet.plans.pipeline import publish
+    from martlet.sources import HLTB
+    base = os.path.join(tmp_dir, "wh")
+    with pytest.raises(ValueError, match="unknown source: 'steam'"):
+        run_pipeline(spark, [Landing("steam", tmp_dir, HLTB)], base, run_id="r1")
+    assert not os.path.exists(base)
+    with pytest.raises(ValueError, match="unknown source"):
+        publish(spark, spark.range(1).toDF("x"), "steam", base, "r1")
+    with pytest.raises(ValueError, match="run id"):
+        run_pipeline(spark, [_twitch(tmp_dir)], base, run_id="../r1")
+
+
+def test_every_row_is_stored_or_counted(spark, tmp_dir):
+    from martlet.plans.pipeline import ROUTES, read_mart, rejected_rows
+    land, base = os.path.join(tmp_dir, "l"), os.path.join(tmp_dir, "wh")
+    _lines(land, "a.json", [_game("1"), _game(None), _game("2" * 51), _game("3", "N" * 501), _game("c", kind="clip"),
+                            {"game_id": "k", "game_name": "no kind"}])
+    for _ in range(3):  # NULL keys don't pile up, whatever the number of runs
+        logs = run_pipeline(spark, [_twitch(land)], base, run_id="0001")
+    games = read_mart(spark, os.path.join(base, "core", "twitch_games"))
+    assert [(r.game_id, r.dw_id_carga) for r in games.collect()] == [("1", "0001")]
+    bad = rejected_rows(spark, ROUTES["twitch"][0], games.schema, os.path.join(base, "core"))
+    assert sorted((r.violated, r.dw_id_carga) for r in bad.collect()) == [
+        (["game_id"], "0001"), (["game_id"], "0001"), (["game_name"], "0001")]
+    rows = {(r.step, os.path.basename(r.output_file)): r for r in logs.collect()}
+    assert rows["land", "twitch"].records_count == 6
+    clean = rows["clean", "twitch"]
+    assert (clean.records_count, clean.rejected_count) == (4, 2)
+    assert json.loads(clean.error_message) == {"rows_before": 6, "rows_after": 4,
+                                               "rejected": {"*.record_type": 2}}
+    assert rows["publish", "twitch_games"].rejected_count == 3
+    assert all(r.created_at is not None for r in rows.values())
+
+
+def test_relanding_replaces_the_run(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "wh")
+    stream = {"record_type": "stream", "stream_id": "s", "user_id": "u", "user_name": "ann", "game_id": "1"}
+    for i, rows in enumerate([[_game("1"), stream], [_game("1")], []]):
+        land = os.path.join(tmp_dir, f"l{i}")
+        _lines(land, "a.json", rows)
+        run_pipeline(spark, [_twitch(land)], base, run_id="r1")
+        run_pipeline(spark, [_twitch(os.path.join(tmp_dir, "l0"))], base, run_id="other")
+        from martlet.sources import LANDING_SCHEMAS
+        raw = spark.read.schema(LANDING_SCHEMAS["twitch"]).parquet(os.path.join(base, "raw", "twitch", "dw_id_carga=r1"))
+        assert raw.count() == len(rows)
+
+
+def test_title_limit_is_off_by_default_and_told(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "l")
+    names = [f"title number {chr(97 + i % 26) * 5}{chr(97 + i // 26) * 5}" for i in range(130)]
+    _lines(land, "a.json", [_game(str(i), n) for i, n in enumerate(names)])
+    cat = spark.createDataFrame([(i, n, 5.0) for i, n in enumerate(names)], "id long, name string, main_story double")
+    for limit, found, note in ((None, 130, None), (100, 100, "30 titles beyond the limit of 100")):
+        logs = run_pipeline(spark, [_twitch(land)], os.path.join(tmp_dir, f"wh{limit}"), run_id="r1",
+                            durations=cat, n_titles=limit)
+        look = [r for r in logs.collect() if r.step == "lookup"][0]
+        assert (look.records_count, look.error_message) == (found, note)
+
+
+def test_ladder_records_reach_the_mart(spark, tmp_dir):
+    from martlet.sources import LANDING_SCHEMAS
+    land, base = os.path.join(tmp_dir, "l"), os.path.join(tmp_dir, "wh")
+    _lines(land, "a.json", [
+        {"record_type": "ladder", "username": "ann", "format": "ou", "elo": "1500.5", "wins": 7, "games": "x"},
+        {"record_type": "profile", "username": "ann", "format": "ou", "games_played": 9, "win_ratio": "0.5"}])
+    logs = run_pipeline(spark, [Landing("showdown", land, LANDING_SCHEMAS["showdown"])], base, run_id="r1")
+    ladder = spark.read.parquet(os.path.join(base, "core", "showdown_ladder")).first()
+    assert (ladder.username, ladder.elo, ladder.wins, ladder.games) == ("ann", 1500.5, 7, None)
+    assert spark.read.parquet(os.path.join(base, "core", "showdown_profiles")).first().games_played == 9
+    assert [r.rejected_count for r in logs.collect() if r.step == "clean"] == [1]
+
+
+def test_pages_without_a_number_raise(spark, tmp_dir):
+    _lines(os.path.join(tmp_dir, "p"), "page.json", [{"data": [{"id": "a"}]}])
+    item = schema_of(("id", S),)
+    with pytest.raises(Exception, match="no page number"):
+        read_pages(spark, os.path.join(tmp_dir, "p"), item, page_pattern=r"page-(\d+)").collect()

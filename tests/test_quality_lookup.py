@@ -116,7 +116,7 @@ def test_segment_filter_complete(spark, a, b):
     r = spark.createDataFrame([(a, b)], "a string, b string").select(
         segment_probes("a", 2).alias("p"), segment_keys("b", 2).alias("k")).first()
     if _lev(a, b) <= 2:
-        assert {tuple(x) for x in r.p} & {tuple(x) for x in r.k}
+        assert {tuple(x)[:3] for x in r.p} & {tuple(x)[:3] for x in r.k}
 
 
 def test_percent_ties_round_to_even(spark):
@@ -151,5 +151,5 @@ def test_segment_filter_complete_on_random_edits(spark):
         F.size(segment_probes("a", 2)).alias("n")).collect()
     assert max(r.n for r in rows) <= 19
     missed = [(r.a, r.b) for r in rows
-              if _lev(r.a, r.b) <= 2 and not ({tuple(x) for x in r.p} & {tuple(x) for x in r.k})]
+              if _lev(r.a, r.b) <= 2 and not ({tuple(x)[:3] for x in r.p} & {tuple(x)[:3] for x in r.k})]
     assert missed == []

@@ -80,3 +80,36 @@ def test_lookup_hot_catalogue_name(spark):
     got = {r.title: (r.match_id, r.distance)
            for r in first_match_lookup(titles, cat, id_col="id").collect()}
     assert got == {"zelda quest": (0, 0), "zelda quesy": (0, 1), "dom": (20_000, 1)}
+
+
+def test_duration_view_splits_a_common_value(spark):
+    """Equal measures don't share one sort task: more tasks hold rows than there are values."""
+    from pyspark.sql import functions as F
+    from martlet.operators.mart import duration_view
+    df = spark.range(4000).select(F.col("id"), (F.col("id") % 2).cast("double").alias("main_story"))
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = duration_view(df, deleted=None)
+        held = out.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert len(held) >= 6 and max(r["count"] for r in held) < 1500
+
+
+def test_shared_segments_keep_candidates_few(spark):
+    """All names share a prefix: one block of n names, yet far fewer than n * n pairs."""
+    from pyspark.sql import functions as F
+    from martlet.operators.lookup import segment_candidates
+    n = 1500
+    names = spark.range(n).select(
+        F.concat(F.lit("a shared long prefix "), F.substr(F.md5(F.col("id").cast("string")), F.lit(1), F.lit(12)))
+        .alias("_ck"), F.col("id").alias("match_id")).withColumn("match_name", F.col("_ck"))
+    titles = names.select(F.col("_ck").alias("title"), F.col("_ck").alias("_k"))
+    pairs = segment_candidates(titles, names, 2, block=20)
+    assert pairs.filter("title = _ck").select("title").distinct().count() == n
+    assert pairs.count() < 20 * n
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan or "MERGE" in plan.upper()

@@ -41,3 +41,27 @@ def test_audit_append_idempotent_for_replays(spark, tmp_dir):
     append_audit(spark, [dict(row, records_count=0)], logs_dir, idempotent=True)  # replay
     got = spark.read.parquet(logs_dir).collect()
     assert [(r.run_id, r.records_count) for r in got] == [("stream-x-0000000001", 3)]
+
+
+def test_a_later_application_goes_on_from_the_checkpoint(spark, tmp_dir):
+    """No checkpoint given: it lies in the base folder, where the next
+    application, with a scratch folder of its own, finds it. Newer rows are kept."""
+    land, base = os.path.join(tmp_dir, "landed"), os.path.join(tmp_dir, "wh")
+    os.makedirs(land)
+    src = Landing("howlongtobeat", land, HLTB)
+    scratch = spark.sparkContext.getCheckpointDir()
+    seen = []
+    for name, hours in (("a.json", 50.0), ("b.json", 60.0)):
+        spark.sparkContext.setCheckpointDir(os.path.join(tmp_dir, f"ckpt-{name}"))
+        _write(land, name, [_row("Zelda", hours)])
+        start_incremental(spark, src, base).awaitTermination()
+        mart = spark.read.parquet(os.path.join(base, "core", "hltb_games"))
+        seen.append(sorted(float(r.main_story) for r in mart.collect()))
+    spark.sparkContext.setCheckpointDir(scratch)
+    assert seen == [[50.0], [50.0, 60.0]]
+    assert mart.select("dw_id_carga").distinct().count() == 2
+    assert os.path.isdir(os.path.join(base, "_checkpoints", "howlongtobeat"))
+    # another checkpoint is another stream: its batches aren't taken for stored ones
+    start_incremental(spark, src, base, checkpoint=os.path.join(tmp_dir, "other")).awaitTermination()
+    mart = spark.read.parquet(os.path.join(base, "core", "hltb_games"))
+    assert mart.select("dw_id_carga").distinct().count() == 3
