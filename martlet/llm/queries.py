@@ -9,15 +9,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlet.sources.readers import read_table
 
-from . import (decontam, packing, quality, secrets, simhash, substrings, token_counts, token_store, toxicity, urls)
+from . import (decontam, oracle, packing, quality, secrets, simhash, substrings, token_counts,
+               token_store, toxicity, urls)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(f):
-    REGISTRY[f.__name__] = f
-    return f
+def query(sql: str | None = None):
+    """Register a query under its function's name, with its SQL if there is one."""
+    def deco(f):
+        REGISTRY[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql.strip()
+        return f
+    return deco
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -30,43 +36,44 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents", ["doc_id", "text"])
 
 
-@query
+@query()
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_store(documents(spark, sf_dir), vocabulary())
 
 
-@query
+@query()
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), vocabulary())
 
 
-@query
+@query()
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
-@query
+@query(oracle.QUALITY)
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judged(documents(spark, sf_dir))
+    """Without the name of the rejecting rule: it depends on the measured order."""
+    return quality.judged(documents(spark, sf_dir)).drop("rejected_by")
 
 
-@query
+@query()
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
-@query
+@query(oracle.DECONTAMINATION)
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
 
 
-@query
+@query()
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "source", "lang", "text"])
     return token_counts.rolled_up(docs, vocabulary(), "byte_bpe_50k")
 
 
-@query
+@query(oracle.SUBSTRINGS)
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(documents(spark, sf_dir)).drop("kept")
 
@@ -76,12 +83,12 @@ URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example
              ("allow", "com/fr/"), ("block", "com/de/")]
 
 
-@query
+@query(oracle.url_filter(URL_RULES))
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
     return urls.filtered(pages, urls.rule_table(spark, URL_RULES))
 
 
-@query
+@query()
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(documents(spark, sf_dir), read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
