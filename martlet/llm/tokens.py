@@ -17,8 +17,31 @@ import numpy as np
 #: a space inside a run of white space, or at the end of one that ends the text
 UNSAFE = re.compile(r"\s (?:\s|\Z)")
 
-#: a Python worker forgets its cuts (some 200 bytes each) beyond so many; affects speed only
-MEMO = 600_000
+#: cuts of a generation (some 200 bytes each); a Python worker holds two, and
+#: forgets the older when the newer is full. Affects speed only.
+MEMO = 450_000
+
+
+class _Memo:
+    """Ids by cut: slot k has ``flat[start[k]:start[k + 1]]``."""
+
+    def __init__(self):
+        self.slot: dict[str, int] = {}
+        self.flat = np.empty(0, np.uint32)
+        self.start = np.zeros(1, np.int64)
+
+    def add(self, cuts: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        first = len(self.start) - 1
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
+        self.flat = np.concatenate([self.flat, ids])
+        self.slot.update(zip(cuts, range(first, first + len(cuts))))
+
+    def get(self, slots: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of slots, end to end, and the length of each."""
+        at = np.array(slots, np.int64)
+        begin, size = self.start[at], self.start[at + 1] - self.start[at]
+        out = np.cumsum(size)
+        return self.flat[np.repeat(begin - out + size, size) + np.arange(out[-1])], size
 
 
 class Encoder:
@@ -33,24 +56,16 @@ class Encoder:
         self.memo = memo
         self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ")
                                 for i in range(self.tokenizer.get_vocab_size())])
-        self._forget()
-
-    def _forget(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.flat = np.empty(0, np.uint32)
-        self.start = np.zeros(1, np.int64)
+        self.old, self.new = _Memo(), _Memo()
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _new(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of cuts not seen before, end to end, and the length of each. Cuts
-        with no white space at either end are encoded joined: only the first
-        token of each begins with a space."""
-        if any(not c or c[0].isspace() or c[-1].isspace() for c in cuts):
-            got = self._plain([" " + c for c in cuts])
-            return np.concatenate(got), np.array([len(x) for x in got], np.int64)
+    def _joined(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of cuts, end to end, and the length of each. None has white space
+        at an end, so they are encoded in one text: only the first token of each
+        begins with a space."""
         ids = self._plain([" " + " ".join(cuts)])[0]
         begin = np.flatnonzero(self.spaced[ids])
         if len(begin) != len(cuts):
@@ -58,30 +73,30 @@ class Encoder:
         return ids, np.diff(np.append(begin, len(ids)))
 
     def _learn(self, cuts: list[str]) -> None:
+        """Put cuts into the memo that aren't there; those of the generation before are copied."""
+        old = [c for c in cuts if c in self.old.slot]
+        if old:
+            self.new.add(old, *self.old.get([self.old.slot[c] for c in old]))
+            cuts = [c for c in cuts if c not in self.old.slot]
         odd = [c for c in cuts if not c or c[0].isspace() or c[-1].isspace()]
-        even = [c for c in cuts if c and not c[0].isspace() and not c[-1].isspace()]
-        for some in [odd, *(even[i:i + 5000] for i in range(0, len(even), 5000))]:
-            if some:
-                ids, size = self._new(some)
-                first = len(self.start) - 1
-                self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
-                self.flat = np.concatenate([self.flat, ids])
-                self.slot.update(zip(some, range(first, first + len(some))))
+        if odd:
+            got = self._plain([" " + c for c in odd])
+            self.new.add(odd, np.concatenate(got), np.array([len(x) for x in got], np.int64))
+            cuts = [c for c in cuts if c and not c[0].isspace() and not c[-1].isspace()]
+        for i in range(0, len(cuts), 5000):
+            self.new.add(cuts[i:i + 5000], *self._joined(cuts[i:i + 5000]))
 
     def _ids(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all cuts, each with a space before it, end to end; the length of each."""
         if not cuts:
             return np.empty(0, np.uint32), np.empty(0, np.int64)
-        at = list(map(self.slot.get, cuts))
+        at = list(map(self.new.slot.get, cuts))
         if None in at:
-            if len(self.slot) > self.memo:
-                self._forget()
-            self._learn([c for c in dict.fromkeys(cuts) if c not in self.slot])
-            at = list(map(self.slot.get, cuts))
-        at = np.array(at, np.int64)
-        begin, size = self.start[at], self.start[at + 1] - self.start[at]
-        out = np.cumsum(size)
-        return self.flat[np.repeat(begin - out + size, size) + np.arange(out[-1])], size
+            if len(self.new.slot) > self.memo:
+                self.old, self.new = self.new, _Memo()
+            self._learn([c for c in dict.fromkeys(cuts) if c not in self.new.slot])
+            at = list(map(self.new.slot.get, cuts))
+        return self.new.get(at)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         heads, cuts, counts = [], [], []
