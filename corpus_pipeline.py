@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martlet.llm import decontam, packing, quality, secrets, simhash
 from martlet.llm.common import stored
@@ -18,9 +18,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL: str | None = None
 
 
-def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids`` (chosen_id), with their columns."""
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["chosen_id"]), "left_semi")
+def _text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,21 +29,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates the document with the smallest
-    doc_id; of rows that share that id, one. Rows without an id stay if nothing
-    with an id is linked to them."""
-    found = simhash.near_duplicates(docs.select("doc_id", "text"), shingle=4, max_bits=4)
-    ids = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
-        F.col("doc_id").alias("chosen_id")).distinct()
-    kept = _chosen(docs, ids)
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    doc_id; of rows that share that id, one. A row without an id stays if nothing
+    with an id is linked to it; of such rows with equal fingerprints, one."""
+    found = simhash.near_duplicates(docs.select("doc_id", "text", _text_key().alias("text_key")),
+                                    shingle=4, max_bits=4, also=("text_key",))
+    group = F.when(F.col("doc_id").isNull(), F.col("fingerprint"))
+    chosen = (found.filter(F.col("component_id").eqNullSafe(F.col("doc_id")))
+              .groupBy("doc_id", group.alias("g")).agg(F.min("text_key").alias("chosen_key"))
+              .select(F.col("doc_id").alias("chosen_id"), "chosen_key"))
+    keyed = docs.withColumn("_text_key_", _text_key())
+    return (keyed.join(chosen, keyed["doc_id"].eqNullSafe(chosen["chosen_id"])
+                       & (keyed["_text_key_"] == chosen["chosen_key"]), "left_semi")
+            .dropDuplicates(["doc_id", "_text_key_"]).drop("_text_key_"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't contaminated. Rows of one doc_id go if one of them is."""
+    """Documents whose texts aren't contaminated. The text alone decides, so its
+    hash stands for the row; that holds for rows without an id, too."""
     items = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
-    judged = decontam.contamination(docs.select("doc_id", "text"), items, slack=0)
-    bad = judged.filter("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    keyed = docs.withColumn("_text_key_", _text_key())
+    judged = decontam.contamination(keyed.select(F.col("_text_key_").alias("doc_id"), "text"), items, slack=0)
+    bad = judged.filter("contaminated").select(F.col("doc_id").alias("bad_key")).distinct()
+    return keyed.join(bad, keyed["_text_key_"] == bad["bad_key"], "left_anti").drop("_text_key_")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

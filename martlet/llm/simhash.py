@@ -44,16 +44,18 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(ends), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """doc_id and fingerprint (the 64 bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``also`` (longs) and fingerprint (the 64 bits as a signed long) of every row."""
     def run(batches):
         for batch in batches:
             bits = np.array([fingerprint(t.as_py(), shingle, seed) for t in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits.view(np.int64))],
-                                             names=["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", *also)), pa.array(bits.view(np.int64))],
+                names=["doc_id", *also, "fingerprint"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, fingerprint long"))
+    return (docs.select(*[F.col(c).cast("long").alias(c) for c in ("doc_id", *also)],
+                        F.col("text").cast("string").alias("text"))
+            .mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", *also, "fingerprint"))))
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -182,17 +184,18 @@ def links(prints: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42,
-                    block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, fingerprint (16
-    lower-case hex digits) and component_id, the smallest doc_id reachable over
-    links of at most ``max_bits`` differing bits, its own included.
+                    block: int = BLOCK, also: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, the columns ``also``
+    (longs), fingerprint (16 lower-case hex digits) and component_id, the
+    smallest doc_id reachable over links of at most ``max_bits`` differing bits,
+    its own included.
 
     Texts without words and null texts have fingerprint zero and are linked like
     any other. Equal fingerprints are one node, so copies cost one row however
     many they are. Repeated rows each get a row; a null doc_id gets its
     component's smallest id, null if there is none. An empty table gives no rows.
     """
-    prints = stored(fingerprints(docs, shingle, seed), "fingerprints")
+    prints = stored(fingerprints(docs, shingle, seed, also), "fingerprints")
     nodes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "nodes")
     roots = components(links(nodes.select("fingerprint"), max_bits, block))
     rooted = (nodes.join(roots, nodes["fingerprint"] == roots["node"], "left")
@@ -200,4 +203,4 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed:
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     member = rooted.join(ids, "root").select(F.col("fingerprint").alias("fp"), "component_id")
     return (prints.join(member, prints["fingerprint"] == member["fp"])
-            .select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"))
+            .select("doc_id", *also, F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"))
