@@ -10,9 +10,11 @@ only one into its head doesn't branch; such edges are joined back to the
 documents, and the nodes along them compact to one row per run.
 
 Runs that take the same compacted path have the same words. The run in the
-document with the smallest id stands for them: the other runs' inner windows are
-known to be repeated, and only its own windows, with those that reach beyond a
-run, are read again from the documents by their coordinates and compared.
+document with the smallest id is their source: the others' inner windows are
+known to be repeated. Neighbouring runs of a document that keep the same distance
+to the same source are one run, as the source has the words between them, too.
+Only the sources' own windows, with those that reach beyond a run, are read again
+from the documents by their coordinates and compared.
 """
 
 from __future__ import annotations
@@ -120,8 +122,9 @@ def summaries(docs: DataFrame, k: int, w: int) -> DataFrame:
 
 def compacted(nodes: DataFrame, k: int, w: int) -> DataFrame:
     """Runs of repeated K-mers (doc_id, tkey, h1, h2, pos) along edges that
-    don't branch: doc_id, tkey, first (place of its first node), last, and
-    whether a smaller document has the same run (``known``)."""
+    don't branch, joined where neighbours have one source at one distance:
+    doc_id, tkey, first (place of its first node), last, and whether a smaller
+    document has the same run (``known``)."""
     order = Window.partitionBy("doc_id", "tkey").orderBy("pos", "h1", "h2")
     steps = nodes.select("*", F.lead("h1").over(order).alias("n1"), F.lead("h2").over(order).alias("n2"),
                          (F.lead("pos").over(order) - F.col("pos")).alias("gap"))
@@ -140,16 +143,34 @@ def compacted(nodes: DataFrame, k: int, w: int) -> DataFrame:
             "n", (F.col("b.pos") - F.col("a.pos")).alias("far")]
     same = ["a1", "a2", "b1", "b2", "n", "far"]
     runs = stored(runs.select("doc_id", "tkey", F.col("a.pos").alias("first"), F.col("b.pos").alias("last"), *path), "runs")
-    least = runs.groupBy(*same).agg(F.min("doc_id").alias("least"))
-    return runs.join(least, same).select("doc_id", "tkey", "first", "last", (F.col("doc_id") > F.col("least")).alias("known"))
+    source = (runs.groupBy(*same).agg(F.min(F.struct("doc_id", "first")).alias("s"))
+              .select(*same, F.col("s.doc_id").alias("source"), F.col("s.first").alias("source_first")))
+    placed = runs.join(source, same).select(
+        "doc_id", "tkey", "first", "last", "source", (F.col("first") - F.col("source_first")).alias("shift"))
+    by_place = Window.partitionBy("doc_id", "tkey").orderBy("first", "last")
+    goes_on = ((F.lag("source").over(by_place) == F.col("source")) & (F.lag("shift").over(by_place) == F.col("shift"))
+               & (F.col("first") - F.lag("last").over(by_place)).between(1, w))
+    return (placed.withColumn("starts", ~F.coalesce(goes_on, F.lit(False)))
+            .withColumn("run", F.sum(F.col("starts").cast("int")).over(by_place))
+            .groupBy("doc_id", "tkey", "run")
+            .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("source").alias("source"))
+            .select("doc_id", "tkey", "first", "last", (F.col("doc_id") > F.col("source")).alias("known")))
 
 
-def reread(docs: DataFrame, runs: DataFrame, k: int, w: int) -> DataFrame:
-    """Windows to compare: those that touch a run's nodes, but for the inner
-    windows of runs that a smaller document has: w1, w2, doc_id, tkey, pos."""
-    size = k + w - 1
+def touched(docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """The documents that have runs, with their texts and ``spans``, stored: the
+    only texts that later steps read."""
     spans = stored(runs.groupBy("doc_id", "tkey").agg(
         F.collect_list(F.struct("first", "last", "known")).alias("spans")), "spans")
+    return stored(docs.join(small(spans, SENT, "spans"), ["doc_id", "tkey"])
+                  .select("doc_id", "tkey", "text", "spans"), "touched")
+
+
+def reread(docs: DataFrame, k: int, w: int) -> DataFrame:
+    """Windows of ``docs`` (as ``touched`` has them) to compare: those that touch
+    a run's nodes, but for the inner windows of runs that a smaller document has:
+    w1, w2, doc_id, tkey, pos."""
+    size = k + w - 1
 
     def run(batches):
         schema = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("doc_id", pa.int64()), ("tkey", pa.int64()),
@@ -178,18 +199,23 @@ def reread(docs: DataFrame, runs: DataFrame, k: int, w: int) -> DataFrame:
                          batch.column("doc_id").take(take), batch.column("tkey").take(take),
                          pa.array(np.concatenate(pos).astype(np.int32))], schema=schema)
 
-    return docs.join(small(spans, SENT, "spans"), ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "spans").mapInArrow(
-        run, "w1 long, w2 long, doc_id long, tkey long, pos int")
+    return docs.mapInArrow(run, "w1 long, w2 long, doc_id long, tkey long, pos int")
+
+
+def repeated_runs(summary: DataFrame, k: int, w: int) -> DataFrame:
+    """Runs (see ``compacted``) of the K-mers that documents with different ids hold."""
+    nodes = (summary.filter("doc_id is not null")
+             .select("doc_id", "tkey", F.explode("kmers").alias("x")).select("doc_id", "tkey", "x.*"))
+    # one of the two hashes will do to leave out the K-mers that only one document holds
+    several = stored(nodes.groupBy("h1").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+                     .filter("lo < hi").select("h1"), "several")
+    return stored(compacted(stored(nodes.join(several, "h1", "left_semi"), "nodes"), k, w), "paths")
 
 
-def repeated_words(docs: DataFrame, summary: DataFrame, k: int, w: int) -> DataFrame:
+def repeated_words(texts: DataFrame, runs: DataFrame, k: int, w: int) -> DataFrame:
     """Word intervals [a, b) to remove: doc_id, tkey, a, b."""
     size = k + w - 1
-    nodes = summary.select("doc_id", "tkey", F.explode("kmers").alias("x")).select("doc_id", "tkey", "x.*")
-    several = (nodes.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-               .filter("lo < hi").select("h1", "h2"))
-    runs = stored(compacted(stored(nodes.join(several, ["h1", "h2"], "left_semi"), "nodes"), k, w), "paths")
-    windows = stored(reread(docs, runs, k, w), "windows")
+    windows = stored(reread(texts, k, w), "windows")
     first = (windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
              .filter("lo < hi").select("w1", "w2", "lo"))
     found = windows.join(first, ["w1", "w2"]).filter("doc_id > lo").select("doc_id", "tkey", "pos")
@@ -217,7 +243,9 @@ def without_repeats(docs: DataFrame, k: int = 26, w: int = 25) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), text.alias("text"))
     summary = stored(summaries(keyed, k, w), "summaries")
-    gone = stored(repeated_words(keyed, summary, k, w).groupBy("doc_id", "tkey").agg(
+    runs = repeated_runs(summary, k, w)
+    texts = touched(keyed, runs)
+    gone = stored(repeated_words(texts, runs, k, w).groupBy("doc_id", "tkey").agg(
         F.collect_list(F.struct("a", "b")).alias("gone")), "gone")
 
     def run(batches):
@@ -236,7 +264,7 @@ def without_repeats(docs: DataFrame, k: int = 26, w: int = 25) -> DataFrame:
                                               pa.array(sha, pa.string()), pa.array(kept, pa.string())],
                                              names=["doc_id", "tkey", "n_removed", "kept_sha256", "kept"])
 
-    changed = (keyed.join(small(gone, SENT, "gone"), ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "gone")
+    changed = (texts.join(small(gone, SENT, "gone"), ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "gone")
                .mapInArrow(run, "doc_id long, tkey long, n_removed long, kept_sha256 string, kept string")
                .dropDuplicates(["doc_id", "tkey"]))
     return (summary.select("doc_id", "tkey", "n_words", "sha").join(changed, ["doc_id", "tkey"], "left")
