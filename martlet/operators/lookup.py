@@ -116,7 +116,8 @@ def segment_probes(c, max_distance: int) -> Column:
 def segment_candidates(titles: DataFrame, catalogue: DataFrame, max_distance: int,
                        block: int = 1000) -> DataFrame:
     """Pairs (title, _k, _ck, match_id, match_name) among which all pairs within
-    ``max_distance`` are: those that share a segment. A pair may occur twice.
+    ``max_distance`` are: those that share a segment. A pair comes once for each
+    segment, or variant of the rest, that it shares.
 
     Catalogue blocks (names with one segment in one place) are counted first.
     A title meets at most ``block`` names in a block of that size or less. In a
