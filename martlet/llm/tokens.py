@@ -13,6 +13,8 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: a space inside a run of white space, or at the end of one that ends the text
 UNSAFE = re.compile(r"\s (?:\s|\Z)")
@@ -36,9 +38,8 @@ class _Memo:
         self.flat = np.concatenate([self.flat, ids])
         self.slot.update(zip(cuts, range(first, first + len(cuts))))
 
-    def get(self, slots: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def get(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of slots, end to end, and the length of each."""
-        at = np.array(slots, np.int64)
         begin, size = self.start[at], self.start[at + 1] - self.start[at]
         out = np.cumsum(size)
         return self.flat[np.repeat(begin - out + size, size) + np.arange(out[-1])], size
@@ -76,7 +77,7 @@ class Encoder:
         """Put cuts into the memo that aren't there; those of the generation before are copied."""
         old = [c for c in cuts if c in self.old.slot]
         if old:
-            self.new.add(old, *self.old.get([self.old.slot[c] for c in old]))
+            self.new.add(old, *self.old.get(np.array([self.old.slot[c] for c in old], np.int64)))
             cuts = [c for c in cuts if c not in self.old.slot]
         odd = [c for c in cuts if not c or c[0].isspace() or c[-1].isspace()]
         if odd:
@@ -86,31 +87,35 @@ class Encoder:
         for i in range(0, len(cuts), 5000):
             self.new.add(cuts[i:i + 5000], *self._joined(cuts[i:i + 5000]))
 
-    def _ids(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all cuts, each with a space before it, end to end; the length of each."""
-        if not cuts:
+    def _ids(self, cuts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all cuts, each with a space before it, end to end; the length
+        of each. Cuts are numbered by Arrow first: each word is looked up once."""
+        if not len(cuts):
             return np.empty(0, np.uint32), np.empty(0, np.int64)
-        at = list(map(self.new.slot.get, cuts))
+        numbered = cuts.dictionary_encode()
+        words = numbered.dictionary.to_pylist()
+        at = list(map(self.new.slot.get, words))
         if None in at:
             if len(self.new.slot) > self.memo:
                 self.old, self.new = self.new, _Memo()
-            self._learn([c for c in dict.fromkeys(cuts) if c not in self.new.slot])
-            at = list(map(self.new.slot.get, cuts))
-        return self.new.get(at)
+                at = [None] * len(words)
+            self._learn([c for c, k in zip(words, at) if k is None])
+            at = list(map(self.new.slot.get, words))
+        return self.new.get(np.array(at, np.int64)[numbered.indices.to_numpy()])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        heads, cuts, counts = [], [], []
-        for t in texts:
-            if UNSAFE.search(t):
-                heads.append(t)
-                counts.append(0)
-            else:
-                head, *rest = t.split(" ")
-                heads.append(head)
-                cuts += rest
-                counts.append(len(rest))
-        flat, size = self._ids(cuts)
-        edge = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+        if not texts:
+            return []
+        unsafe = [UNSAFE.search(t) is not None for t in texts]
+        lists = pc.split_pattern(pa.array(["" if u else t for t, u in zip(texts, unsafe)]), " ")
+        first = lists.offsets.to_numpy().astype(np.int64)
+        values = lists.flatten()
+        rest = np.ones(len(values), bool)
+        rest[first[:-1]] = False
+        # a text's first cut has no space before it; one that can't be cut is encoded whole
+        heads = [t if u else h for t, u, h in zip(texts, unsafe, values.take(pa.array(first[:-1])).to_pylist())]
+        flat, size = self._ids(values.filter(pa.array(rest)))
+        edge = np.concatenate([[0], np.cumsum(size)])[first - np.arange(len(first))].astype(np.int64)
         return [np.concatenate([h, flat[a:b]]) for h, a, b in zip(self._plain(heads), edge[:-1], edge[1:])]
 
 
@@ -120,7 +125,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def groups(texts: list[str | None], chars: int = 2_000_000):
+def groups(texts: list[str | None], chars: int = 4_000_000):
     """Lists of texts of about ``chars`` characters, with the place of the first; null counts as empty."""
     begin, held, n = 0, [], 0
     for t in texts:
