@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import io
 import re
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import martlet
 from martlet.session import scratch_path
 
+_SHIPPED: set[str] = set()
+
 #: ASCII white space, as the word definition of the operators has it
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -32,6 +39,34 @@ def local_uri(path: str) -> str:
     return re.sub(r"^file:/+", "file:///", path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers of all executors, once per
+    application: what a task calls is imported there, wherever the driver found
+    it. The archive lies in the shared folder."""
+    from pyarrow import fs
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top, data = Path(martlet.__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    folder = shared_folder(spark, "package")
+    where, name = fs.FileSystem.from_uri(local_uri(folder))
+    where.create_dir(name, recursive=True)
+    with where.open_output_stream(f"{name}/martlet.zip") as out:
+        out.write(data.getvalue())
+    sc.addPyFile(f"{folder}/martlet.zip")
+    _SHIPPED.add(sc.applicationId)
+
+
+def arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with a function that may use this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def words(text: Column) -> Column:
     """Words of a whole text: runs of anything but ASCII white space; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITE), "")

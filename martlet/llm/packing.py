@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
+from .common import arrow, stored
 from .tokens import encoder, groups
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, lane long"
@@ -53,8 +53,8 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int, size: int) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int32(), *[pa.int64()] * 4])],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "lane"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(pieces, PIECE))
+    return arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
+                 pieces, PIECE)
 
 
 def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import partitions, small, stored
+from .common import arrow, partitions, small, stored
 from .graph import components
 
 #: entries of one variant that a task compares at a time; larger ones are dealt
@@ -53,9 +53,9 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, also: tuple[
                 [*(batch.column(c) for c in ("doc_id", *also)), pa.array(bits.view(np.int64))],
                 names=["doc_id", *also, "fingerprint"])
 
-    return (docs.select(*[F.col(c).cast("long").alias(c) for c in ("doc_id", *also)],
-                        F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", *also, "fingerprint"))))
+    return arrow(docs.select(*[F.col(c).cast("long").alias(c) for c in ("doc_id", *also)],
+                             F.col("text").cast("string").alias("text")),
+                 run, ", ".join(f"{c} long" for c in ("doc_id", *also, "fingerprint")))
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -179,8 +179,8 @@ def links(prints: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFrame
             yield edges(held_key, held)
 
     n = partitions(prints.sparkSession)
-    return (dealt.repartition(n, "key", "sub").sortWithinPartitions("key", "sub", "fingerprint")
-            .mapInArrow(compare, "a long, b long"))
+    return arrow(dealt.repartition(n, "key", "sub").sortWithinPartitions("key", "sub", "fingerprint"),
+                 compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42,

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import small, stored
+from .common import arrow, small, stored
 from .tokens import groups
 
 #: spans sent to all tasks; with more, texts are shuffled to them
@@ -116,8 +116,8 @@ def summaries(docs: DataFrame, k: int, w: int) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), nodes)],
                     names=["doc_id", "tkey", "n_words", "sha", "kmers"])
 
-    return docs.mapInArrow(run, "doc_id long, tkey long, n_words long, sha string, "
-                                "kmers array<struct<h1:long,h2:long,pos:int>>")
+    return arrow(docs, run, "doc_id long, tkey long, n_words long, sha string, "
+                            "kmers array<struct<h1:long,h2:long,pos:int>>")
 
 
 def compacted(nodes: DataFrame, k: int, w: int) -> DataFrame:
@@ -199,7 +199,7 @@ def reread(docs: DataFrame, k: int, w: int) -> DataFrame:
                          batch.column("doc_id").take(take), batch.column("tkey").take(take),
                          pa.array(np.concatenate(pos).astype(np.int32))], schema=schema)
 
-    return docs.mapInArrow(run, "w1 long, w2 long, doc_id long, tkey long, pos int")
+    return arrow(docs, run, "w1 long, w2 long, doc_id long, tkey long, pos int")
 
 
 def repeated_runs(summary: DataFrame, k: int, w: int) -> DataFrame:
@@ -264,8 +264,8 @@ def without_repeats(docs: DataFrame, k: int = 26, w: int = 25) -> DataFrame:
                                               pa.array(sha, pa.string()), pa.array(kept, pa.string())],
                                              names=["doc_id", "tkey", "n_removed", "kept_sha256", "kept"])
 
-    changed = (texts.join(small(gone, SENT, "gone"), ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "gone")
-               .mapInArrow(run, "doc_id long, tkey long, n_removed long, kept_sha256 string, kept string")
+    losing = texts.join(small(gone, SENT, "gone"), ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "gone")
+    changed = (arrow(losing, run, "doc_id long, tkey long, n_removed long, kept_sha256 string, kept string")
                .dropDuplicates(["doc_id", "tkey"]))
     return (summary.select("doc_id", "tkey", "n_words", "sha").join(changed, ["doc_id", "tkey"], "left")
             .select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),

@@ -13,7 +13,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import WHITE, shared_folder, stored
+from .common import WHITE, arrow, shared_folder, stored
 from .tokens import encoder, groups
 
 KEYS = ("source", "lang", "tokenizer")
@@ -36,7 +36,7 @@ def counted(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     rest = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
-    return docs.select(*[f"`{f.name}`" for f in rest], "text").mapInArrow(run, f"{schema}, n_tokens long")
+    return arrow(docs.select(*[f"`{f.name}`" for f in rest], "text"), run, f"{schema}, n_tokens long")
 
 
 def signed(changes: DataFrame) -> DataFrame:

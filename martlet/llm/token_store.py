@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import local_uri, partitions, shared_folder, stored
+from .common import arrow, local_uri, partitions, shared_folder, stored
 from .tokens import encoder, groups
 
 MAGIC, VERSION, BLOCK = b"DACS", 1, 512
@@ -173,7 +173,7 @@ def write_store(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0,
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
                .repartitionByRange(partitions(docs.sparkSession), "doc_id")
                .sortWithinPartitions("doc_id", "text"))
-    return stored(ordered.mapInArrow(write, SEGMENT), "token-files")
+    return stored(arrow(ordered, write, SEGMENT), "token-files")
 
 
 def with_starts(files: DataFrame) -> DataFrame:
@@ -209,7 +209,7 @@ def read_store(files: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = partitions(files.sparkSession)
-    return with_starts(files).select("path", "before").repartition(n, "path").mapInArrow(read, DOC)
+    return arrow(with_starts(files).select("path", "before").repartition(n, "path"), read, DOC)
 
 
 def token_store(docs: DataFrame, vocabulary: str) -> DataFrame:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import collected, stored
+from .common import arrow, collected, stored
 
 # Function words of the grammar, in English, German, French and Spanish.
 NEGATION = frozenset("not never no don't isn't aren't nicht kein keine nie pas jamais nunca".split())
@@ -123,7 +123,7 @@ def learned(train: DataFrame, least: int = 5, share: float = 0.98) -> dict[str,
     n = {r.toxic: r["count"] for r in train.groupBy((F.col("toxic") > 0).alias("toxic")).count().collect()}
     if not n.get(True):
         return {}
-    rows = (train.mapInArrow(count, "stem string, clean long, toxic long, ids array<long>")
+    rows = (arrow(train, count, "stem string, clean long, toxic long, ids array<long>")
             .groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"),
                                  F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"))
             .filter((F.col("toxic") >= least) & (F.col("toxic") >= share * (F.col("toxic") + F.col("clean"))))
@@ -174,8 +174,8 @@ def with_tracks(docs: DataFrame, grammar: Grammar) -> DataFrame:
                 [batch.column("doc_id"), pa.array(got, pa.list_(pa.float64())), *(batch.column(c) for c in more)],
                 names=["doc_id", "tracks", *more])
 
-    return docs.select("doc_id", "text", *more).mapInArrow(
-        run, ", ".join(["doc_id long", "tracks array<double>", *("toxic int" for _ in more)]))
+    return arrow(docs.select("doc_id", "text", *more), run,
+                 ", ".join(["doc_id long", "tracks array<double>", *("toxic int" for _ in more)]))
 
 
 def scored(docs: DataFrame, labels: DataFrame, rows: int = 12_000) -> DataFrame:
@@ -208,7 +208,7 @@ def scored(docs: DataFrame, labels: DataFrame, rows: int = 12_000) -> DataFrame:
                 score = 1 / (1 + np.exp(-np.clip(shape(t) @ theta[:-1] + theta[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
 
-    out = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-           .mapInArrow(run, "doc_id long, score double"))
+    out = arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
+                run, "doc_id long, score double")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
