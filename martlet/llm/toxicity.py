@@ -99,12 +99,15 @@ def sampled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return stored(own.join(mine, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic"), "labelled")
 
 
-def learned(train: DataFrame, least: int = 5, share: float = 0.98) -> dict[str, float]:
+def learned(train: DataFrame, least: int = 5, share: float = 0.98, depth: int = 3,
+            common: float = 0.02) -> dict[str, float]:
     """Stems and their weights (log odds). Counts by stem run in Spark; stems in
     at least ``least`` toxic documents, with at most one in ``1 / (1 - share)``
     of their documents harmless, are candidates. Of these the one that covers
     most toxic documents not yet covered is taken, until none covers ``least``:
-    words that only keep a stem company don't get in."""
+    words that only keep a stem company don't get in. Stems that are common
+    among toxic documents (a share of ``common``) may then cover documents again,
+    up to ``depth`` times, so that a text with one of them alone is told, too."""
     def count(batches):
         for batch in batches:
             got = defaultdict(lambda: [0, 0, []])
@@ -130,15 +133,21 @@ def learned(train: DataFrame, least: int = 5, share: float = 0.98) -> dict[str,
             .orderBy(F.desc("toxic"), "clean", F.desc(F.length("stem")), "stem").limit(2000))
     left = {r.stem: (set(r.ids), r.toxic, r.clean) for r in collected(rows, 2000, "stems")}
     weights: dict[str, float] = {}
-    while left:
-        best = max(left, key=lambda s: (len(left[s][0]), -left[s][2], len(s), s))
-        ids, toxic, clean = left.pop(best)
-        if len(ids) < least:
-            break
-        weights[best] = math.log((toxic + 0.5) / n[True]) - math.log((clean + 0.5) / max(n.get(False, 0), 1))
-        ids = set(ids)
-        for s in left:
-            left[s][0].difference_update(ids)
+    covered: dict[int, int] = defaultdict(int)
+    for times, gain in ((1, least), (depth, max(least, common * n[True]))):
+        while left:
+            lacking = {s: sum(covered[i] < times for i in ids) for s, (ids, _, _) in left.items()}
+            best = max(left, key=lambda s: (lacking[s], -left[s][2], len(s), s))
+            if lacking[best] < gain:
+                break
+            ids, toxic, clean = left[best]
+            weights[best] = math.log((toxic + 0.5) / n[True]) - math.log((clean + 0.5) / max(n.get(False, 0), 1))
+            for i in ids:
+                covered[i] += 1
+            # neither the beginnings of a stem taken nor what goes on from it
+            word = best.rstrip("*")
+            left = {s: x for s, x in left.items()
+                    if not word.startswith(s.rstrip("*")) and not s.rstrip("*").startswith(word)}
     return weights
 
 
