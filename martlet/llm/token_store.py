@@ -150,6 +150,8 @@ def write_store(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0,
             name = f"{folder}/ids-{part:06d}-{seq:04d}.dac"
             with where.open_output_stream(f"{name}.{attempt}") as out:
                 out.write(pack(doc_ids, np.array([len(a) for a in arrays]), np.concatenate(arrays)))
+            if where.get_file_info(name).type != fs.FileType.NotFound:  # an earlier attempt's, the same
+                where.delete_file(name)
             where.move(f"{name}.{attempt}", name)
             row = {"part": [part], "seq": [seq], "path": [f"{path}/{name.rpartition('/')[2]}"],
                    "docs": [len(doc_ids)], "tokens": [held]}
