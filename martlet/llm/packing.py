@@ -40,7 +40,7 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int, size: int) -> DataFrame:
         end = np.array([end_id], np.uint32)
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
-            for at, texts in groups(batch.column("text").to_pylist()):
+            for at, texts in groups(batch.column("text")):
                 rows = []
                 for k, ids in enumerate(enc.encode(texts), at):
                     ids = np.concatenate([ids, end]).astype("<u4")

@@ -101,7 +101,7 @@ def summaries(docs: DataFrame, k: int, w: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for at, texts in groups(batch.column("text").to_pylist()):
+            for at, texts in groups(batch.column("text")):
                 words = [t.encode().split() for t in texts]
                 bounds = np.concatenate([[0], np.cumsum([len(x) for x in words])]).astype(np.int64)
                 place, one, two = kept_kmers(word_hashes([x for y in words for x in y]), bounds, k, w)
@@ -177,7 +177,7 @@ def reread(docs: DataFrame, k: int, w: int) -> DataFrame:
                             ("pos", pa.int32())])
         for batch in batches:
             spans = batch.column("spans").to_pylist()
-            for at, texts in groups(batch.column("text").to_pylist()):
+            for at, texts in groups(batch.column("text")):
                 rows = []
                 for i, t in enumerate(texts, at):
                     h = word_hashes(t.encode().split())

@@ -29,7 +29,7 @@ def counted(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches):
         enc = encoder(vocabulary)
         for batch in batches:
-            n = [len(ids) for _, texts in groups(batch.column("text").to_pylist()) for ids in enc.encode(texts)]
+            n = [len(ids) for _, texts in groups(batch.column("text")) for ids in enc.encode(texts)]
             rest = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(n, pa.int64())],
                                              names=[*rest, "n_tokens"])

@@ -159,7 +159,7 @@ def write_store(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0,
 
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
-            for at, texts in groups(batch.column("text").to_pylist()):
+            for at, texts in groups(batch.column("text")):
                 for k, ids in enumerate(enc.encode(texts), at):
                     doc_ids.append(keys[k])
                     arrays.append(np.concatenate([ids, end]))

@@ -21,7 +21,7 @@ UNSAFE = re.compile(r"\s (?:\s|\Z)")
 
 #: cuts of a generation (some 200 bytes each); a Python worker holds two, and
 #: forgets the older when the newer is full. Affects speed only.
-MEMO = 450_000
+MEMO = 150_000
 
 
 class _Memo:
@@ -125,15 +125,17 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def groups(texts: list[str | None], chars: int = 4_000_000):
-    """Lists of texts of about ``chars`` characters, with the place of the first; null counts as empty."""
+def groups(texts: pa.Array, chars: int = 2_000_000):
+    """Lists of texts of about ``chars`` characters, with the place of the
+    first; null counts as empty. No more than a list of them is in Python at a time."""
     begin, held, n = 0, [], 0
-    for t in texts:
-        t = t or ""
-        if held and n + len(t) > chars:
-            yield begin, held
-            begin, held, n = begin + len(held), [], 0
-        held.append(t)
-        n += len(t)
+    for i in range(0, len(texts), 64):
+        for t in texts.slice(i, 64).to_pylist():
+            t = t or ""
+            if held and n + len(t) > chars:
+                yield begin, held
+                begin, held, n = begin + len(held), [], 0
+            held.append(t)
+            n += len(t)
     if held:
         yield begin, held
