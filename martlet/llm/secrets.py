@@ -42,7 +42,8 @@ SEEN = {
 #: the matches of 32 and more, without those that would be dropped
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])"
+#: ``=`` is padding behind a token and no more: KEY=token and ?sig=token are candidates
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_-])"
 
 #: alphabets by inferred encoding; base 64 takes both of its sign pairs
 HEX_DIGITS = "0123456789abcdef"

@@ -172,6 +172,22 @@ def test_random_tokens_are_found_and_words_are_not(spark):
         assert r.n_random == r.spans.count("random:")
 
 
+def test_random_tokens_beside_equals_signs(spark):
+    rnd = random.Random(7)
+    places = ("export AWS_SECRET_ACCESS_KEY={} #", "see https://a.org/x?id=7&sig={}&v=2", "private_key={}==", "{}=1")
+    rows, want = [], {}
+    for i in range(200):
+        token = "".join(rnd.choice(secrets.BASE64[:62]) for _ in range(48))
+        before, after = places[i % 4].split("{}")
+        rows.append((i, before + token + after))
+        want[i] = f"random:{len(before)}:{len(before) + len(token) + (2 if i % 4 == 2 else 0)}"
+    got = {r.doc_id: r.spans for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for place in range(4):
+        assert sum(got[i] == want[i] for i in range(place, 200, 4)) >= 45  # of 50
+    text = spark.createDataFrame([("a_long_setting_name_no_1=some/path/of_many_words_2",)], "text string")
+    assert secrets.redacted_documents(text).first().text == "a_long_setting_name_no_1=some/path/of_many_words_2"
+
+
 def test_battery_against_formulas(spark):
     from pyspark.sql import functions as F
     rnd = random.Random(6)
