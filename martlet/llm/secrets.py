@@ -1,16 +1,16 @@
 """Secret scans: patterns, and a battery of randomness tests for other tokens.
 
 A candidate is a long token of code characters that holds a letter and a digit.
-Its encoding is inferred (hexadecimal, base 32, base 64) and its characters are
-read as numbers of that alphabet. Three tests ask whether they look random:
+Its encoding is inferred (hexadecimal, base 32, 36, 62 or 64) and its characters
+are read as numbers of that alphabet. Three tests ask whether they look random:
 chi-squared for the uniformity of the alphabet, runs above and below the middle,
 and the serial correlation of neighbours. A fourth figure asks whether the token
-could be ordinary text, whose character class (lower case, capital, digit, sign)
-seldom changes: the exponential tail bound for as many changes among as many
-neighbours. That bound shrinks with length, and is held to a false-discovery
-rate within each class of length over all candidates of the corpus. (Random base
-32, capitals with few digits, changes its class little more often than text
-does: such tokens are only told when they are very long.)
+could be ordinary text: how likely text is to spell it, by how seldom text
+changes its character class (lower case, capital, digit, sign) and by how often
+it uses each letter, against the likelihood of a random token of that encoding.
+Under text that quotient exceeds t with a probability of at most 1/t (Markov),
+so its inverse is a p-value; it is held to a false-discovery rate within each
+class of length over all candidates of the corpus.
 
 Only DataFrame functions are used.
 """
@@ -48,8 +48,18 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_-])"
 #: alphabets by inferred encoding; base 64 takes both of its sign pairs
 HEX_DIGITS = "0123456789abcdef"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+BASE36 = "0123456789abcdefghijklmnopqrstuvwxyz"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
+#: alphabets that an encoding is inferred from: hexadecimal, base 32 and 36 in either case, base 62 and 64
+ENCODINGS = 8
+
+#: a token of so many letters and digits without a sign isn't base 64
+UNSIGNED = 128
+
+#: letters in 1,000 of English text, a to z
+LETTERS = (82, 13, 28, 43, 127, 22, 20, 61, 70, 1.5, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 1.5, 20, 1)
+
 RANDOM = "random"
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
@@ -111,12 +121,16 @@ def battery(token: Column) -> Column:
     """The tests' figures for one token: n, encoding, p_uniform, p_runs, p_serial."""
     body = F.regexp_replace(token, r"=+$", "")
     encoding = (F.when(body.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$"), F.lit(16))
-                .when(body.rlike(r"^[A-Z2-7]+$"), F.lit(32)).otherwise(F.lit(64)))
+                .when(body.rlike(r"^(?:[A-Z2-7]+|[a-z2-7]+)$"), F.lit(32))
+                .when(body.rlike(r"^(?:[0-9a-z]+|[0-9A-Z]+)$"), F.lit(36))
+                .when(body.rlike(rf"^[A-Za-z0-9]{{{UNSIGNED},}}$"), F.lit(62)).otherwise(F.lit(64)))
 
     def of(x: Column) -> Column:
         size = x["size"]
-        alphabet = F.when(size == 16, F.lit(HEX_DIGITS)).when(size == 32, F.lit(BASE32)).otherwise(F.lit(BASE64))
-        plain = F.when(size == 16, F.lower(x["body"])).otherwise(F.translate(x["body"], "-_", "+/"))
+        alphabet = (F.when(size == 16, F.lit(HEX_DIGITS)).when(size == 32, F.lit(BASE32))
+                    .when(size == 36, F.lit(BASE36)).otherwise(F.lit(BASE64)))
+        plain = (F.when(size == 32, F.upper(x["body"])).when(size <= 36, F.lower(x["body"]))
+                 .otherwise(F.translate(x["body"], "-_", "+/")))
         codes = F.transform(F.split(plain, ""), lambda c: F.instr(alphabet, c) - 1)
         return let(F.struct(size.alias("size"), codes.alias("c")), figures)
 
@@ -150,20 +164,31 @@ def battery(token: Column) -> Column:
     return let(F.struct(body.alias("body"), encoding.alias("size")), of)
 
 
-def text_tail(token: Column, rate: float) -> Column:
+def spelling() -> dict[str, float]:
+    """-log10 of the share of each character in ordinary text, within its class. A
+    quarter of the letters is dealt evenly, for other languages and abbreviations."""
+    share = {chr(97 + i): 0.75 * n / sum(LETTERS) + 0.25 / 26 for i, n in enumerate(LETTERS)}
+    share |= dict.fromkeys("0123456789", 1 / 10) | dict.fromkeys("+/_-", 1 / 4)
+    return {c: -math.log10(p) for c, p in share.items()}
+
+
+def text_tail(token: Column, encoding: Column, rate: float) -> Column:
     """-log10 of a bound on the chance that ordinary text, whose character class
-    changes between neighbours at ``rate`` or less, changes as often as the token."""
+    changes between neighbours at ``rate``, spells a token that speaks as much for
+    a random one of any encoding as this does (0 where the token looks like text)."""
+    body = F.regexp_replace(token, r"=+$", "")
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
-        token, r"[a-z]", "l"), r"[A-Z]", "u"), r"[0-9]", "n"), r"[+/_=-]", "s")
-    n = F.length(token) - 1
-    share = (F.length(F.regexp_replace(classes, r"(.)(?=\1)", "")) - 1) / n
+        body, r"[a-z]", "l"), r"[A-Z]", "u"), r"[0-9]", "n"), r"[+/_-]", "s")
+    cost = F.create_map(*[F.lit(x) for pair in spelling().items() for x in pair])
 
-    def bound(r: Column) -> Column:
-        inner = F.least(r, F.lit(1 - 1e-9))
-        gain = inner * F.log(inner / rate) + (1 - inner) * F.log((1 - inner) / (1 - rate))
-        return F.when(r > rate, n * gain / math.log(10)).otherwise(F.lit(0.0))
+    def bound(x: Column) -> Column:
+        n, turns = F.length(x["body"]), F.length(x["turns"]) - 1
+        spelt = F.aggregate(F.split(F.lower(x["body"]), ""), F.lit(0.0),
+                            lambda a, c: a + F.coalesce(F.try_element_at(cost, c), F.lit(0.0)))
+        text = math.log10(4) + turns * -math.log10(rate / 3) + (n - 1 - turns) * -math.log10(1 - rate) + spelt
+        return F.greatest(text - n * F.log10(encoding.cast("double")) - math.log10(ENCODINGS), F.lit(0.0))
 
-    return let(share, bound)
+    return let(F.struct(body.alias("body"), F.regexp_replace(classes, r"(.)(?=\1)", "").alias("turns")), bound)
 
 
 def tested(text: Column, rate: float, alpha: float) -> Column:
@@ -173,11 +198,14 @@ def tested(text: Column, rate: float, alpha: float) -> Column:
                      lambda m: m["value"].rlike("[0-9]") & m["value"].rlike("[A-Za-z]"))
 
     def judged(m: Column) -> Column:
-        passes = let(battery(m["value"]), lambda b: F.least(b["p_uniform"], b["p_runs"], b["p_serial"]) >= alpha / 3)
+        return let(F.struct(m.alias("m"), battery(m["value"]).alias("b")), lambda x: put(x["m"], x["b"]))
+
+    def put(m: Column, b: Column) -> Column:
+        tail = text_tail(m["value"], b["encoding"], rate)
         return F.struct(m["start"].alias("start"), m["end"].alias("end"),
                         F.floor(2 * F.log2((m["end"] - m["start"]).cast("double"))).cast("int").alias("size_class"),
-                        F.least(F.floor(text_tail(m["value"], rate) / STEP), F.lit(LAST)).cast("int").alias("step"),
-                        passes.alias("random"))
+                        F.least(F.floor(tail / STEP), F.lit(LAST)).cast("int").alias("step"),
+                        (F.least(b["p_uniform"], b["p_runs"], b["p_serial"]) >= alpha / 3).alias("random"))
 
     none = F.array().cast("array<struct<start:int,end:int,size_class:int,step:int,random:boolean>>")
     return F.when(text.rlike(CANDIDATE), F.transform(found, judged)).otherwise(none)

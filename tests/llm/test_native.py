@@ -188,6 +188,34 @@ def test_random_tokens_beside_equals_signs(spark):
     assert secrets.redacted_documents(text).first().text == "a_long_setting_name_no_1=some/path/of_many_words_2"
 
 
+def test_recall_of_each_encoding(spark):
+    rnd = random.Random(9)
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    kinds = {"hex": (digits + "abcdef", 20, 31), "upper hex": (digits + "ABCDEF", 20, 64),
+             "base 32": (secrets.BASE32, 26, 64), "lower base 32": (secrets.BASE32.lower(), 26, 64),
+             "base 36": (digits + low, 24, 64), "upper base 36": (digits + up, 24, 64),
+             "base 62": (digits + low + up, 24, 400), "base 64": (secrets.BASE64, 20, 64)}
+    rows, where = [], {}
+    for kind, (alphabet, least, most) in kinds.items():
+        while sum(k == kind for k, _ in where.values()) < 60:
+            token = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(least, most)))
+            if re.search("[0-9]", token) and re.search("[A-Za-z]", token):
+                where[len(rows)] = kind, f"random:4:{4 + len(token)}"
+                rows.append((len(rows), f"see {token} here"))
+    words = ["photo", "summer", "archive", "release", "notes", "chapter", "version", "station", "index", "manager"]
+    for i in range(1000):
+        w = [rnd.choice(words) for _ in range(5)]
+        name = ("-".join(w) + f"-{i}", "".join(x.title() for x in w) + str(i), "_".join(w).upper() + f"_V{i % 9}",
+                f"IMG_2024{i:04}_103045_HDR_{i:04}", f"blog/2024/05/{i % 30}/" + "-".join(w),
+                "".join(w) + str(i), "".join(w).upper() + "234567"[i % 6], f"2024-05-17T10-20-{i % 60}-000{i:04}Z",
+                f"{rnd.randint(10 ** 20, 10 ** 22)}e", f"{w[0]}-{i}.x264-1080p-h265-{w[1]}-{w[2]}")[i % 10]
+        rows.append((len(rows), f"see {name} here"))
+    got = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    recall = {k: sum(got[i].spans == s for i, (kind, s) in where.items() if kind == k) / 60 for k in kinds}
+    wrong = sum(got[i].n_random for i in range(len(where), len(rows)))
+    assert min(recall.values()) >= 0.9 and wrong <= 0.01 * len(where), (recall, wrong)
+
+
 def test_battery_against_formulas(spark):
     from pyspark.sql import functions as F
     rnd = random.Random(6)
