@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import small, stored
 
+#: share of the distrust by which it must exceed the margin
+TIE = 1e-9
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: target of an absolute or scheme-relative link
@@ -115,7 +118,9 @@ def filtered(pages: DataFrame, rules: DataFrame, margin: float = 2.0, damping: f
     """One row per row of ``pages`` (page_id, url, html): page_id, host, path,
     rule (null: none fits), verdict (the rule's; else block where the host's
     distrust exceeds ``margin`` times its trust, allow elsewhere), and trust and
-    distrust of the host (0 where none arrives).
+    distrust of the host (0 where none arrives), rounded to 9 decimals. The
+    verdict is on the ranks as they are: it doesn't depend on how many hosts
+    share the mass.
 
     A null url, or one without ``://``, has an empty host and path, fits no rule
     and is allowed. Null html has no links. Repeated rows are judged alike, and
@@ -134,11 +139,12 @@ def filtered(pages: DataFrame, rules: DataFrame, margin: float = 2.0, damping: f
     known = stored(rank.groupBy("host").agg(
         F.sum(F.when(F.col("kind") == "trust", F.col("rank"))).alias("trust"),
         F.sum(F.when(F.col("kind") == "distrust", F.col("rank"))).alias("distrust"))
-        .select(F.col("host").alias("named"), F.coalesce(F.round("trust", 9), F.lit(0.0)).alias("trust"),
-                F.coalesce(F.round("distrust", 9), F.lit(0.0)).alias("distrust")), "trust")
-    shady = F.coalesce(F.col("distrust") > margin * F.col("trust"), F.lit(False))
+        .select(F.col("host").alias("named"), F.coalesce("trust", F.lit(0.0)).alias("trust"),
+                F.coalesce("distrust", F.lit(0.0)).alias("distrust")), "trust")
+    # a tie but for the last digits of the sums is one in every order of adding
+    shady = F.coalesce(F.col("distrust") * (1 - TIE) > margin * F.col("trust"), F.lit(False))
     return (judged.join(small(known), judged["host"] == known["named"], "left")
             .select("page_id", "host", "path", "rule",
                     F.coalesce("verdict", F.when(shady, "block").otherwise("allow")).alias("verdict"),
-                    F.coalesce("trust", F.lit(0.0)).alias("trust"),
-                    F.coalesce("distrust", F.lit(0.0)).alias("distrust")))
+                    F.coalesce(F.round("trust", 9), F.lit(0.0)).alias("trust"),
+                    F.coalesce(F.round("distrust", 9), F.lit(0.0)).alias("distrust")))

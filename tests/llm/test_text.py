@@ -201,6 +201,17 @@ def test_urls_of_odd_rows(spark):
     assert {r.verdict for r in urls.filtered(df, table.limit(0)).collect()} == {"allow"}
 
 
+def test_small_ranks_are_judged(spark):
+    link = '<a href="https://{0}/x">a</a> '.format
+    pages = [(0, "https://bad.net/", "")]
+    for i, to in enumerate(("bad.net", "h0.net", "h1.net")):
+        pages += [(2 * i + 1, f"https://h{i}.net/", link(to)), (2 * i + 2, f"https://n{i}.net/", link(to) * 2000)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r for r in urls.filtered(df, urls.rule_table(spark, [("block", "bad.net/")])).collect()}
+    assert got[5].distrust == 0.0  # as shown: under half of the last decimal
+    assert {r.verdict for r in got.values()} == {"block"}
+
+
 # toxicity
 
 def test_toxicity_on_held_out_documents(spark):
