@@ -10,6 +10,7 @@ and not by the word alone. A logistic model over the tracks gives the score.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import defaultdict
@@ -100,14 +101,15 @@ def sampled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 
 def learned(train: DataFrame, least: int = 5, share: float = 0.98, depth: int = 3,
-            common: float = 0.02) -> dict[str, float]:
+            common: float = 0.02, most: int = 500_000) -> dict[str, float]:
     """Stems and their weights (log odds). Counts by stem run in Spark; stems in
     at least ``least`` toxic documents, with at most one in ``1 / (1 - share)``
     of their documents harmless, are candidates. Of these the one that covers
     most toxic documents not yet covered is taken, until none covers ``least``:
     words that only keep a stem company don't get in. Stems that are common
     among toxic documents (a share of ``common``) may then cover documents again,
-    up to ``depth`` times, so that a text with one of them alone is told, too."""
+    up to ``depth`` times, so that a text with one of them alone is told, too.
+    All candidates take part; over ``most`` of them it raises."""
     def count(batches):
         for batch in batches:
             got = defaultdict(lambda: [0, 0, []])
@@ -129,25 +131,36 @@ def learned(train: DataFrame, least: int = 5, share: float = 0.98, depth: int =
     rows = (arrow(train, count, "stem string, clean long, toxic long, ids array<long>")
             .groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"),
                                  F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"))
-            .filter((F.col("toxic") >= least) & (F.col("toxic") >= share * (F.col("toxic") + F.col("clean"))))
-            .orderBy(F.desc("toxic"), "clean", F.desc(F.length("stem")), "stem").limit(2000))
-    left = {r.stem: (set(r.ids), r.toxic, r.clean) for r in collected(rows, 2000, "stems")}
+            .filter((F.col("toxic") >= least) & (F.col("toxic") >= share * (F.col("toxic") + F.col("clean")))))
+    left = {r.stem: (set(r.ids), r.toxic, r.clean) for r in collected(rows, most, "stems")}
+    order = sorted(left, key=lambda s: (left[s][2], -len(s), [-ord(c) for c in s]))
     weights: dict[str, float] = {}
     covered: dict[int, int] = defaultdict(int)
+    taken: set[str] = set()
+    begun: set[str] = set()
     for times, gain in ((1, least), (depth, max(least, common * n[True]))):
-        while left:
-            lacking = {s: sum(covered[i] < times for i in ids) for s, (ids, _, _) in left.items()}
-            best = max(left, key=lambda s: (lacking[s], -left[s][2], len(s), s))
-            if lacking[best] < gain:
-                break
+        def lacking(stem: str) -> int:
+            return sum(covered[i] < times for i in left[stem][0])
+
+        # what a stem lacks only shrinks: the first in the heap that is up to date is the best
+        heap = [(-lacking(s), at, s) for at, s in enumerate(order)]
+        heapq.heapify(heap)
+        while heap and -heap[0][0] >= gain:
+            was, at, best = heapq.heappop(heap)
+            word = best.rstrip("*")
+            # neither the beginnings of a stem taken nor what goes on from it
+            if word in begun or any(word[:n] in taken for n in range(1, len(word) + 1)):
+                continue
+            now = -lacking(best)
+            if now != was:
+                heapq.heappush(heap, (now, at, best))
+                continue
             ids, toxic, clean = left[best]
             weights[best] = math.log((toxic + 0.5) / n[True]) - math.log((clean + 0.5) / max(n.get(False, 0), 1))
             for i in ids:
                 covered[i] += 1
-            # neither the beginnings of a stem taken nor what goes on from it
-            word = best.rstrip("*")
-            left = {s: x for s, x in left.items()
-                    if not word.startswith(s.rstrip("*")) and not s.rstrip("*").startswith(word)}
+            taken.add(word)
+            begun.update(word[:k] for k in range(1, len(word) + 1))
     return weights
 
 

@@ -265,6 +265,15 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.scored(docs.limit(0), labels).count() == 0
 
 
+def test_rare_stems_stay_beside_many_frequent_ones(spark):
+    many = " ".join(f"{i:04}".translate(str.maketrans("0123456789", "abcdefghij")) + "xyz" for i in range(1000))
+    rows = [(i, many, 1) for i in range(10)] + [(i, "seldom", 1) for i in range(10, 15)] + [(i, "fine", 0) for i in range(20, 60)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert any("seldom".startswith(s.rstrip("*")) for s in toxicity.learned(train))
+    with pytest.raises(ValueError, match="stems"):
+        toxicity.learned(train, most=2000)
+
+
 # token counts
 
 def slow_totals(rows, enc):
