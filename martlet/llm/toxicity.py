@@ -17,7 +17,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import arrow, collected, stored
 
@@ -91,13 +91,25 @@ class Grammar:
 
 def sampled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """At most ``rows`` labelled documents to learn from: those whose
-    crc32(doc_id as text) isn't divisible by 5, by the hash of the id."""
+    crc32(doc_id as text) isn't divisible by 5, by the hash of the id. Equal
+    texts of one id count once; if ids with several texts make more than
+    ``rows`` in all, each id's first text goes before any second."""
     ids = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = (ids.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     mine = F.broadcast(ids.select(F.col("doc_id").alias("label_id"), "toxic"))  # of ``rows`` rows at most
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return stored(own.join(mine, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic"), "labelled")
+    found = stored(own.join(mine, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic").distinct(),
+                   "labelled")
+    if found.count() <= rows:
+        return found
+    key = F.xxhash64("text")
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("key"))
+    first = (found.select("doc_id", key.alias("key")).withColumn("nth", nth).filter(F.col("nth") <= rows)
+             .orderBy("nth", F.xxhash64("doc_id"), "doc_id").limit(rows)
+             .select(F.col("doc_id").alias("label_id"), "key"))
+    return stored(found.join(F.broadcast(first), (F.col("doc_id") == F.col("label_id")) & (key == F.col("key")),
+                             "left_semi"), "labelled-first")
 
 
 def learned(train: DataFrame, least: int = 5, share: float = 0.98, depth: int = 3,

@@ -265,6 +265,18 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.scored(docs.limit(0), labels).count() == 0
 
 
+def test_repeated_labelled_ids(spark):
+    rows = [(i, f"plain words number {i} and {'fool' if i % 3 == 0 else 'friend'} here") for i in range(90)]
+    rows += [(i, f"plain fool {n % 150} here") for i in (3, 6, 9, 12) for n in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+    train = toxicity.sampled(docs, labels, 100).collect()
+    assert len(train) == len({(r.doc_id, r.text) for r in train}) == 100
+    assert {r.doc_id for r in train} == {i for i in range(90) if zlib.crc32(str(i).encode()) % 5}
+    got = toxicity.scored(docs, labels, rows=100).collect()
+    assert len(got) == len(rows) and all(r.predicted == (r.doc_id % 3 == 0) for r in got)
+
+
 def test_rare_stems_stay_beside_many_frequent_ones(spark):
     many = " ".join(f"{i:04}".translate(str.maketrans("0123456789", "abcdefghij")) + "xyz" for i in range(1000))
     rows = [(i, many, 1) for i in range(10)] + [(i, "seldom", 1) for i in range(10, 15)] + [(i, "fine", 0) for i in range(20, 60)]
