@@ -29,11 +29,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates the document with the smallest
-    doc_id; of rows that share that id, one. A row without an id stays if nothing
+    doc_id; of its rows that share that id, one. A row without an id stays if nothing
     with an id is linked to it; of such rows with equal fingerprints, one."""
     found = simhash.near_duplicates(docs.select("doc_id", "text", _text_key().alias("text_key")),
-                                    shingle=4, max_bits=4, also=("text_key",))
-    group = F.when(F.col("doc_id").isNull(), F.col("fingerprint"))
+                                    shingle=4, max_bits=4, also=("text_key",), root=True)
+    # one id may be the smallest of several components
+    group = F.when(F.col("doc_id").isNull(), F.col("fingerprint")).otherwise(F.col("root").cast("string"))
     chosen = (found.filter(F.col("component_id").eqNullSafe(F.col("doc_id")))
               .groupBy("doc_id", group.alias("g")).agg(F.min("text_key").alias("chosen_key"))
               .select(F.col("doc_id").alias("chosen_id"), "chosen_key"))

@@ -184,11 +184,12 @@ def links(prints: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42,
-                    block: int = BLOCK, also: tuple[str, ...] = ()) -> DataFrame:
+                    block: int = BLOCK, also: tuple[str, ...] = (), root: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, the columns ``also``
     (longs), fingerprint (16 lower-case hex digits) and component_id, the
     smallest doc_id reachable over links of at most ``max_bits`` differing bits,
-    its own included.
+    its own included; with ``root`` also root, a fingerprint (as a long) that
+    names the component even where another one has the same smallest id.
 
     Texts without words and null texts have fingerprint zero and are linked like
     any other. Equal fingerprints are one node, so copies cost one row however
@@ -201,6 +202,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed:
     rooted = (nodes.join(roots, nodes["fingerprint"] == roots["node"], "left")
               .select("fingerprint", "least", F.coalesce("component", "fingerprint").alias("root")))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = rooted.join(ids, "root").select(F.col("fingerprint").alias("fp"), "component_id")
+    more = ["root"] if root else []
+    member = rooted.join(ids, "root").select(F.col("fingerprint").alias("fp"), "component_id", *more)
     return (prints.join(member, prints["fingerprint"] == member["fp"])
-            .select("doc_id", *also, F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"))
+            .select("doc_id", *also, F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+                    "component_id", *more))

@@ -102,3 +102,11 @@ def test_stages_are_those_of_the_contract():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "SimHash near-dedup", "benchmark decontamination", "secret scans", "best-fit packing"]
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_components_with_one_smallest_id(spark, tmp_dir):
+    a, b = (" ".join(f"{x}{j}" for j in range(80)) for x in "ab")
+    rows = [(1, a), (1, b), (1, b), (2, a), (3, b)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t), "x") for d, t in rows], SCHEMA)
+    left = corpus_pipeline.simhash_near_dedup(spark, docs, tmp_dir).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(1, a), (1, b)]
