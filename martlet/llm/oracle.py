@@ -132,3 +132,19 @@ SELECT page_id, judged.host, path, rule,
        coalesce(verdict, CASE WHEN distrust > {margin}::DOUBLE * trust THEN 'block' ELSE 'allow' END) AS verdict,
        coalesce(trust, 0.0::DOUBLE) AS trust, coalesce(distrust, 0.0::DOUBLE) AS distrust
 FROM judged LEFT JOIN known ON judged.host = known.host"""
+
+
+def chat(control: str) -> str:
+    """The chat query: turns in order, and the length of their text form."""
+    return rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-1, 0, 'user', '{control}'), (-1, 1, 'assistant', '{control}')),
+f AS (SELECT *, 12 + length(replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '|', '%7C')) + 1
+                + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 11 AS n FROM t),
+c AS (SELECT conv_id, count(*) AS n_turns,
+             sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+             coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+             sum(n) AS n FROM f GROUP BY conv_id)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(n_turns AS BIGINT) AS n_turns, turns_sha256,
+       CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(n AS BIGINT) AS formatted_chars
+FROM c"""

@@ -3,13 +3,14 @@ its whole table. ``ORACLE`` has the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlet.sources.readers import read_table
 
-from . import (decontam, oracle, packing, quality, secrets, simhash, substrings, token_counts,
+from . import (chat, decontam, oracle, packing, quality, secrets, simhash, substrings, token_counts,
                token_store, toxicity, urls)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +93,16 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(documents(spark, sf_dir), read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+
+
+# The conversation that the chat query adds; its texts hold control strings.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+@query(oracle.chat(CONTROL))
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by turn, and conversation -1 as a list of messages."""
+    rows = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    record = json.dumps({"messages": [{"role": r, "content": CONTROL} for r in ("user", "assistant")]})
+    added = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.lit(record).alias("json"))
+    return chat.chat_digests(chat.row_records(rows).unionByName(chat.json_records(added)))
