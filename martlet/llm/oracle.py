@@ -148,3 +148,30 @@ c AS (SELECT conv_id, count(*) AS n_turns,
 SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(n_turns AS BIGINT) AS n_turns, turns_sha256,
        CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(n AS BIGINT) AS formatted_chars
 FROM c"""
+
+
+# crc32 by its table; near words share a form with one code point deleted or left open
+SPELLING = rf"""
+WITH RECURSIVE crc AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END,
+                                               CAST(b AS BIGINT)) ORDER BY b) AS t FROM range(256) r(b)),
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[a-z\u00C0-\u00FF]+')) AS run
+      FROM documents),
+d AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY doc_id, run),
+x AS (SELECT run, n, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS bytes FROM d),
+h AS (SELECT run, n, xor(4294967295, list_reduce(
+        [CAST('0x' || substr(bytes, 2 * k - 1, 2) AS BIGINT) FOR k IN range(1, length(bytes) // 2 + 1)],
+        lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295)) AS h FROM x, crc),
+m AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM m GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+gap AS MATERIALIZED (SELECT DISTINCT word, n, substr(word, 1, i - 1) || mark || substr(word, i + 1) AS k, mark
+                     FROM v, unnest(range(1, length(word) + 1)) u(i), (VALUES (''), ('*')) o(mark)),
+near AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM gap a JOIN gap b ON a.k = b.k AND a.word <> b.word AND a.mark = '*' AND b.mark = '*'
+         UNION SELECT a.word, a.n, b.word, b.n FROM v a JOIN gap b ON a.word = b.k AND b.mark = ''
+         UNION SELECT b.word, b.n, a.word, a.n FROM v a JOIN gap b ON a.word = b.k AND b.mark = ''),
+best AS (SELECT word, count(*) AS n_near, max(n) AS n, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n
+         FROM near GROUP BY word),
+f AS MATERIALIZED (SELECT word, form, form_n FROM best WHERE form_n >= 2 * n),
+chain AS (SELECT word, word AS root FROM v UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON chain.root = f.word)
+SELECT v.word, f.form, chain.root, v.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM v LEFT JOIN best ON v.word = best.word LEFT JOIN f ON v.word = f.word
+       JOIN chain ON v.word = chain.word LEFT JOIN f more ON chain.root = more.word WHERE more.word IS NULL"""

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlet.sources.readers import read_table
 
-from . import (chat, decontam, oracle, packing, quality, secrets, simhash, substrings, token_counts,
-               token_store, toxicity, urls)
+from . import (alignment, chat, decontam, oracle, packing, quality, secrets, simhash, spelling, substrings,
+               token_counts, token_store, toxicity, urls)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -106,3 +106,13 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = json.dumps({"messages": [{"role": r, "content": CONTROL} for r in ("user", "assistant")]})
     added = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.lit(record).alias("json"))
     return chat.chat_digests(chat.row_records(rows).unionByName(chat.json_records(added)))
+
+
+@query()
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(documents(spark, sf_dir), vocabulary(), vocabulary("piece_bpe_32k.model"))
+
+
+@query(oracle.SPELLING)
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
