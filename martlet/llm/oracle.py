@@ -154,7 +154,7 @@ FROM c"""
 SPELLING = rf"""
 WITH RECURSIVE crc AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END,
                                                CAST(b AS BIGINT)) ORDER BY b) AS t FROM range(256) r(b)),
-r AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[a-z\u00C0-\u00FF]+')) AS run
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run
       FROM documents),
 d AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY doc_id, run),
 x AS (SELECT run, n, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS bytes FROM d),
