@@ -9,7 +9,7 @@ from martlet.functions.casts import (  # noqa: F401
 )
 from martlet.functions.nested import (  # noqa: F401
     map_value, array_first, array_nth, json_text,
-    map_from_json,
+    map_from_json, canonical, nested_fingerprint,
 )
 from martlet.functions.bands import band, DURATION_BANDS  # noqa: F401
 from martlet.functions.names import normalize_name, normalize_column_names  # noqa: F401

@@ -48,7 +48,7 @@ def audit_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
             r.get("load_start_time") or now, r.get("load_end_time") or now,
             int(r.get("records_count") or 0), int(r.get("rejected_count") or 0),
             r.get("source") or "UNKNOWN", r.get("endpoint"), r.get("output_file"),
-            r.get("status") or "SUCCESS", r.get("error_message"), r.get("created_at") or now))
+            r.get("status") or "SUCCESS", r.get("error_message"), r.get("created_at") or now, r.get("step_id")))
     return with_duration_seconds(spark.createDataFrame(full, AUDIT))
 
 

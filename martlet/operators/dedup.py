@@ -46,14 +46,40 @@ def top_k_per_key(df: DataFrame, keys: Iterable[str], order: OrderSpec, k: int,
     """At most ``k`` rows per key, first by ``order``.
 
     ``order`` should end with a unique column so the choice is deterministic.
+    A ``k`` over ``spark.sql.optimizer.windowGroupLimitThreshold``, which Spark doesn't
+    cut before the shuffle, goes through :func:`large_top_k_per_key`.
     """
     keys = list(keys)
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k > limit:
+        return large_top_k_per_key(df, keys, order, k, rank_col=rank_col)
     w = Window.partitionBy(*keys).orderBy(*sort_spec(order))
     rn = rank_col or "_rn"
     out = df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= k)
     return out if rank_col else out.drop(rn)
 
 
+def large_top_k_per_key(df: DataFrame, keys: Iterable[str], order: OrderSpec, k: int, parts: int = 64,
+                        rank_col: str | None = None) -> DataFrame:
+    """At most ``k`` rows per key for a large ``k``, in two stages.
+
+    The rows of a key are dealt into ``parts`` sub-keys by the input partition that they
+    come from, so equal rows are dealt apart, too, and each sub-key keeps its first k; the
+    survivors, at most parts * k a key, are ranked once more. So a key with a third of
+    all rows is sorted in ``parts`` tasks and then in one of a bounded size. The rows are
+    the same for any dealing.
+    """
+    keys = list(keys)
+    by = sort_spec(order)
+    # which input partition a row is in must be taken before the first shuffle
+    dealt = df.withColumn("_part", F.spark_partition_id() % parts)
+    first = dealt.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*by))).filter(
+        F.col("_rn") <= k).drop("_part", "_rn")
+    rn = rank_col or "_rn"
+    out = first.withColumn(rn, F.row_number().over(Window.partitionBy(*keys).orderBy(*by))).filter(F.col(rn) <= k)
+    return out if rank_col else out.drop(rn)
+
+
 def keep_first(df: DataFrame, keys: Iterable[str], order: OrderSpec) -> DataFrame:
     """One row per key: the first by ``order``.
 

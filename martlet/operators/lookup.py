@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martlet.functions.text import _c
 from martlet.operators.dedup import keep_first, top_k_per_key
+from martlet.operators.signatures import gram_candidates
 from martlet.session import checkpoint_dir
 
 
@@ -54,21 +55,14 @@ def _segment(length: Column, i, d: int) -> tuple[Column, Column]:
     return start, seg_len
 
 
-def _around(s: Column, start: Column, length: Column) -> Column:
-    """A string without one of its segments, a mark in the segment's place."""
-    return F.concat(F.substr(s, F.lit(1), start), F.lit("\u0000"), F.substr(s, start + length + 1))
-
-
 def segment_keys(c, max_distance: int) -> Column:
-    """Index side of the segment filter: (len, i, segment) for i = 0..d, and
-    ``rest``, what the string has on either side of the segment."""
+    """Index side of the segment filter: (len, i, segment) for i = 0..d."""
     s, d = _c(c), max_distance
     n = F.length(s)
 
     def key(i: Column) -> Column:
         st, ln = _segment(n, i, d)
-        return F.struct(n.alias("l"), i.alias("i"), F.substr(s, st + 1, ln).alias("seg"),
-                        _around(s, st, ln).alias("rest"))
+        return F.struct(n.alias("l"), i.alias("i"), F.substr(s, st + 1, ln).alias("seg"))
 
     return F.transform(F.sequence(F.lit(0), F.lit(d)), key)
 
@@ -102,8 +96,7 @@ def segment_probes(c, max_distance: int) -> Column:
                 start = st + delta
                 ok = (ln_ >= 0) & (start >= 0) & (start + sl <= n)
                 return F.when(ok, F.struct(ln_.alias("l"), i.alias("i"),
-                                           F.substr(s, start + 1, sl).alias("seg"),
-                                           _around(s, start, sl).alias("rest")))
+                                           F.substr(s, start + 1, sl).alias("seg")))
 
             return F.transform(shifts, probe)
 
@@ -120,27 +113,28 @@ def segment_candidates(titles: DataFrame, catalogue: DataFrame, max_distance: in
     segment, or variant of the rest, that it shares.
 
     Catalogue blocks (names with one segment in one place) are counted first.
-    A title meets at most ``block`` names in a block of that size or less. In a
-    larger one, where names share a prefix, say, what surrounds the segment
-    decides as well: two strings that agree on a segment are within d edits only
-    if the rests are, and those share a deletion variant. So a title meets only
-    names with an equal variant of the rest, and the result stays complete."""
+    A title meets at most ``block`` names in a block of that size or less. The titles
+    and names of larger ones, where names share a prefix, say, meet by their rarest
+    q-grams instead (:func:`gram_candidates`), which finds all pairs by itself: some
+    thirty rows a title whatever its length. So the result stays complete."""
     names = catalogue.select("_ck", "match_id", "match_name", F.explode(
         segment_keys("_ck", max_distance)).alias("_s")).select("_ck", "match_id", "match_name", "_s.*")
     probes = titles.select("title", "_k", F.explode(
         segment_probes("_k", max_distance)).alias("_s")).select("title", "_k", "_s.*")
-    key = ["l", "i", "seg"]
+    key, out = ["l", "i", "seg"], ["title", "_k", "_ck", "match_id", "match_name"]
     large = (names.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-             .filter(F.col("_n") > block).select(*key, F.lit(True).alias("_large")))
-
-    def keyed(df: DataFrame) -> DataFrame:
-        marked = df.join(large, key, "left")
-        variants = F.when(F.col("_large"), deletion_variants("rest", max_distance)).otherwise(
-            F.array(F.lit("")))
-        return marked.select(*[c for c in df.columns if c != "rest"], F.explode(variants).alias("_v"))
-
-    return (keyed(probes).join(keyed(names).hint("merge"), key + ["_v"])
-            .select("title", "_k", "_ck", "match_id", "match_name"))
+             .filter(F.col("_n") > block).select(*key)).checkpoint(eager=True)
+    if large.isEmpty():
+        return probes.join(names.hint("merge"), key).select(*out)
+    found = probes.join(large, key, "left_anti").join(names.join(large, key, "left_anti").hint("merge"), key).select(*out)
+    t = (probes.join(large, key, "left_semi").select("title", "_k").distinct()
+         .withColumn("tid", F.xxhash64("_k"))).checkpoint(eager=True)
+    c = (names.join(large, key, "left_semi").select("_ck", "match_id", "match_name").distinct()
+         .withColumn("nid", F.xxhash64("_ck"))).checkpoint(eager=True)
+    # a number that two strings share adds pairs, and loses none
+    pairs = gram_candidates(t.select("tid", F.col("_k").alias("s")).distinct(),
+                            c.select("nid", F.col("_ck").alias("s")).distinct(), max_distance, block)
+    return found.unionByName(pairs.join(t, "tid").join(c, "nid").select(*out))
 
 
 def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
@@ -163,7 +157,8 @@ def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
     ``blocking`` picks how fuzzy candidates are found; both are exact for
     distance <= d. ``"segments"`` joins the d+1 segments of each catalogue
     name with a bounded number of probes per title (at most 19 for d = 2,
-    whatever the length), see :func:`segment_candidates`. ``"deletions"``
+    whatever the length) and, where names share segments, their rarest grams;
+    see :func:`segment_candidates`. ``"deletions"``
     joins deletion variants: very few false candidates, but the rows per
     string grow with the d-th power of its length, so it suits short names.
     Both exploded sides are joined by sort and merge, with skew splitting: the
@@ -195,6 +190,7 @@ def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
                          F.explode(deletion_variants("_ck", max_distance)).alias("_v"))
         cand = tv.join(cv.hint("merge"), "_v")
     elif blocking == "segments":
+        checkpoint_dir(titles.sparkSession)
         cand = segment_candidates(rest, best, max_distance, block)
     else:
         raise ValueError(f"unknown blocking {blocking!r}")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from martlet.functions.bands import band, DURATION_BANDS, DURATION_ELSE
 from martlet.functions.casts import iso_to_timestamp
 from martlet.operators.dedup import keep_first
+from martlet.operators.quantiles import exact_quantiles, with_exact_quantiles
 
 
 def live_rows(flag: str = "dw_deleted", missing_is_live: bool = False) -> Column:
@@ -194,16 +195,16 @@ def count_per_category(children: DataFrame, parents: DataFrame | None = None,
 def mode_comparison(df: DataFrame, modes: list[str], ids: list[str] | None = None,
                     mode_col: str = "mode", value_col: str = "hours") -> DataFrame:
     """Compare measures side by side (A13): unpivot, then per mode count,
-    exact mean, median (``percentile_disc(0.5)``: a value of the data, its
-    buffer is a count per distinct value, not the rows), min, max."""
+    exact mean, median (``percentile_disc(0.5)``: a value of the data), min, max. The
+    median comes from refined histograms (:func:`exact_quantiles`), so no task holds a
+    mode's distinct values."""
     long = df.unpivot(ids or [], modes, mode_col, value_col)
-    return long.groupBy(mode_col).agg(
-        F.count(value_col).alias("n_values"),
-        exact_avg(value_col).alias("avg_value"),
-        # a data value, so casting back to the column's type is exact
-        F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value_col}`)")
-        .cast(long.schema[value_col].dataType).alias("median_value"),
+    medians = exact_quantiles(long.select(mode_col, value_col), mode_col, value_col)
+    known = long.groupBy(mode_col).agg(
+        F.count(value_col).alias("n_values"), exact_avg(value_col).alias("avg_value"),
         F.min(value_col).alias("min_value"), F.max(value_col).alias("max_value"))
+    return with_exact_quantiles(known, mode_col, medians, "median_value", long.schema[value_col].dataType).select(
+        mode_col, "n_values", "avg_value", "median_value", "min_value", "max_value")
 
 
 def stat_leaders(df: DataFrame, id_col: str, stats: list[str] | None = None,

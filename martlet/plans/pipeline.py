@@ -24,10 +24,13 @@ from martlet.operators.audit import audit_frame, observe_count
 from martlet.operators.dedup import distinct_values
 from martlet.operators.lookup import first_match_lookup, unmatched_titles
 from martlet.operators.quality import quality_report
+from martlet.operators.signatures import similar_titles
 from martlet.plans.specs import SPECS, clean_source, reject_counts
+from martlet.plans.steplog import StepLog
 from martlet.sinks.writers import (
     append_new_rows, constraint_breaks, export_csv, restamp_lineage, select_target_columns,
 )
+from martlet.sinks.single_file import export_csv_file
 from martlet.sources.readers import conform_to_schema, read_json
 from martlet.sources.schemas import HLTB, LANDING_SCHEMAS
 
@@ -198,38 +201,47 @@ def clean_phase(spark: SparkSession, name: str, raw_dir: str, clean_dir: str,
     return _of_run(spark, out, cleaned.schema, run_id).select(*cleaned.columns), audit
 
 
-def publish(spark: SparkSession, df: DataFrame, name: str, mart_dir: str,
-            run_id: str) -> list[dict]:
-    """Route to mart tables and append only rows whose (key, run) is new
-    (K8, C2, C7). Rows that break NOT NULL or a length go to
-    ``_rejects/{table}`` with the names of the columns, and are counted. A
-    failing target yields an ERROR audit row (T21); an unknown source raises."""
+def publish_table(spark: SparkSession, df: DataFrame, name: str, t: MartTable, mart_dir: str,
+                  run_id: str) -> dict:
+    """Append a source's rows to one mart table, those whose (key, run) is new (K8,
+    C2, C7); rows that break NOT NULL or a length go to ``_rejects/{table}`` with the
+    names of the columns. Returns the counts for the step's audit row."""
+    path = os.path.join(mart_dir, t.table)
+    part = df if t.kind is None else df.filter(F.col("record_type") == t.kind)
+    if t.columns:
+        part = select_target_columns(part, list(t.columns) + list(DW_COLS))
+    # lineage of the load, one rule for every source
+    part = restamp_lineage(part, name, f"load/core_{name.lower()}", run_id)
+    have = set(part.columns)
+    checked = part.withColumn("violated", constraint_breaks(
+        [c for c in t.not_null if c in have], {c: n for c, n in t.max_length.items() if c in have}))
+    bad = checked.filter(F.size("violated") > 0)
+    n_bad = _write_run(bad.drop(RUN_COL), os.path.join(mart_dir, "_rejects", t.table), run_id)
+    good = checked.filter(F.size("violated") == 0).drop("violated")
+    existing = _read(spark, path, part.schema).filter(F.col(RUN_COL) == run_id)
+    n = _append(append_new_rows(good, existing, list(t.keys) + [RUN_COL]), path, run_id)
+    return {"records_count": n, "rejected_count": n_bad}
+
+
+def publish(spark: SparkSession, df: DataFrame, name: str, mart_dir: str, run_id: str,
+            log: StepLog | None = None) -> list[dict]:
+    """Route to mart tables, each a step of its own (see :func:`publish_table`). A
+    failing target yields an ERROR audit row and the others go on (T21); an unknown
+    source raises. With a ``log`` the rows are written there as each step ends."""
     rows = []
     for t in routes_of(name):
-        start = _now()
-        path = os.path.join(mart_dir, t.table)
-        row = {"run_id": run_id, "step": "publish", "source": name.upper(),
-               "endpoint": f"load/core_{name.lower()}", "output_file": path, "load_start_time": start}
+        path, endpoint = os.path.join(mart_dir, t.table), f"load/core_{name.lower()}"
+        row = (log.open("publish", name, endpoint, path) if log else
+               {"run_id": run_id, "step": "publish", "source": name.upper(), "endpoint": endpoint,
+                "output_file": path, "load_start_time": _now()})
         try:
-            part = df if t.kind is None else df.filter(F.col("record_type") == t.kind)
-            if t.columns:
-                part = select_target_columns(part, list(t.columns) + list(DW_COLS))
-            # lineage of the load, one rule for every source
-            part = restamp_lineage(part, name, f"load/core_{name.lower()}", run_id)
-            have = set(part.columns)
-            checked = part.withColumn("violated", constraint_breaks(
-                [c for c in t.not_null if c in have], {c: n for c, n in t.max_length.items() if c in have}))
-            bad = checked.filter(F.size("violated") > 0)
-            rejects = os.path.join(mart_dir, "_rejects", t.table)
-            n_bad = _write_run(bad.drop(RUN_COL), rejects, run_id)
-            good = checked.filter(F.size("violated") == 0).drop("violated")
-            existing = _read(spark, path, part.schema).filter(F.col(RUN_COL) == run_id)
-            n = _append(append_new_rows(good, existing, list(t.keys) + [RUN_COL]), path, run_id)
-            rows.append(row | {"records_count": n, "rejected_count": n_bad, "status": "SUCCESS",
-                               "load_end_time": _now()})
+            done = publish_table(spark, df, name, t, mart_dir, run_id) | {"status": "SUCCESS"}
         except Exception as e:  # noqa: BLE001 - recorded, caller decides
-            rows.append(row | {"records_count": 0, "status": "ERROR", "error_message": str(e),
-                               "load_end_time": _now()})
+            done = {"records_count": 0, "status": "ERROR", "error_message": str(e)}
+        done["load_end_time"] = _now()
+        if log:
+            log.close(row, [done])
+        rows.append(row | done)
     return rows
 
 
@@ -322,10 +334,15 @@ def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
                  run_id: str | None = None, fail_fast: bool = False,
                  durations: DataFrame | None = None, n_titles: int | None = None,
                  quality: bool = False, max_distance: int = 2) -> DataFrame:
-    """Whole batch (G1, G2, G3): for every source land, clean, publish; the
-    audit rows are appended to ``{base_dir}/etl_logs`` and returned. A source
+    """Whole batch (G1, G2, G3): for every source land, clean, publish. A source
     without a route raises before anything is read.
 
+    Every step's audit rows are appended to ``{base_dir}/etl_logs`` when the step
+    ends; they are returned when the run does. A landing or cleaning that fails leaves
+    its ERROR row and ends the run with its error. Steps that an earlier run began and
+    never ended, as its driver was lost, are settled as ERROR rows first (see
+    :class:`StepLog`).
+
     With a ``durations`` catalogue, the game names published by this run (the
     first ``n_titles`` if given) are looked up in it, names within
     ``max_distance`` edits match, and the matches go through the same
@@ -335,43 +352,61 @@ def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
     raw_dir, clean_dir, mart_dir = (os.path.join(base_dir, d) for d in ("raw", "clean", "core"))
     for src in landings:
         routes_of(src.name)
-    audit: list[dict] = []
+    log = StepLog(spark, os.path.join(base_dir, "etl_logs"), run_id, _read)
+    log.settle()
 
     def finish(name: str) -> bool:
-        cleaned, row = clean_phase(spark, name, raw_dir, clean_dir, run_id)
-        pub = publish(spark, cleaned, name, mart_dir, run_id)
-        audit.extend([row, *pub])
+        cleaned: list[DataFrame] = []
+
+        def work() -> list[dict]:
+            df, row = clean_phase(spark, name, raw_dir, clean_dir, run_id)
+            cleaned.append(df)
+            return [row]
+
+        low = name.lower()
+        log.run("clean", name, f"transform/{low}", work, os.path.join(clean_dir, low))
+        pub = publish(spark, cleaned[0], name, mart_dir, run_id, log)
         if quality:
-            audit.extend(quality_audit(spark, name, mart_dir, run_id))
+            log.run("quality", name, f"quality/{low}", lambda: quality_audit(spark, name, mart_dir, run_id))
         return fail_fast and any(r.get("status") == "ERROR" for r in pub)
 
     stop = False
     for src in landings:
-        audit.append(land(spark, src, raw_dir, run_id))
+        low = src.name.lower()
+        log.run("land", src.name, f"parquet/{low}", lambda: [land(spark, src, raw_dir, run_id)],
+                os.path.join(raw_dir, low))
         if finish(src.name):
             stop = True
             break
     if durations is not None and not stop:
-        audit.append(lookup_durations(spark, durations, raw_dir, mart_dir, run_id, n_titles, max_distance))
+        log.run("lookup", "HOWLONGTOBEAT", "hltb_search", lambda: [lookup_durations(
+            spark, durations, raw_dir, mart_dir, run_id, n_titles, max_distance)],
+            os.path.join(raw_dir, "howlongtobeat"))
         finish("howlongtobeat")
-    return append_audit(spark, audit, os.path.join(base_dir, "etl_logs"))
+    return log.frame()
 
 
 def hours_for_titles(games: DataFrame, catalogue: DataFrame, batch_time: str,
                      n_titles: int | None = None, max_distance: int = 2,
-                     name_col: str = "name", id_col: str = "id"
-                     ) -> tuple[DataFrame, DataFrame]:
+                     name_col: str = "name", id_col: str = "id",
+                     similar: tuple[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """Duration records for the distinct game names, or the first ``n_titles``
     of them (S8, S9, J3, J4), replacing one search request per title.
 
     ``catalogue`` is the landed duration source (unique ``id_col``, a name
-    and the hour measures). Each title takes its best match; the record keeps
+    and the hour measures). Each title takes its best match within ``max_distance``
+    edits or, with ``similar`` (a least similarity as a fraction), the one with the
+    most similar words if there is none (:func:`similar_titles`); the record keeps
     the *title* as ``game_name``, the match's measures and one batch time
     (S13). Returns (records in the raw duration schema, unmatched titles).
     """
     titles = distinct_values(games.select(F.col("game_name").alias("title")), "title",
                              limit=n_titles)
     matches = first_match_lookup(titles, catalogue, "title", name_col, id_col, max_distance)
+    if similar:
+        matches = matches.drop("distance").checkpoint(eager=True)
+        matches = matches.unionByName(similar_titles(
+            unmatched_titles(titles, matches), catalogue, "title", name_col, id_col, similar).drop("similarity"))
     attrs = catalogue.drop(name_col).withColumnRenamed(id_col, "match_id")
     records = matches.join(attrs, "match_id").select(
         F.lit("hl_tb_time").alias("record_type"), F.col("title").alias("game_name"),
@@ -383,7 +418,12 @@ def hours_for_titles(games: DataFrame, catalogue: DataFrame, batch_time: str,
 
 def export_all(spark: SparkSession, names: list[str], in_dir: str, out_dir: str,
                single_file: bool = False) -> None:
-    """Every named Parquet dataset to a CSV folder of the same name."""
+    """Every named Parquet dataset to a CSV folder of the same name (G4, K2), or with
+    ``single_file`` to one file ``{name}.csv``, which many tasks write."""
     for n in names:
-        export_csv(spark.read.parquet(os.path.join(in_dir, n)), os.path.join(out_dir, n),
-                   single_file=single_file)
+        df = spark.read.parquet(os.path.join(in_dir, n))
+        if single_file:
+            export_csv_file(df, os.path.join(out_dir, f"{n}.csv"),
+                            work=os.path.join(out_dir, "_parts", f"{n}-{uuid.uuid4().hex}"))
+        else:
+            export_csv(df, os.path.join(out_dir, n))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructType
+from pyspark.sql.types import StringType
 
 from martlet.functions import casts, nested, text
 from martlet.functions.names import normalize_column_names
@@ -60,14 +60,6 @@ class SourceSpec:
     kind_col: str = "record_type"
 
 
-def _orderable(dt) -> bool:
-    if isinstance(dt, ArrayType):
-        return _orderable(dt.elementType)
-    if isinstance(dt, StructType):
-        return all(_orderable(f.dataType) for f in dt.fields)
-    return not isinstance(dt, MapType)
-
-
 def _rule_columns(df: DataFrame, r: KindRules) -> dict[str, Column]:
     have = set(df.columns)
     out: dict[str, Column] = {}
@@ -118,8 +110,8 @@ def clean_kind(df: DataFrame, r: KindRules) -> DataFrame:
     """Apply one kind's rules (P3-P18) in plan order: required-field filter,
     value rules, at-least-one filter, keep-first dedup.
 
-    Ties of the dedup order are broken by the columns the kind fills, so rows
-    that differ only in a map (no order) are the one case left to chance. Rows
+    Ties of the dedup order are broken by the columns the kind fills, maps by their
+    entries in key order, so one row stays whatever the partitioning. Rows
     whose key columns are missing raise: they could not be told apart."""
     have = set(df.columns)
     req = [c for c in r.require if c in have]
@@ -138,8 +130,8 @@ def clean_kind(df: DataFrame, r: KindRules) -> DataFrame:
                 f"rows of kind {r.kind!r} without their key columns {absent}")).cast("boolean"))
         order = [o for o in r.order if (o if isinstance(o, str) else o[0]) in df.columns]
         named = {o if isinstance(o, str) else o[0] for o in order}
-        tie = [c for c in df.columns if c not in r.key and c not in named
-               and (not r.own or c in r.own) and _orderable(df.schema[c].dataType)]
+        tie = [nested.canonical(F.col(c), df.schema[c].dataType) for c in df.columns
+               if c not in r.key and c not in named and (not r.own or c in r.own)]
         df = keep_first(df, list(r.key), order + tie)
     drops = [c for c in r.drop if c in df.columns]
     return df.drop(*drops) if drops else df

@@ -8,6 +8,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from martlet.sources.listing import before_the_end
+
 
 def read_parquet(spark: SparkSession, path: str,
                  columns: list[str] | None = None) -> DataFrame:
@@ -41,8 +43,10 @@ def read_pages(spark: SparkSession, path: str, item_schema: StructType,
 
     Each file holds ``{"data": [...], "pagination": {"cursor": ...}}`` (one
     object per file, or one per line with ``multi_line=False``). Items keep
-    page order (page number, then position in the page); ``limit`` keeps the
-    first n items overall, as the collector did. The page number is the field
+    page order (page number, then position in the page) and stop, as the collector
+    did, at the first page without items or the first number missing behind the
+    smallest; ``limit`` keeps the first n items overall. Pages that name cursors
+    instead of numbers are read by :func:`read_cursor_pages`. The page number is the field
     ``page_col`` of the page object, so that many pages can share a file, or
     else is parsed from the file path with ``page_pattern``; a path without a
     number raises.
@@ -55,6 +59,7 @@ def read_pages(spark: SparkSession, path: str, item_schema: StructType,
              .withColumn("_page", F.col(page_col) if page_col else F.coalesce(
                  F.regexp_extract(F.col("_metadata.file_path"), page_pattern, 1).try_cast("long"),
                  F.raise_error(F.concat(F.lit("no page number in "), F.col("_metadata.file_path"))))))
+    pages = before_the_end(pages, [], "_page")
     items = (pages.select("_page", F.posexplode("data").alias("_pos", "_item"))
              .select("_page", "_pos", "_item.*"))
     if limit is not None:

@@ -42,11 +42,12 @@ PROFILES = schema_of(("record_type", S), ("username", S), ("format", S),
                    ("win_ratio", S), ("gxe", S), ("games_played", S), ("levels", S), *_LINEAGE)
 
 # One row per pipeline step (K6/K7/K9). duration_seconds is derived.
-# records_count: rows the step wrote; rejected_count: values or rows it set aside.
+# records_count: rows the step wrote; rejected_count: values or rows it set aside;
+# step_id: the step's opening in the write-ahead record.
 AUDIT = schema_of(("run_id", S), ("step", S), ("load_start_time", TS),
                 ("load_end_time", TS), ("records_count", L), ("rejected_count", L), ("source", S),
                 ("endpoint", S), ("output_file", S), ("status", S),
-                ("error_message", S), ("created_at", TS))
+                ("error_message", S), ("created_at", TS), ("step_id", S))
 
 # Landing name -> raw schema. The twitch landing mixes games
 # and streams, so its schema is the stream schema plus the game-only column.
