@@ -33,7 +33,7 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 
 #: cuts, and characters of them, that a Python worker remembers; then it
 #: starts anew. Affects speed only.
-MEMO, MEMO_CHARS = 200_000, 4_000_000
+MEMO, MEMO_CHARS = 400_000, 6_000_000
 
 SPACE = "▁"  # the piece model's space
 
@@ -65,6 +65,10 @@ def terminals(end_a: np.ndarray, end_b: np.ndarray) -> np.ndarray:
         to = doubled
 
 
+#: ids end to end, and how many each text has
+Flat = tuple[np.ndarray, np.ndarray]
+
+
 class Aligned:
     """Cuts by slot: counts, links end to end, the groups' text."""
 
@@ -98,58 +102,64 @@ class Aligner:
         self.a_size, self.b_size = (np.array([len(x or b"") for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.a_first = np.array([(x or b"").startswith(b" ") for x in self.a_bytes])
         self.b_first = np.array([p.startswith(SPACE) for p in pieces])
+        # ids as text, with each mark that may follow
+        ids = range(max(len(self.a_size), len(self.b_size)))
+        self.comma, self.bar, self.semicolon = (np.array([f"{i}{m}" for i in ids], object) for m in ",|;")
         self.memo = Aligned()
 
-    def _each(self, cuts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of a space and each cut, on both sides."""
-        a = [np.array(e.ids, np.int64) for e in self.a.encode_batch_fast([" " + c for c in cuts], add_special_tokens=False)]
-        return a, [np.array(x, np.int64) for x in self.b.encode(cuts, num_threads=1)]
+    def _each(self, cuts: list[str]) -> tuple[list[Flat], np.ndarray]:
+        """Ids of a space and each cut on both sides, and whether both give its bytes."""
+        sides, same = [], np.ones(len(cuts), bool)
+        for ids, table in (([e.ids for e in self.a.encode_batch_fast([" " + c for c in cuts], add_special_tokens=False)],
+                            self.a_bytes), (self.b.encode(cuts, num_threads=1), self.b_bytes)):
+            same &= [b"".join([table[i] or b"" for i in x]) == (" " + c).encode() for c, x in zip(cuts, ids)]
+            sides.append((np.array([i for x in ids for i in x], np.int64), np.array([len(x) for x in ids], np.int64)))
+        return sides, same
 
-    def _joined(self, cuts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    def _joined(self, cuts: list[str]) -> tuple[list[Flat], np.ndarray]:
         """The same for cuts without a space in them and white space at their ends,
         encoded in one text: the first token of each begins with its space."""
         text = " ".join(cuts)
-        out = []
-        for ids, first in ((self.a.encode(" " + text, add_special_tokens=False).ids, self.a_first),
-                           (self.b.encode(text), self.b_first)):
-            ids = np.array(ids, np.int64)
-            begin = np.flatnonzero(first[ids])
-            if len(begin) != len(cuts):
+        whole, sides = (" " + text).encode(), []
+        for ids, first, table in ((self.a.encode(" " + text, add_special_tokens=False).ids, self.a_first, self.a_bytes),
+                                  (self.b.encode(text), self.b_first, self.b_bytes)):
+            flat = np.array(ids, np.int64)
+            begin = np.flatnonzero(first[flat])
+            # where all bytes are as they were, and only cuts begin with a space, each cut's are
+            if len(begin) != len(cuts) or b"".join([table[i] or b"" for i in ids]) != whole:
                 return self._each(cuts)
-            out.append(np.split(ids, begin[1:]))
-        return out[0], out[1]
+            sides.append((flat, np.diff(np.append(begin, len(flat)))))
+        return sides, np.ones(len(cuts), bool)
 
     def _learn(self, cuts: list[str]) -> None:
         odd = [c for c in cuts if c != c.strip() or " " in c or SPACE in c or not c]
         known = set(odd)
         plain = [c for c in cuts if c not in known]
-        a, b = self._each(odd) if odd else ([], [])
-        for i in range(0, len(plain), 2000):
-            x, y = self._joined(plain[i:i + 2000])
-            a += x
-            b += y
+        found = [self._each(odd)] if odd else []
+        found += [self._joined(plain[i:i + 2000]) for i in range(0, len(plain), 2000)]
         cuts = odd + plain
-        same = np.array([b"".join(self.a_bytes[i] or b"\0" for i in x) == b"".join(self.b_bytes[i] for i in y)
-                         == (" " + c).encode() for c, x, y in zip(cuts, a, b)])
-        counts, links, n_links, texts = self.align([x for x, s in zip(a, same) if s], [y for y, s in zip(b, same) if s])
+        same = np.concatenate([x[1] for x in found])
+        a, b = (tuple(np.concatenate([x[0][side][k] for x in found]) for k in (0, 1)) for side in (0, 1))
+        if not same.all():
+            a, b = ((flat[np.repeat(same, n)], n[same]) for flat, n in (a, b))
+        counts, links, texts = self.align(a, b)
         m, at = self.memo, len(self.memo.text)
         rows = np.zeros((len(cuts), 5), np.int64)
         rows[same, :4], rows[~same, 4] = counts, 1
         m.counts = np.concatenate([m.counts, rows])
         m.links = np.concatenate([m.links, links])
         m.start = np.concatenate([m.start, m.start[-1] + np.cumsum(rows[:, 3])])
-        found = iter(texts)
-        m.text += [next(found) if s else "" for s in same]
+        kept = iter(texts)
+        m.text += [next(kept) if x else "" for x in same.tolist()]
         m.slot.update(zip(cuts, range(at, at + len(cuts))))
         m.chars += sum(map(len, cuts))
 
-    def align(self, a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    def align(self, a: Flat, b: Flat) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Per cut: A and B tokens, groups, links; all links, end to end, as
-        A id * size of B's vocabulary + B id; per cut its links and its groups' text."""
-        if not a:
-            return np.zeros((0, 4), np.int64), np.empty(0, np.int64), np.empty(0, np.int64), []
-        n_a, n_b = (np.array([len(x) for x in t], np.int64) for t in (a, b))
-        a, b = np.concatenate(a), np.concatenate(b)
+        A id * size of B's vocabulary + B id; per cut its groups' text."""
+        (a, n_a), (b, n_b) = a, b
+        if not len(a):
+            return np.zeros((0, 4), np.int64), np.empty(0, np.int64), []
         end_a, end_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         last = end_a[np.cumsum(n_a) - 1]                         # where cuts end
         to = terminals(end_a, end_b)
@@ -163,14 +173,13 @@ class Aligner:
         n_links = np.diff(np.searchsorted(ends, last, "right"), prepend=0)
         # A tokens of a group stand before its B tokens
         parts = np.empty(len(a) + len(b), object)
-        mark_a = np.where(np.append(of_a[1:] != of_a[:-1], True), "|", ",")
-        mark_b = np.where(is_last, ";", ",")
-        parts[np.arange(len(a)) + np.searchsorted(of_b, of_a)] = [f"{i}{m}" for i, m in zip(a.tolist(), mark_a.tolist())]
-        parts[np.arange(len(b)) + np.searchsorted(of_a, of_b, "right")] = [
-            f"{i}{m}" for i, m in zip(b.tolist(), mark_b.tolist())]
+        last_a = np.append(of_a[1:] != of_a[:-1], True)
+        parts[np.arange(len(a)) + np.searchsorted(of_b, of_a)] = np.where(last_a, self.bar[a], self.comma[a])
+        parts[np.arange(len(b)) + np.searchsorted(of_a, of_b, "right")] = np.where(is_last, self.semicolon[b], self.comma[b])
+        parts = parts.tolist()
         edge = np.cumsum(n_a + n_b).tolist()
         texts = ["".join(parts[s:e])[:-1] for s, e in zip([0, *edge[:-1]], edge)]
-        return np.column_stack([n_a, n_b, n_groups, n_links]), links, n_links, texts
+        return np.column_stack([n_a, n_b, n_groups, n_links]), links, texts
 
     def _slots(self, cuts: pa.Array) -> np.ndarray:
         """Memo slots of cuts; those it lacks are aligned first."""
