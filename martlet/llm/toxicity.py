@@ -1,11 +1,16 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Five small transducers read the words of a clause: insults (stems with weights
-learned from labels), threats, targets, negation and reported speech. Composed,
-they are one machine whose state holds what has been read: a negation up to
-three words back, a verb of reporting, a target. An insult or threat writes its
-weight to the track of that state, so a clause is scored by how it says a word
-and not by the word alone. A logistic model over the tracks gives the score.
+Words become classes: insult (stems whose weights are learned from labels), threat, target,
+negation, report, other. Four transducers read the classes of a clause and mark what they
+find: one from right to left marks insults and threats with a target behind them; from left
+to right, one those within reach of a negation, one those behind a verb of reporting,
+one those with a target before them. The last weighs an insult or threat by its
+marks. The left-to-right ones are composed to one machine, once; a clause's score is the sum over
+its path of arc weight times word weight, so it is scored by how a word is said.
+
+Arc weights are products of one factor per mark, fitted to all clauses of the labelled
+documents within bounds: a target never lowers a word, a negation or a report never raises
+one, whatever the sample holds. A document's score rises with the sum of its clauses.
 """
 
 from __future__ import annotations
@@ -14,6 +19,8 @@ import heapq
 import math
 import re
 from collections import defaultdict
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +29,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import arrow, collected, stored
 
 # Function words of the grammar, in English, German, French and Spanish.
-NEGATION = frozenset("not never no don't isn't aren't nicht kein keine nie pas jamais nunca".split())
+NEGATION = frozenset("not never no nobody none nor neither cannot can't don't doesn't didn't isn't aren't wasn't won't "
+                     "nicht kein keine keiner niemand nie pas jamais personne nunca nadie".split())
 REPORTING = frozenset("said says wrote claimed quoted called sagte schrieb nannte dit écrit dijo escribió".split())
 TARGET = frozenset("you your you're he she they them du dich ihr euch tu vous toi tú vosotros usted".split())
 THREAT = frozenset("kill hurt destroy murder stab shoot töten umbringen tuer frapper matar".split())
@@ -33,7 +41,15 @@ CLAUSE = re.compile(r"[.!?;:,\n]+")
 #: lengths of the stems that a word offers, beside the whole word
 STEMS = (4, 5, 6)
 
-TRACKS = ("plain", "targeted", "negated", "reported", "threat", "clauses")
+#: words that a negation reaches forward over
+REACH = 5
+
+#: the weight of a threat, beside the learned weights of insults
+THREAT_WEIGHT = 6.0
+
+INSULT, THREATENING, OTHERS = "insult", "threat", ("target", "negation", "report", "other")
+#: marks: a target in the clause, a negation before it, a report before it
+MARKS = ("negated", "reported", "targeted")
 
 
 def stems(word: str) -> set[str]:
@@ -41,51 +57,164 @@ def stems(word: str) -> set[str]:
     return {word} | {word[:n] + "*" for n in STEMS if len(word) >= n}
 
 
+@dataclass(frozen=True)
+class Symbol:
+    """What a machine reads or writes: a class of words, with the marks so far."""
+    kind: str
+    marks: frozenset[str] = frozenset()
+
+    def with_mark(self, mark: str) -> Symbol:
+        return Symbol(self.kind, self.marks | {mark}) if self.kind in (INSULT, THREATENING) else self
+
+
+def alphabet(marks: Iterable[str]) -> list[Symbol]:
+    """All classes, insults and threats with any of the marks."""
+    sets = [frozenset()]
+    for m in marks:
+        sets += [x | {m} for x in sets]
+    return [Symbol(k) for k in OTHERS] + [Symbol(k, x) for k in (INSULT, THREATENING) for x in sets]
+
+
+@dataclass
+class Transducer:
+    """A deterministic weighted transducer: ``arcs`` has, for a state and a symbol read,
+    the next state, the symbol written and a weight. All states are final."""
+    start: object
+    arcs: dict[tuple[object, Symbol], tuple[object, Symbol, float]]
+
+    def run(self, symbols: Iterable[Symbol]) -> list[tuple[Symbol, float]]:
+        state, out = self.start, []
+        for x in symbols:
+            state, y, w = self.arcs[state, x]
+            out.append((y, w))
+        return out
+
+
+def composed(first: Transducer, second: Transducer) -> Transducer:
+    """The machine that writes what ``second`` writes on reading what ``first`` writes;
+    weights multiply. It has the states that can be reached."""
+    start = (first.start, second.start)
+    by_state = defaultdict(list)
+    for (state, x), arc in first.arcs.items():
+        by_state[state].append((x, arc))
+    arcs, todo, seen = {}, [start], {start}
+    while todo:
+        a, b = state = todo.pop()
+        for x, (a2, y, w) in by_state[a]:
+            b2, z, v = second.arcs[b, y]
+            arcs[state, x] = ((a2, b2), z, w * v)
+            if (a2, b2) not in seen:
+                seen.add((a2, b2))
+                todo.append((a2, b2))
+    return Transducer(start, arcs)
+
+
+def behind(kind: str, mark: str, marks: Iterable[str]) -> Transducer:
+    """Marks what comes after a word of class ``kind``, as far as the clause goes."""
+    arcs = {}
+    for x in alphabet(marks):
+        arcs["before", x] = ("behind" if x.kind == kind else "before", x, 1.0)
+        arcs["behind", x] = ("behind", x.with_mark(mark), 1.0)
+    return Transducer("before", arcs)
+
+
+def within_reach(kind: str, mark: str, reach: int, marks: Iterable[str]) -> Transducer:
+    """Marks the ``reach`` words after a word of class ``kind``; the state counts them down."""
+    arcs = {}
+    for x in alphabet(marks):
+        for left in range(reach + 1):
+            arcs[left, x] = (reach if x.kind == kind else max(left - 1, 0), x.with_mark(mark) if left else x, 1.0)
+    return Transducer(0, arcs)
+
+
+def weighing(factors: dict[str, float], marks: Iterable[str]) -> Transducer:
+    """One state: an insult or threat weighs the product of its marks' factors (a
+    threat that has no target ``untargeted``), any other class nothing."""
+    arcs = {}
+    for x in alphabet(marks):
+        weight = 0.0
+        if x.kind == INSULT:
+            weight = math.prod(factors[m] for m in x.marks)
+        elif x.kind == THREATENING:
+            weight = math.prod(factors[m] for m in x.marks - {"targeted"}) * (
+                factors["targeted"] if "targeted" in x.marks else factors["untargeted"])
+        arcs[0, x] = (0, x, weight)
+    return Transducer(0, arcs)
+
+
+#: reads a clause from its end
+TARGET_AHEAD = behind("target", "targeted", ())
+#: reads what that writes, from the clause's begin
+CONTEXT = composed(composed(within_reach("negation", "negated", REACH, ("targeted",)),
+                            behind("report", "reported", ("targeted", "negated"))),
+                   behind("target", "targeted", MARKS))
+
+#: a clause's insults and threats by their marks
+CONTEXTS = [x for x in alphabet(MARKS) if x.kind in (INSULT, THREATENING)]
+
+# The factors before any clause was seen.
+PRIOR = {"targeted": 1.5, "negated": 0.05, "reported": 0.05, "untargeted": 0.1}
+# Where a factor may lie.
+BOUNDS = {"targeted": (1.0, 4.0), "negated": (0.01, 1.0), "reported": (0.01, 1.0), "untargeted": (0.01, 1.0)}
+
+
 class Grammar:
-    """The composed machine over learned ``weights`` by stem."""
+    """The grammar over learned ``weights`` by stem and ``factors`` by mark."""
 
-    def __init__(self, weights: dict[str, float]):
+    def __init__(self, weights: dict[str, float], factors: dict[str, float] | None = None):
         import ahocorasick
 
-        self.weights = weights
+        self.weights, self.factors = weights, factors or dict(PRIOR)
+        self.machine = composed(CONTEXT, weighing(self.factors, MARKS))
+        self.place = {x: k for k, x in enumerate(CONTEXTS)}
         self.find = ahocorasick.Automaton()
         for stem in [*weights, *THREAT]:
             self.find.add_word(stem.rstrip("*"), 1)
         self.find.make_automaton()
 
-    def insult(self, word: str) -> float:
-        return max((self.weights[s] for s in stems(word) if s in self.weights), default=0.0)
-
-    def clause(self, words: list[str], out: np.ndarray) -> None:
-        """Run the machine over one clause and add what it writes to ``out``."""
-        negated, reported, targeted, matched = 0, False, any(w in TARGET for w in words), False
-        for w in words:
-            if w in NEGATION:
-                negated = 4
-            elif w in REPORTING:
-                reported = True
-            weight = self.insult(w)
-            if w in THREAT and targeted and not negated:
-                out[4] += 1.0
-                matched = True
-            if weight:
-                matched = True
-                out[3 if reported else 2 if negated else 1 if targeted else 0] += weight
-            negated = max(0, negated - 1)
-        out[5] += matched
-
-    def tracks(self, text: str | None) -> np.ndarray:
-        """What the machine writes for a whole text, by track. A text in which no
-        pattern occurs isn't cut into clauses: all tracks are zero."""
-        out = np.zeros(len(TRACKS))
+    def read(self, word: str) -> tuple[Symbol, float]:
+        """A word's class and weight."""
+        weight = max((self.weights[s] for s in stems(word) if s in self.weights), default=0.0)
+        if weight > 0:
+            return Symbol(INSULT), weight
+        for kind, words in ((THREATENING, THREAT), ("negation", NEGATION), ("report", REPORTING), ("target", TARGET)):
+            if word in words:
+                return Symbol(kind), THREAT_WEIGHT
+        return Symbol("other"), 0.0
+
+    def path(self, machine: Transducer, words: list[str]) -> list[tuple[Symbol, float, float]]:
+        """What a machine writes for the words of a clause: symbol, arc weight, word weight."""
+        read = [self.read(w) for w in words]
+        ahead = [x for x, _ in TARGET_AHEAD.run([x for x, _ in reversed(read)])][::-1]
+        return [(y, w, own) for (y, w), (_, own) in zip(machine.run(ahead), read)]
+
+    def clauses(self, text: str | None):
+        """The words of each clause in which a pattern may occur."""
         text = (text or "").lower()
-        if len(self.find) and next(self.find.iter(text), None) is not None:
-            at = 0
-            for part in [*CLAUSE.finditer(text), None]:
-                piece = text[at:part.start()] if part else text[at:]
-                at = part.end() if part else at
-                if next(self.find.iter(piece), None) is not None:
-                    self.clause(WORD.findall(piece), out)
+        if not len(self.find) or next(self.find.iter(text), None) is None:
+            return
+        at = 0
+        for part in [*CLAUSE.finditer(text), None]:
+            piece = text[at:part.start()] if part else text[at:]
+            at = part.end() if part else at
+            if next(self.find.iter(piece), None) is not None:
+                yield WORD.findall(piece)
+
+    def clause(self, words: list[str]) -> float:
+        """A clause's score."""
+        return sum(w * own for _, w, own in self.path(self.machine, words))
+
+    def evidence(self, text: str | None) -> float:
+        """A text's score: the sum of its clauses'. Without a pattern it is 0."""
+        return sum(map(self.clause, self.clauses(text)))
+
+    def contexts(self, text: str | None) -> np.ndarray:
+        """Word weights by ``CONTEXTS``, over all clauses: what factors are fitted to."""
+        out = np.zeros(len(CONTEXTS))
+        for words in self.clauses(text):
+            for x, _, own in self.path(CONTEXT, words):
+                if x in self.place:
+                    out[self.place[x]] += own
         return out
 
 
@@ -176,40 +305,55 @@ def learned(train: DataFrame, least: int = 5, share: float = 0.98, depth: int =
     return weights
 
 
-def fitted(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> np.ndarray:
-    """Logistic regression by Newton's method; the last entry is the constant."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    theta = np.zeros(x.shape[1])
-    keep = ridge * np.eye(x.shape[1])
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> tuple[float, float, float]:
+    """Slope (not below 0), constant and loss of a logistic model of one variable, by Newton's method."""
+    x, theta, keep = np.column_stack([x, np.ones(len(x))]), np.zeros(2), ridge * np.eye(2)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + keep, x.T @ (y - p) - keep @ theta)
-        theta = theta + np.clip(step, -2, 2)
+        theta = np.maximum(theta + np.clip(step, -2, 2), [0, -np.inf])
         if np.abs(step).max() < 1e-6:
             break
-    return theta
-
-
-def shape(tracks: np.ndarray) -> np.ndarray:
-    """Tracks as the model takes them: long texts don't outweigh by length."""
-    return np.log1p(tracks)
-
-
-def with_tracks(docs: DataFrame, grammar: Grammar) -> DataFrame:
-    """``docs`` (doc_id, text, and ``toxic`` if it is there) with the tracks as an array in place of the text."""
+    z = np.clip(x @ theta, -30, 30)
+    return theta[0], theta[1], float(np.sum(np.logaddexp(0, z) - y * z) + ridge * theta @ theta / 2)
+
+
+def fitted(contexts: np.ndarray, y: np.ndarray, hold: float = 50.0) -> tuple[dict[str, float], float, float]:
+    """Factors by mark, slope and constant. ``contexts`` has a labelled document per row. One factor
+    after the other moves within its bounds while the loss falls; ``hold`` is how dear it
+    is to move from the prior, in loss by squared log."""
+    def loss(factors: dict[str, float]) -> tuple[float, float, float]:
+        by = weighing(factors, MARKS)
+        a, b, own = logistic(np.log1p(contexts @ np.array([by.arcs[0, x][2] for x in CONTEXTS])), y)
+        return own + hold * sum(math.log(factors[m] / PRIOR[m]) ** 2 for m in PRIOR), a, b
+
+    factors, best = dict(PRIOR), loss(PRIOR)
+    for step in (1.5, 1.2, 1.05):
+        moved = True
+        while moved:
+            moved = False
+            for m in PRIOR:
+                for by in (step, 1 / step):
+                    tried = factors | {m: min(max(factors[m] * by, BOUNDS[m][0]), BOUNDS[m][1])}
+                    found = loss(tried)
+                    if found[0] < best[0] - 1e-9:
+                        factors, best, moved = tried, found, True
+    return factors, best[1], best[2]
+
+
+def with_contexts(docs: DataFrame, grammar: Grammar) -> DataFrame:
+    """``docs`` (doc_id, text, toxic) with the contexts as an array in place of the text."""
     weights = grammar.weights
-    more = [c for c in ("toxic",) if c in docs.columns]
 
     def run(batches):
         machine = Grammar(weights)
         for batch in batches:
-            got = [machine.tracks(t.as_py()).tolist() for t in batch.column("text")]
+            got = [machine.contexts(t.as_py()).tolist() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(got, pa.list_(pa.float64())), *(batch.column(c) for c in more)],
-                names=["doc_id", "tracks", *more])
+                [batch.column("doc_id"), pa.array(got, pa.list_(pa.float64())), batch.column("toxic")],
+                names=["doc_id", "contexts", "toxic"])
 
-    return arrow(docs.select("doc_id", "text", *more), run,
-                 ", ".join(["doc_id long", "tracks array<double>", *("toxic int" for _ in more)]))
+    return arrow(docs.select("doc_id", "text", "toxic"), run, "doc_id long, contexts array<double>, toxic int")
 
 
 def scored(docs: DataFrame, labels: DataFrame, rows: int = 12_000) -> DataFrame:
@@ -225,21 +369,21 @@ def scored(docs: DataFrame, labels: DataFrame, rows: int = 12_000) -> DataFrame:
     """
     train = sampled(docs, labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")), rows)
     grammar = Grammar(learned(train))
-    theta = None
+    model = None
     if grammar.weights:
-        seen = collected(with_tracks(train, grammar).select("tracks", "toxic"), 4 * rows, "labelled rows")
-        theta = fitted(shape(np.array([r.tracks for r in seen])), np.array([float(r.toxic > 0) for r in seen]))
+        seen = collected(with_contexts(train, grammar).select("contexts", "toxic"), 4 * rows, "labelled rows")
+        model = fitted(np.array([r.contexts for r in seen]), np.array([float(r.toxic > 0) for r in seen]))
 
     weights = grammar.weights
 
     def run(batches):
-        machine = Grammar(weights)
+        machine = Grammar(weights, model and model[0])
         for batch in batches:
-            if theta is None:
+            if model is None:
                 score = np.zeros(batch.num_rows)
             else:
-                t = np.array([machine.tracks(x.as_py()) for x in batch.column("text")]).reshape(-1, len(TRACKS))
-                score = 1 / (1 + np.exp(-np.clip(shape(t) @ theta[:-1] + theta[-1], -30, 30)))
+                z = model[1] * np.log1p([machine.evidence(x.as_py()) for x in batch.column("text")]) + model[2]
+                score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
 
     out = arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),

@@ -230,21 +230,95 @@ def test_toxicity_never_reads_held_out_labels(spark):
     assert a == b
 
 
-def test_grammar_states():
+def slow_clause(words, weights, factors):
+    """A clause's score without any machine."""
+    total = 0.0
+    for i, w in enumerate(words):
+        own = max((weights[x] for x in toxicity.stems(w) if x in weights), default=0)
+        insult = own > 0
+
+        def others(words, kind):
+            return any(v in kind and not any(x in weights for x in toxicity.stems(v)) and v not in toxicity.THREAT for v in words)
+        if not insult and w not in toxicity.THREAT:
+            continue
+        targeted = others(words[:i] + words[i + 1:], toxicity.TARGET)
+        f = factors["targeted"] if targeted else 1.0 if insult else factors["untargeted"]
+        f *= factors["negated"] if others(words[max(0, i - toxicity.REACH):i], toxicity.NEGATION) else 1
+        f *= factors["reported"] if others(words[:i], toxicity.REPORTING) else 1
+        total += f * (own if insult else toxicity.THREAT_WEIGHT)
+    return total
+
+
+def test_grammar_equals_brute_force_on_random_clauses():
+    weights, factors = {"fool*": 3.0, "pest": 2.0}, {"targeted": 1.7, "negated": 0.1, "reported": 0.3, "untargeted": 0.2}
+    g, rng = toxicity.Grammar(weights, factors), random.Random(8)
+    words = ["fools", "pest", "kill", "you", "not", "said", "a", "b", "c", "pests", "foolish"]
+    for _ in range(3000):
+        clause = rng.choices(words, k=rng.randrange(12))
+        assert g.clause(clause) == pytest.approx(slow_clause(clause, weights, factors))
+
+
+def test_composition_equals_one_machine_after_the_other():
+    first = toxicity.within_reach("negation", "negated", 2, ())
+    second = toxicity.behind("report", "reported", ("negated",))
+    third = toxicity.weighing(toxicity.PRIOR, ("negated", "reported"))
+    machine, rng = toxicity.composed(toxicity.composed(first, second), third), random.Random(1)
+    for _ in range(500):
+        read = rng.choices(toxicity.alphabet(()), k=9)
+        step = third.run([x for x, _ in second.run([x for x, _ in first.run(read)])])
+        assert machine.run(read) == step
+    # one machine of reachable states, not the three in turn
+    assert len({s for s, _ in machine.arcs}) == 3 * 2
+
+
+def test_clauses_by_how_a_word_is_said():
     g = toxicity.Grammar({"fool*": 3.0, "pest": 2.0})
-
-    def tracks(text):
-        return dict(zip(toxicity.TRACKS, g.tracks(text).tolist()))
-
-    assert tracks("Fools everywhere. A pest") | {"clauses": 0} == dict.fromkeys(toxicity.TRACKS, 0) | {"plain": 5.0}
-    assert tracks("you are a foolish one")["targeted"] == 3.0
-    assert tracks("that is not a fool")["negated"] == 3.0
-    assert tracks("not at all here or there, fool")["negated"] == 0
-    assert tracks("they said he is a pest")["reported"] == 2.0
-    assert tracks("I will hurt you")["threat"] == 1.0 and tracks("I will never hurt you")["threat"] == 0
-    assert tracks("pestilence tomfool")["clauses"] == 0  # a whole word isn't a stem, a stem begins a word
-    assert tracks("fool. pest; fool you")["clauses"] == 3
-    assert not g.tracks("").any() and not g.tracks(None).any()
+    f = toxicity.PRIOR
+    assert g.evidence("Fools everywhere. A pest") == 5
+    assert g.evidence("you are a foolish one") == g.evidence("one fool, no: fool you") - 3 == 3 * f["targeted"]
+    assert g.evidence("that is not a fool") == pytest.approx(3 * f["negated"])
+    assert g.evidence("not at all here or there or anywhere, fool") == 3
+    assert g.evidence("they said he is a pest") == pytest.approx(2 * f["reported"] * f["targeted"])
+    assert g.evidence("I will hurt you") > 10 * g.evidence("I will never hurt you") > 0
+    assert g.evidence("hurt feelings") < 1
+    assert g.evidence("pestilence tomfool") == 0  # a whole word isn't a stem, a stem begins a word
+    assert not g.evidence("") and not g.evidence(None) and not g.contexts(None).any()
+
+
+SENTENCES = {"an idiot wrote this": 1, "you are an idiot": 1, "you are a stupid worthless idiot and a moron": 1,
+             "I will kill you": 1, "that is not an idiot": 0, "nobody here is an idiot, not you": 0,
+             "he said you are an idiot": 0, "I will never kill you": 0, "the process was not killed": 0}
+
+
+def test_toxicity_of_sentences(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    added = spark.createDataFrame([(-1 - i, s) for i, s in enumerate(SENTENCES)], "doc_id long, text string")
+    rows = toxicity.scored(docs.unionByName(added), labels)
+    got = {r.doc_id: r for r in rows.collect()}
+    assert {s: got[-1 - i].predicted for i, s in enumerate(SENTENCES)} == SENTENCES
+    by = {s: got[-1 - i].score for i, s in enumerate(SENTENCES)}
+    assert by["you are an idiot"] > by["an idiot wrote this"] > by["he said you are an idiot"] > by["that is not an idiot"]
+    held = [(got[r.doc_id].predicted, r.toxic) for r in labels.collect() if r.doc_id in got and got[r.doc_id].held_out]
+    assert len(held) > 700 and sum(p != t for p, t in held) < 0.03 * len(held)
+
+
+def test_factors_stay_in_their_bounds():
+    """Labels that say the reverse move a factor to its bound and no further."""
+    rng = np.random.default_rng(2)
+    place = {x: k for k, x in enumerate(toxicity.CONTEXTS)}
+    rows, y = [], []
+    for marks, toxic in ((("negated",), 1), (("targeted",), 0), (("reported",), 1), ((), 1)):
+        for _ in range(2000):
+            r = np.zeros(len(place))
+            r[place[toxicity.Symbol(toxicity.INSULT, frozenset(marks))]] = 5 + rng.random()
+            rows.append(r)
+            y.append(toxic)
+    rows += [np.zeros(len(place))] * 2000
+    factors, slope, _ = toxicity.fitted(np.array(rows), np.array(y + [0] * 2000, float), hold=0.1)
+    assert factors["targeted"] >= 1 and factors["negated"] <= 1 and factors["reported"] <= 1 and slope >= 0
+    assert all(lo <= factors[m] <= hi for m, (lo, hi) in toxicity.BOUNDS.items())
 
 
 def test_toxicity_of_odd_rows(spark):
