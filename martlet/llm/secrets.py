@@ -60,13 +60,51 @@ UNSIGNED = 128
 #: letters in 1,000 of English text, a to z
 LETTERS = (82, 13, 28, 43, 127, 22, 20, 61, 70, 1.5, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 1.5, 20, 1)
 
+#: values merged at a time, and code points of a piece of text that is cut from
+BLOCK, PIECE = 256, 1024
+
 RANDOM = "random"
+#: behind every place in a text
+LATE = (1 << 31) - 1
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 #: steps of -log10 of a p-value, and the last one
 STEP, LAST = 0.1, 600
 
 
+def larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def smaller(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
+def running(values: Column, zero: Column, kind: str, merge: Callable[[Column, Column], Column]) -> Column:
+    """For each of ``values`` the merger of all before it (``zero`` for the first), and
+    behind them that of all. Blocks of ``BLOCK`` values are merged first, then the blocks' own
+    values from where each begins, so an array that grows by appending is never long."""
+    none = F.array().cast(f"array<{kind}>")
+
+    def all_before(v: Column, first: Column) -> Column:
+        start = F.struct(first.alias("at"), none.alias("out"))
+        return F.aggregate(v, start, lambda s, x: F.struct(
+            merge(s["at"], x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+    def whole(v: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int"))
+
+        def block(k: Column) -> Column:
+            return F.slice(v, k * BLOCK + 1, F.lit(BLOCK))
+
+        sums = F.transform(blocks, lambda k: F.aggregate(block(k), zero, merge))
+        return let(all_before(sums, zero), lambda begin: F.flatten(F.transform(
+            blocks, lambda k: all_before(block(k), begin[k]))))
+
+    return F.when(F.size(values) > 0, let(values, lambda v: let(whole(v), lambda before: F.concat(
+        before, F.array(merge(F.element_at(before, -1), F.element_at(v, -1))))))).otherwise(F.array(zero))
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Leftmost matches in order: array of start, end (code points) and value
     (of the group). The text between matches and the matches themselves, in
@@ -74,20 +112,12 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     between = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"),
-                    F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
 
     def placed(parts: Column) -> Column:
         b, m, v = parts["b"], parts["m"], parts["v"]
-
-        def step(acc: Column, i: Column) -> Column:
-            begin = acc["at"] + F.length(b[i])
-            end = begin + F.length(m[i])
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
-                begin.alias("start"), end.alias("end"), v[i].alias("value")))).alias("out"))
-
-        return F.when(F.size(m) > 0, F.aggregate(F.sequence(F.lit(0), F.size(m) - 1), zero, step,
-                                                 lambda acc: acc["out"])).otherwise(zero["out"])
+        steps = F.transform(m, lambda x, i: F.length(b[i]) + F.length(x))
+        return let(running(steps, F.lit(0), "int", lambda a, x: a + x), lambda at: F.transform(m, lambda x, i: F.struct(
+            (at[i + 1] - F.length(x)).alias("start"), at[i + 1].alias("end"), v[i].alias("value"))))
 
     return let(F.struct(between.alias("b"), whole.alias("m"), value.alias("v")), placed)
 
@@ -237,11 +267,20 @@ def spans(text: Column, cut: dict[int, int], rate: float = 0.2, alpha: float = 0
 
     def joined(base: Column) -> Column:
         new = F.filter(tested(text, rate, alpha), lambda t: (
-            t["random"] & F.coalesce(t["step"] >= F.try_element_at(least, t["size_class"]), F.lit(False))
-            & ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))))
-        return F.array_sort(F.concat(base, F.transform(new, lambda t: F.struct(
-            t["start"].alias("start"), F.lit(len(BASE)).alias("rank"), F.lit(RANDOM).alias("kind"),
-            t["end"].alias("end")))))
+            t["random"] & F.coalesce(t["step"] >= F.try_element_at(least, t["size_class"]), F.lit(False))))
+        spans = F.transform(new, lambda t: F.struct(t["start"].alias("start"), F.lit(len(BASE)).alias("rank"),
+                                                    F.lit(RANDOM).alias("kind"), t["end"].alias("end")))
+        return F.when(F.size(spans) > 0, let(F.array_sort(F.concat(base, spans)), apart)).otherwise(base)
+
+    def apart(both: Column) -> Column:
+        # a candidate touches a base span that begins before it ends: behind it, one that
+        # begins no earlier, is the next base span; before it, one that ends after its begin
+        base_end = F.transform(both, lambda x: F.when(x["kind"] != RANDOM, x["end"]).otherwise(0))
+        turned = F.transform(F.reverse(both), lambda x: F.when(x["kind"] != RANDOM, x["start"]).otherwise(LATE))
+        return let(F.struct(running(base_end, F.lit(0), "int", larger).alias("ends"),
+                            F.reverse(running(turned, F.lit(LATE), "int", smaller)).alias("next")),
+                   lambda o: F.filter(both, lambda x, i: (x["kind"] != RANDOM) | (
+                       (o["ends"][i] <= x["start"]) & (o["next"][i + 1] >= x["end"]))))
 
     return let(base_spans(text), joined)
 
@@ -268,17 +307,23 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def redacted(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
     """``text`` with its spans (by start) replaced by ``mark``; spans that touch share one."""
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(acc: Column, s: Column) -> Column:
-        skip = s["start"] - acc["at"]
-        more = F.when((skip > 0) | (acc["at"] == 0), F.concat(
-            F.substring(text, acc["at"] + 1, F.greatest(skip, F.lit(0))), F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.concat(acc["out"], more).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
-
-    done = F.aggregate(found, zero, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(found) > 0, done).otherwise(text)
+    def cut(pieces: Column, begin: Column, end: Column) -> Column:
+        """Code points ``begin`` to ``end`` of the text, from the pieces that hold them."""
+        first, last = F.floor(begin / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int")
+        return F.when(end > begin, F.array_join(F.transform(F.sequence(first, F.greatest(last, first)), lambda k: F.substring(
+            pieces[k], F.greatest(begin - k * PIECE, F.lit(0)) + 1,
+            F.least(end - k * PIECE, F.lit(PIECE)) - F.greatest(begin - k * PIECE, F.lit(0)))), "")).otherwise("")
+
+    def put(x: Column) -> Column:
+        s, at, pieces = x["s"], x["at"], x["pieces"]
+        parts = F.transform(s, lambda p, i: F.when((p["start"] > at[i]) | (i == 0), F.concat(
+            cut(pieces, at[i], p["start"]), F.lit(mark))).otherwise(""))
+        return F.concat(F.array_join(parts, ""), cut(pieces, F.element_at(at, -1), F.length(text)))
+
+    ends = running(F.transform(found, lambda p: p["end"]), F.lit(0), "int", larger)
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return F.when(F.size(found) > 0, let(F.struct(found.alias("s"), ends.alias("at"), pieces.alias("pieces")), put)
+                  ).otherwise(text)
 
 
 def redacted_documents(docs: DataFrame) -> DataFrame:
