@@ -4,6 +4,8 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from martlet.llm.queries import vocabulary
 from martlet.llm.tokens import Encoder
@@ -110,3 +112,12 @@ def test_components_with_one_smallest_id(spark, tmp_dir):
     docs = spark.createDataFrame([(d, t, "en", "s", len(t), "x") for d, t in rows], SCHEMA)
     left = corpus_pipeline.simhash_near_dedup(spark, docs, tmp_dir).collect()
     assert sorted((r.doc_id, r.text) for r in left) == [(1, a), (1, b)]
+
+
+def test_rows_of_one_id_and_text_leave_the_same_one_in_any_order(spark):
+    text = " ".join(f"w{j}" for j in range(80))
+    rows = [(1, text, "en", s, 5, x) for s in ("b", "a", None) for x in ("z", "y")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    left = {tuple(r) for o in (["source"], ["extra", "source"], [F.desc("source")])
+            for r in corpus_pipeline.simhash_near_dedup(spark, df.orderBy(*o), "").collect()}
+    assert left == {(1, text, "en", None, 5, "y")}
