@@ -125,12 +125,12 @@ arcs AS MATERIALIZED (SELECT kind, host, dst, weight / sum(weight) OVER (PARTITI
 seeds AS (SELECT CASE verdict WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, CAST(count(*) AS DOUBLE) AS mass
           FROM judged WHERE verdict IS NOT NULL GROUP BY 1, 2),
 rank0 AS MATERIALIZED (SELECT kind, host, mass / sum(mass) OVER (PARTITION BY kind) AS rank FROM seeds){steps},
-known AS (SELECT host, coalesce(round(sum(rank) FILTER (WHERE kind = 'trust'), 9), 0.0::DOUBLE) AS trust,
-                 coalesce(round(sum(rank) FILTER (WHERE kind = 'distrust'), 9), 0.0::DOUBLE) AS distrust
+known AS (SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0.0::DOUBLE) AS trust,
+                 coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0.0::DOUBLE) AS distrust
           FROM rank{rounds} GROUP BY host)
 SELECT page_id, judged.host, path, rule,
        coalesce(verdict, CASE WHEN distrust > {margin}::DOUBLE * trust THEN 'block' ELSE 'allow' END) AS verdict,
-       coalesce(trust, 0.0::DOUBLE) AS trust, coalesce(distrust, 0.0::DOUBLE) AS distrust
+       round(coalesce(trust, 0.0::DOUBLE), 9) AS trust, round(coalesce(distrust, 0.0::DOUBLE), 9) AS distrust
 FROM judged LEFT JOIN known ON judged.host = known.host"""
 
 

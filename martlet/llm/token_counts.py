@@ -1,14 +1,17 @@
 """Token counts kept as rollups that signed changes add to.
 
-A batch holds inserts, deletes and revised counts of documents. Its signed sums
-by source, language and tokenizer version are all that is stored, in a folder
-named by the batch: committing a batch again replaces the same folder, so a
-retry or a replay adds nothing. Totals are sums over the batches' few rows.
+A batch holds inserts, deletes and revised counts of documents; its signed sums by
+source, language and tokenizer version are stored. The totals are stored, too: a
+commit adds the batch's sums to them and takes away those of an earlier commit of the
+same batch, so it costs as much as there are keys, however many batches there were,
+and a retry or a replay adds nothing. Each commit is a version of the totals; it
+counts once Spark has marked it whole.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,6 +22,8 @@ from .tokens import encoder, groups
 KEYS = ("source", "lang", "tokenizer")
 ROLLUP = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
+APPLIED = "batch string, folder string"
+
 #: of a change: what it does to the number of documents, and to the tokens
 SIGNS = {"insert": (1, 1, 0), "delete": (-1, 0, -1), "revise": (0, 1, -1)}
 
@@ -55,24 +60,50 @@ def signed(changes: DataFrame) -> DataFrame:
 
 
 class Rollups:
-    """Rollups below ``path``, one folder per batch."""
+    """Rollups below ``path``, for one writer at a time: ``sums`` has the signed sums of every
+    commit, ``applied/v=N`` which of them each batch stands with in version N, and
+    ``totals/v=N`` the totals. A version is whole once its totals have Spark's ``_SUCCESS``
+    file; a commit that fails before leaves the version before it."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
+    def _version(self) -> int:
+        """The last whole version, 0 if there is none."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/totals/v=*/_SUCCESS")
+        found = where.getFileSystem(conf).globStatus(where) or []
+        return max((int(x.getPath().getParent().getName()[2:]) for x in found), default=0)
+
+    def _read(self, name: str, version: int, schema: str) -> DataFrame:
+        if not version:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}/v={version}")
+
     def commit(self, batch: str, changes: DataFrame) -> None:
-        """Add a batch, or replace the one of that name. The writer's commit
-        makes it visible whole: a batch that fails leaves no row."""
+        """Add a batch, or replace the one of that name: a new version of the totals."""
         if not re.fullmatch(r"[A-Za-z0-9._-]+", batch):
             raise ValueError(f"not a batch name: {batch!r}")
-        signed(changes).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        version = self._version()
+        applied = self._read("applied", version, APPLIED)
+        folder = f"sums/{batch}-{uuid.uuid4().hex}"
+        signed(changes).write.parquet(f"{self.path}/{folder}")
+        rows = self.totals().unionByName(self.spark.read.schema(ROLLUP).parquet(f"{self.path}/{folder}"))
+        for old in applied.filter(F.col("batch") == batch).collect():   # one row, if any
+            was = self.spark.read.schema(ROLLUP).parquet(f"{self.path}/{old.folder}")
+            rows = rows.unionByName(was.select(*KEYS, (-F.col("n_docs")).alias("n_docs"), (-F.col("n_tokens")).alias("n_tokens")))
+        new = self.spark.createDataFrame([(batch, folder)], APPLIED)
+        applied.filter(F.col("batch") != batch).unionByName(new).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.path}/applied/v={version + 1}")
+        # last, as it makes the version whole
+        (rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+         .filter("n_docs <> 0 or n_tokens <> 0")
+         .write.mode("overwrite").parquet(f"{self.path}/totals/v={version + 1}"))
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs and n_tokens over all batches; a key
-        whose sums are back at zero has no row."""
-        rows = self.spark.read.schema(ROLLUP).option("basePath", self.path).parquet(f"{self.path}/batch=*")
-        return (rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-                .filter("n_docs <> 0 or n_tokens <> 0"))
+        whose sums are back at zero has no row, a store without batches none."""
+        return self._read("totals", self._version(), ROLLUP)
 
 
 def history(docs: DataFrame, vocabulary: str, tokenizer: str) -> dict[str, DataFrame]:

@@ -122,6 +122,10 @@ def open_file(path: str):
     return TokenFile(where.open_input_file(name))
 
 
+#: characters of a text that order the rows of one id
+LEAD = 32
+
+
 def write_store(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0,
                 file_tokens: int = FILE_TOKENS) -> DataFrame:
     """Encode every whole text of ``docs`` (doc_id, text), append ``end_id`` to
@@ -131,8 +135,10 @@ def write_store(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0,
     Documents are dealt by ranges of doc_id; a task writes its range in files of
     about ``file_tokens`` tokens, each first under a name of its own attempt and
     then moved to its place, so a task that runs twice leaves one whole file.
-    Null texts count as empty (the end id alone); a null doc_id comes first;
-    rows of one doc_id are ordered by text; an empty table gives no file.
+    Null texts count as empty (the end id alone); a null doc_id comes first; rows of
+    one doc_id are ordered by the first ``LEAD`` characters of their texts and then by
+    the texts' hash, which also deals them, so one id can fill many files; an empty
+    table gives no file.
     """
     def write(batches):
         from pyarrow import fs
@@ -173,8 +179,9 @@ def write_store(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0,
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()),
                         ("docs", pa.int64()), ("tokens", pa.int64())])
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-               .repartitionByRange(partitions(docs.sparkSession), "doc_id")
-               .sortWithinPartitions("doc_id", "text"))
+               .withColumns({"head": F.substr("text", F.lit(1), F.lit(LEAD)), "hash": F.xxhash64("text")})
+               .repartitionByRange(partitions(docs.sparkSession), "doc_id", "head", "hash")
+               .sortWithinPartitions("doc_id", "head", "hash").select("doc_id", "text"))
     return stored(arrow(ordered, write, SEGMENT), "token-files")
 
 

@@ -1,6 +1,7 @@
 """Substring removal, URL filters, toxicity and token counts against brute force."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -403,6 +404,7 @@ def test_rollups_are_idempotent_and_additive(spark, tmp_dir):
 
     first = changes(("insert", "a", "v1", 10, None), ("insert", "a", "v1", 5, None), ("insert", None, "v2", 7, None))
     second = changes(("delete", "a", "v1", None, 5), ("revise", "a", "v1", 12, 10), ("delete", None, "v2", None, 7))
+    assert store.totals().count() == 0
     store.commit("b1", first)
     store.commit("b2", second)
     for batch, rows in (("b2", second), ("b1", first), ("b1", first)):
@@ -413,3 +415,11 @@ def test_rollups_are_idempotent_and_additive(spark, tmp_dir):
     assert [tuple(r) for r in store.totals().collect()] == [("a", "en", "v1", 1, 12)]
     with pytest.raises(ValueError):
         store.commit("../b", first)
+    # a batch of another content under a name that was there replaces it
+    store.commit("b1", changes(("insert", "a", "v1", 10, None), ("insert", "a", "v1", 5, None)))
+    assert {tuple(r) for r in store.totals().collect()} == {("a", "en", "v1", 1, 12), (None, "en", "v2", -1, -7)}
+    # a commit that broke off before its totals were whole is as if it had not begun
+    os.makedirs(f"{tmp_dir}/store/totals/v={store._version() + 1}")
+    assert store.totals().count() == 2
+    store.commit("b4", first)
+    assert {tuple(r) for r in store.totals().collect()} == {("a", "en", "v1", 3, 27)}

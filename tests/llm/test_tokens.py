@@ -151,3 +151,11 @@ def test_sum_of_squares_takes_the_least():
         assert total(gaps.get(b, 20), b not in gaps) == best
         gaps[b] = gaps.get(b, 20) - s
     assert all(0 <= g for g in gaps.values())
+
+
+def test_one_id_fills_many_files(spark, tmp_dir):
+    rows = [(7, f"{i % 40} text number {i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    files = token_store.write_store(docs, vocabulary(), f"{tmp_dir}/hot")
+    assert files.count() > 1
+    assert token_store.read_store(files).count() == 400
