@@ -18,8 +18,9 @@ from .common import small, stored
 #: runs of these characters divide words: ASCII but for letters and digits
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: candidate places sent to all tasks; with more, texts are shuffled to them
-SENT = 400_000
+#: candidate places sent to all tasks, and the length of their JSON in all (each carries
+#: its window and the items that have it); with more of either, texts are shuffled to them
+SENT, SENT_LENGTH = 400_000, 64 << 20
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -115,7 +116,9 @@ def phrase_hits(docs: DataFrame, items: DataFrame, size: int = 13, slack: int =
     wins = stored(windows(items, size), "windows")
     found = stored(candidates(body, wins, slack).groupBy("doc_id").agg(
         F.collect_set(F.struct("start", "window", "items")).alias("places")), "candidates")
-    all_words = (rows.join(small(found.withColumnRenamed("doc_id", "key"), SENT, "places"), "key", "left")
+    found = found.withColumnRenamed("doc_id", "key")
+    length = found.agg(F.sum(F.length(F.to_json("places")).cast("long"))).first()[0] or 0
+    all_words = (rows.join(small(found, SENT, "places") if length <= SENT_LENGTH else found, "key", "left")
                  .select("doc_id", terms(F.col("text")).alias("w"), F.coalesce("places", F.array()).alias("places")))
     w = F.col("w")
 

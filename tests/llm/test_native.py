@@ -327,3 +327,11 @@ def test_proximity(spark):
 def test_no_python_in_native_plans(spark, name):
     plan = REGISTRY[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_candidates_too_long_to_send_give_the_same_hits(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text")
+    sent = key(decontam.contamination(docs, items).collect())
+    monkeypatch.setattr(decontam, "SENT_LENGTH", 0)
+    assert key(decontam.contamination(docs, items).collect()) == sent
