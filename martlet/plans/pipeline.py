@@ -295,7 +295,7 @@ def quality_audit(spark: SparkSession, name: str, mart_dir: str, run_id: str) ->
 
 def lookup_durations(spark: SparkSession, catalogue: DataFrame, raw_dir: str,
                      mart_dir: str, run_id: str, n_titles: int | None = None,
-                     max_distance: int = 2) -> dict:
+                     max_distance: int = 2, similar: tuple[int, int] | None = None) -> dict:
     """Durations for this run's published game names (S8, S9, J3, J4):
     matched records become this run's raw duration folder; the audit row
     counts them and reports how many titles found no match, and how many an
@@ -304,7 +304,7 @@ def lookup_durations(spark: SparkSession, catalogue: DataFrame, raw_dir: str,
     games = _of_run(spark, os.path.join(mart_dir, "twitch_games"),
                     StructType([StructField("game_name", StringType(), True)]), run_id)
     recs, _ = hours_for_titles(games, catalogue, start.strftime("%Y-%m-%dT%H:%M:%S"),
-                               n_titles, max_distance)
+                               n_titles, max_distance, similar=similar)
     out = os.path.join(raw_dir, "howlongtobeat")
     n = _write_run(recs, out, run_id)
     total = games.select(F.count_distinct("game_name")).first()[0]
@@ -333,7 +333,8 @@ def append_audit(spark: SparkSession, rows: list[dict], logs_dir: str,
 def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
                  run_id: str | None = None, fail_fast: bool = False,
                  durations: DataFrame | None = None, n_titles: int | None = None,
-                 quality: bool = False, max_distance: int = 2) -> DataFrame:
+                 quality: bool = False, max_distance: int = 2,
+                 similar: tuple[int, int] | None = None) -> DataFrame:
     """Whole batch (G1, G2, G3): for every source land, clean, publish. A source
     without a route raises before anything is read.
 
@@ -345,7 +346,8 @@ def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
 
     With a ``durations`` catalogue, the game names published by this run (the
     first ``n_titles`` if given) are looked up in it, names within
-    ``max_distance`` edits match, and the matches go through the same
+    ``max_distance`` edits match (else, with ``similar``, those with the most similar
+    words, see :func:`hours_for_titles`), and the matches go through the same
     clean/publish path as a landed duration source. With ``quality`` every
     published table gets a quality-report audit row."""
     run_id = run_id or new_run_id()
@@ -380,7 +382,7 @@ def run_pipeline(spark: SparkSession, landings: list[Landing], base_dir: str,
             break
     if durations is not None and not stop:
         log.run("lookup", "HOWLONGTOBEAT", "hltb_search", lambda: [lookup_durations(
-            spark, durations, raw_dir, mart_dir, run_id, n_titles, max_distance)],
+            spark, durations, raw_dir, mart_dir, run_id, n_titles, max_distance, similar)],
             os.path.join(raw_dir, "howlongtobeat"))
         finish("howlongtobeat")
     return log.frame()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martlet.functions import canonical, nested_fingerprint
 from martlet.operators import exact_quantiles, gram_candidates, keep_first, similar_titles, top_k_per_key
 from martlet.operators.dedup import large_top_k_per_key
-from martlet.plans.pipeline import Landing, _read, run_pipeline
+from martlet.plans.pipeline import Landing, _read, hours_for_titles, run_pipeline
 from martlet.plans.steplog import StepLog
 from martlet.sinks import export_csv_file
 from martlet.sources import (
@@ -252,6 +252,15 @@ def test_similar_titles(spark):
     assert got["majora zelda"] == (2, 1.0) and got["Zelda: Ocarina of Time Remastered"][0] == 1
 
 
+def test_durations_of_similar_titles(spark):
+    names = spark.createDataFrame([(1, "Zelda Ocarina of Time", 30.0), (2, "Tetris", 1.0)], "id int, name string, main_story double")
+    games = spark.createDataFrame([("Zelda Ocarina of Time Remastered",), ("Tetriss",), ("Unknown",)], "game_name string")
+    for similar, want in ((None, {"Tetriss": 1.0}), ((3, 5), {"Tetriss": 1.0, "Zelda Ocarina of Time Remastered": 30.0})):
+        found, rest = hours_for_titles(games, names, "2025-06-10T10:00:00", similar=similar)
+        assert {r.game_name: r.main_story for r in found.collect()} == want
+        assert {r.title for r in rest.collect()} == {r.game_name for r in games.collect()} - set(want)
+
+
 # one CSV file
 
 def test_one_csv_file_of_many_parts(spark, tmp_dir):
