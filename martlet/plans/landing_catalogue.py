@@ -202,7 +202,7 @@ def _one_line(spark, rows: DataFrame, target: str) -> None:
     the order of k."""
     parts = f"{target}.parts"
     spark.createDataFrame([("{",)], "x string").coalesce(1).write.option("lineSep", " ").text(f"{parts}/0")
-    (rows.repartitionByRange(8, "k").sortWithinPartitions("k").select("member")
+    (rows.repartitionByRange("k").sortWithinPartitions("k").select("member")
      .write.option("lineSep", ", ").text(f"{parts}/1"))
     spark.createDataFrame([('"last": {"label": "}, {"}}',)], "x string").coalesce(1).write.option("lineSep", "\n").text(f"{parts}/2")
     join_parts(spark, [p for i in range(3) for p in part_files(spark, f"{parts}/{i}")], target)

@@ -3,15 +3,18 @@
 ``flatten_keyed_objects`` parses a document in one task. Here the file is read in byte
 ranges: Spark splits it at commas near the ranges' ends, and whether a comma stands
 between two members follows from what lies before it: inside a string or not, and how
-deep in brackets. Both are prefix sums. A block (byte range) first sums its quotes and, for
-either state that it may begin in, its brackets; the blocks' sums give each one's state at
-its begin; and a second pass over the blocks finds the members' borders.
+deep in brackets. Both are prefix sums. A block (a run of pieces of a byte range) first sums its
+quotes and, for either state that it may begin in, its brackets; the blocks' sums give each one's
+state at its begin; and a second pass over the blocks finds the members' borders.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+#: pieces of a byte range that are one block
+BLOCK = 1 << 16
+
 
 def _brackets(pieces: Column) -> Column:
     """Opening less closing brackets in texts without quotes."""
@@ -26,12 +29,15 @@ def member_texts(spark: SparkSession, path: str) -> DataFrame:
     place, from 0), text (``"key": value``). Files may have line breaks anywhere, or none. What
     is no object, or not complete, gives members that don't parse.
 
-    The work of a task is bounded by ``spark.sql.files.maxPartitionBytes`` and by the
+    A block is at most ``BLOCK`` pieces, so a shuffled task's memory follows from the
+    number of shuffle partitions, not from the size of the byte ranges, and is bounded below by the
     largest member.
     """
     lines = spark.read.option("lineSep", ",").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("id"), F.col("value").alias("chunk"))
+    # ids ascend within a byte range, so (start, part) is a block's place
+    lines = lines.withColumn("block", F.struct("start", F.shiftright("id", BLOCK.bit_length() - 1).alias("part"))).drop("start")
     # an escape can't reach over a comma, so it is within a chunk
     parts = F.split(F.regexp_replace("chunk", r"\\.", ""), '"', -1)
     outside = F.filter(parts, lambda _, i: i % 2 == 0)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from martlet.functions import canonical, nested_fingerprint
 from martlet.operators import exact_quantiles, gram_candidates, keep_first, similar_titles, top_k_per_key
 from martlet.operators.dedup import large_top_k_per_key
+from martlet.plans.landing_catalogue import q_dedup_map_ties
 from martlet.plans.pipeline import Landing, _read, hours_for_titles, run_pipeline
 from martlet.plans.steplog import StepLog
 from martlet.sinks import export_csv_file
@@ -17,6 +18,7 @@ from martlet.sources import (
     LANDING_SCHEMAS, before_the_end, flatten_keyed_objects, inferred_schema, rank_links, read_cursor_pages,
     read_keyed_objects, read_pages, schema_report,
 )
+from martlet.sources import keyed
 from martlet.sources.schemas import schema_of, S
 
 ITEM = schema_of(("id", S),)
