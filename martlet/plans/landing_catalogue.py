@@ -317,7 +317,8 @@ def q_dedup_map_ties(spark, d):
     # the same entries, put in in two orders
     a, b = [F.lit("status"), F.col("o_orderstatus")], [F.lit("work"), F.concat("o_orderpriority", F.lit("="), F.col("o_orderkey") % 5)]
     m = F.when(F.col("o_orderkey") % 2 == 0, F.create_map(*a, *b)).otherwise(F.create_map(*b, *a))
-    rows = o.select("o_custkey", m.alias("m")).repartition(7, F.xxhash64("m.work"))
+    # a customer's rows are dealt over all tasks, each of a share of the rows
+    rows = o.select("o_custkey", m.alias("m"), "o_orderkey").repartition(F.xxhash64("m.work", "o_orderkey")).drop("o_orderkey")
     kept = keep_first(rows, ["o_custkey"], [canonical(F.col("m"), rows.schema["m"].dataType)])
     return kept.select("o_custkey", F.col("m.status").alias("o_orderstatus"), F.col("m.work").alias("entries"))
 

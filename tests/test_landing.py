@@ -139,6 +139,20 @@ def test_large_object_equals_flatten_and_is_read_by_many_tasks(spark, tmp_dir, i
     assert got == sorted(map(repr, flatten_keyed_objects(whole, "j", ddl).collect())) and len(got) == 900
 
 
+@pytest.mark.parametrize("block", [1, 4])
+def test_large_object_in_blocks_smaller_than_a_byte_range(spark, tmp_dir, monkeypatch, block):
+    rng = random.Random(3)
+    rows = {f"k{i}": odd_value(rng) for i in range(60)}
+    path = os.path.join(tmp_dir, "one.json")
+    with open(path, "w") as f:
+        json.dump(rows, f)
+    monkeypatch.setattr(keyed, "BLOCK", block)
+    ddl = "label string, n int, tags array<string>"
+    whole = spark.createDataFrame([(json.dumps(rows),)], "j string")
+    assert (sorted(map(repr, read_keyed_objects(spark, path, ddl).collect()))
+            == sorted(map(repr, flatten_keyed_objects(whole, "j", ddl).collect())))
+
+
 @pytest.mark.parametrize("text, want", [("{}", []), ("  { }\n", []), ('{"a": {"n": 1}}', [("a", 1)]),
                                         ('{"a": 5, "b": {"n": 2}}', [("a", None), ("b", 2)]), ("", [])])
 def test_small_objects(spark, tmp_dir, text, want):
@@ -284,3 +298,13 @@ def test_other_file_systems_raise(spark):
     from martlet.sinks import join_parts
     with pytest.raises(Exception, match="neither|ViewFs"):
         join_parts(spark, [], "viewfs://nowhere/x.csv")
+
+
+def test_map_ties_are_dealt_over_as_many_tasks_as_the_rows_need(spark, tmp_dir):
+    rows = [(i, i % 3, "FOP"[i % 3], f"{i % 5}-P") for i in range(90)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(
+        os.path.join(tmp_dir, "orders.parquet"))
+    got = q_dedup_map_ties(spark, tmp_dir)
+    assert "REPARTITION_BY_NUM" not in got._jdf.queryExecution().toString()
+    want = {c: min((f"{p}={k % 5}") for k, c_, _, p in rows if c_ == c) for c in range(3)}
+    assert {r.o_custkey: r.entries for r in got.collect()} == want
