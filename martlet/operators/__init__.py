@@ -8,7 +8,7 @@ from martlet.operators.lookup import (  # noqa: F401
     normalise_title, first_match_lookup, unmatched_titles, enrich_children,
     deletion_variants,
 )
-from martlet.operators.signatures import gram_candidates, similar_titles  # noqa: F401
+from martlet.operators.signatures import end_candidates, gram_candidates, similar_titles  # noqa: F401
 from martlet.operators.quality import (  # noqa: F401
     null_blank_share, duplicate_count, quality_report, not_null_violations,
     unique_violations, fk_violations, max_length_violations,

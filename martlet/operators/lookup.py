@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martlet.functions.text import _c
 from martlet.operators.dedup import keep_first, top_k_per_key
-from martlet.operators.signatures import gram_candidates
+from martlet.operators.signatures import end_candidates
 from martlet.session import checkpoint_dir
 
 
@@ -114,9 +114,9 @@ def segment_candidates(titles: DataFrame, catalogue: DataFrame, max_distance: in
 
     Catalogue blocks (names with one segment in one place) are counted first.
     A title meets at most ``block`` names in a block of that size or less. The titles
-    and names of larger ones, where names share a prefix, say, meet by their rarest
-    q-grams instead (:func:`gram_candidates`), which finds all pairs by itself: some
-    thirty rows a title whatever its length. So the result stays complete."""
+    and names of larger ones, where names share a prefix, say, meet by their ends
+    less some characters instead (:func:`end_candidates`), which finds all pairs by itself: rows a
+    title that don't grow with its length. So the result stays complete."""
     names = catalogue.select("_ck", "match_id", "match_name", F.explode(
         segment_keys("_ck", max_distance)).alias("_s")).select("_ck", "match_id", "match_name", "_s.*")
     probes = titles.select("title", "_k", F.explode(
@@ -132,8 +132,8 @@ def segment_candidates(titles: DataFrame, catalogue: DataFrame, max_distance: in
     c = (names.join(large, key, "left_semi").select("_ck", "match_id", "match_name").distinct()
          .withColumn("nid", F.xxhash64("_ck"))).checkpoint(eager=True)
     # a number that two strings share adds pairs, and loses none
-    pairs = gram_candidates(t.select("tid", F.col("_k").alias("s")).distinct(),
-                            c.select("nid", F.col("_ck").alias("s")).distinct(), max_distance, block)
+    pairs = end_candidates(t.select("tid", F.col("_k").alias("s")).distinct(),
+                           c.select("nid", F.col("_ck").alias("s")).distinct(), max_distance, block)
     return found.unionByName(pairs.join(t, "tid").join(c, "nid").select(*out))
 
 
@@ -157,7 +157,7 @@ def first_match_lookup(titles: DataFrame, catalogue: DataFrame,
     ``blocking`` picks how fuzzy candidates are found; both are exact for
     distance <= d. ``"segments"`` joins the d+1 segments of each catalogue
     name with a bounded number of probes per title (at most 19 for d = 2,
-    whatever the length) and, where names share segments, their rarest grams;
+    whatever the length) and, where names share segments, their ends less some characters;
     see :func:`segment_candidates`. ``"deletions"``
     joins deletion variants: very few false candidates, but the rows per
     string grow with the d-th power of its length, so it suits short names.

@@ -1,5 +1,8 @@
 """Candidate pairs of similar strings without comparing all pairs.
 
+``end_candidates`` finds all pairs within an edit distance by what is left of one end of a
+string when characters are deleted from it, and leaves to ``gram_candidates`` the names whose
+ends are common.
 ``gram_candidates`` finds all pairs within an edit distance by their rarest
 q-grams, a bounded number of rows per string whatever its length (pivotal prefix
 filter, Deng, Li and Feng, SIGMOD 2014). ``similar_titles`` finds pairs that share most
@@ -18,6 +21,9 @@ from martlet.session import scratch_path
 #: gram lengths; q takes strings of q * (d + 1) code points or more
 GRAMS = (4, 8)
 
+#: characters of an end of a name
+ENDS = (8, 16)
+
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
@@ -110,6 +116,78 @@ def gram_candidates(titles: DataFrame, names: DataFrame, d: int, block: int = 10
     return found.distinct()
 
 
+def _deleted(s: Column, k: int) -> Column:
+    """Hashes of what is left of ``s`` when exactly k characters are deleted."""
+    from martlet.operators.lookup import _delete_one
+
+    left = F.array(s)
+    for _ in range(k):
+        left = F.array_distinct(F.flatten(F.transform(left, _delete_one)))
+    return F.transform(left, lambda v: F.xxhash64(v))
+
+
+def _end_keys(s: Column, tier: int, cut: int, kept: list[tuple[int, int]]) -> Column:
+    """Keys of a string by its last ``cut`` characters, for pairs (edits, deletions): with fewer than
+    all d edits in the end what stands before it is free, else it is the same."""
+    n = F.length(s)
+    end, before = F.substr(s, n - cut + 1, F.lit(cut)), F.xxhash64(F.substr(s, F.lit(1), n - cut))
+    parts = []
+    for all_edits, k in kept:
+        rest = before if all_edits else F.lit(0).cast("bigint")
+        parts.append(F.transform(_deleted(end, k), lambda h: F.xxhash64(F.lit(tier), F.lit(all_edits), rest, h)))
+    keys = F.flatten(F.array(*parts))
+    return F.when(n >= cut, keys).otherwise(F.array().cast("array<bigint>"))
+
+
+def end_candidates(titles: DataFrame, names: DataFrame, d: int, block: int = 1000) -> DataFrame:
+    """Pairs (tid, nid) among which are all pairs of ``titles`` (tid, s) and ``names``
+    (nid, s) within ``d`` edits (at least one), each pair once.
+
+    A name is seen by its last w characters, or its first (the last of it reversed). A title within d edits
+    has its own last w + c characters, c from -d to d, within e <= d edits of those. Strings of
+    lengths w and w + c within e edits have a string in common after min(e, e - c) deletions
+    in the one and c more in the other. If e is d, the rest of both is the same and is part of the key, so a key always
+    holds all of a name but d characters, or its end but d - 1. A title's rows depend on w and d only.
+
+    A name takes the first of four ends (last or first 8, 16 characters) whose outer w - 1 it shares
+    with few others (``block`` // 20). Names without one, and short ones, are left to
+    :func:`gram_candidates`. So pairs grow with the strings, not with their square, where names are told
+    apart by either end.
+    """
+    few = max(1, block // 20)
+    ends = [(back, w) for w in ENDS for back in (False, True)]
+    own = _stored(names.select("nid", "s"), "names")
+    sided = [F.reverse("s") if back else F.col("s") for back, _ in ends]
+    n = F.length("s")
+    tagged = own.select("nid", F.explode(F.array(*[F.struct(F.lit(i).alias("tier"), F.when(
+        n >= w, F.xxhash64(F.lit(i), F.substr(x, n - w + 2, F.lit(w - 1)))).alias("h"))
+        for i, (x, (_, w)) in enumerate(zip(sided, ends))])).alias("e")).select("nid", "e.*").filter("h is not null")
+    common = _stored(tagged.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > few).select("h"), "common-ends")
+    first = tagged.join(_broadcast_if(common, 200_000), "h", "left_anti").groupBy("nid").agg(F.min("tier").alias("tier"))
+    dealt = _stored(own.join(first, "nid", "left"), "names-by-end")
+    used = {r.tier: r["count"] for r in dealt.groupBy("tier").count().collect()}  # a row per end
+    # titles too long or short for every name have no keys
+    lengths = dealt.select(F.length("s").alias("n")).distinct()
+    near = _stored(titles.select("tid", "s").withColumn("n", F.length("s")).join(F.broadcast(
+        lengths.select(F.explode(F.sequence(F.col("n") - d, F.col("n") + d)).alias("n")).distinct()), "n", "left_semi")
+        .select("tid", "s"), "titles")
+    found = near.join(dealt, F.lit(False)).select("tid", "nid")
+    for i, (back, w) in enumerate(ends):
+        if i not in used:
+            continue
+        x = F.reverse("s") if back else F.col("s")
+        name_keys = _end_keys(x, i, w, [(False, k) for k in range(d)] + [(True, k) for k in range(d + 1)])
+        title_keys = F.flatten(F.array(*[_end_keys(x, i, w + c, [
+            (last, e + min(c, 0)) for last, e in ((False, d - 1), (True, d)) if abs(c) <= e])
+            for c in range(-d, d + 1)]))
+        a = near.select("tid", F.explode(F.array_distinct(title_keys)).alias("key"))
+        b = dealt.filter(F.col("tier") == i).select("nid", F.explode(F.array_distinct(name_keys)).alias("key"))
+        found = found.unionByName(a.join(b.hint("merge"), "key").select("tid", "nid"))
+    if None in used:
+        found = found.unionByName(gram_candidates(near, dealt.filter("tier is null").select("nid", "s"), d, block))
+    return found.distinct()
+
+
 # ------------------------------------------------------------ shared words
 def title_words(c: Column) -> Column:
     """Distinct words of a normalised title: runs of letters and digits."""

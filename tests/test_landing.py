@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from martlet.functions import canonical, nested_fingerprint
-from martlet.operators import exact_quantiles, gram_candidates, keep_first, similar_titles, top_k_per_key
+from martlet.operators import end_candidates, exact_quantiles, gram_candidates, keep_first, similar_titles, top_k_per_key
 from martlet.operators.dedup import large_top_k_per_key
+from martlet.operators.lookup import segment_candidates
 from martlet.plans.landing_catalogue import q_dedup_map_ties
 from martlet.plans.pipeline import Landing, _read, hours_for_titles, run_pipeline
 from martlet.plans.steplog import StepLog
@@ -109,6 +110,50 @@ def test_a_failing_step_is_logged_and_raised(spark, tmp_dir):
     assert [(r.status, r.error_message) for r in log.frame().collect()] == [("ERROR", "no disk")]
 
 
+# pairs by the ends of names
+
+def _within(a, b, d):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1] <= d
+
+
+def _edited(rng, s, k):
+    for _ in range(k):
+        i, c = rng.randrange(len(s) + 1), rng.choice(["", "a", "é", "bb"])
+        s = s[:i] + c + s[i + rng.randrange(2):]
+    return s
+
+
+@pytest.mark.parametrize("d, block", [(1, 1000), (2, 20), (2, 1000), (3, 60)])
+def test_end_candidates_hold_all_pairs_within_the_distance(spark, d, block):
+    rng = random.Random(d + block)
+    part = lambda n, of="abé😀": "".join(rng.choices(of, k=n))
+    names = [part(rng.choice([0, 1, 7, 8, 9, 15, 16, 17, 25])) for _ in range(80)]
+    names += ["the series " + part(5) for _ in range(30)] + [part(5) + " the series" for _ in range(30)]
+    names += ["a long one " + part(2) + " the series of it" for _ in range(30)]  # common at both ends
+    names = sorted(set(names))
+    titles = sorted({_edited(rng, s, rng.randrange(d + 2)) for s in names})
+    got = [tuple(r) for r in end_candidates(
+        spark.createDataFrame(list(enumerate(titles)), "tid long, s string"),
+        spark.createDataFrame(list(enumerate(names)), "nid long, s string"), d, block).collect()]
+    want = {(i, j) for i, a in enumerate(titles) for j, b in enumerate(names) if _within(a, b, d)}
+    assert len(got) == len(set(got)) and want <= set(got)
+
+
+def test_names_with_a_short_part_of_their_own_meet_few_titles(spark):
+    rng = random.Random(5)
+    names = [f"the {rng.choice(['red', 'hot'])} ring {rng.randrange(16 ** 8):08x}" for _ in range(3000)]
+    t = spark.createDataFrame([(f"{s[:-1]}", s[:-1]) for s in names], "title string, _k string")
+    c = spark.createDataFrame([(s, i, s) for i, s in enumerate(names)], "_ck string, match_id long, match_name string")
+    pairs = {tuple(r) for r in segment_candidates(t, c, 2, block=3).select("title", "match_id").collect()}
+    assert {(s[:-1], i) for i, s in enumerate(names)} <= pairs and len(pairs) < 4 * len(names)
+
+
 # one large object
 
 def odd_value(rng):
