@@ -4,7 +4,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from martlet.plans.pipeline import Landing, export_all, run_pipeline
+from martlet.plans.job_catalogue import _run as job_run
+from martlet.plans.pipeline import Landing, _not_stored, export_all, run_pipeline
 from martlet.sinks import (
     append_new_rows, drop_void_columns, export_csv, restamp_lineage, route_by_kind,
     write_parquet,
@@ -388,3 +389,25 @@ def test_pages_without_a_number_raise(spark, tmp_dir):
     item = schema_of(("id", S),)
     with pytest.raises(Exception, match="no page number"):
         read_pages(spark, os.path.join(tmp_dir, "p"), item, page_pattern=r"page-(\d+)").collect()
+
+
+@pytest.mark.parametrize("stored, new", [([], "abn"), ([("a", "r"), (None, "r")], "b"), ([("a", "r"), ("b", "r"), (None, "r")], "")])
+def test_rows_not_stored_yet(spark, stored, new):
+    df = spark.createDataFrame([("a", "r", 1), ("b", "r", 2), ("b", "r", 3), (None, "r", 4)], "k string, run string, v int")
+    existing = spark.createDataFrame(stored, "k string, run string")
+    got = _not_stored(df, existing, ["k", "run"])
+    assert sorted((r.k or "n") for r in got.collect()) == sorted(c for c in "abbn" if c in new)
+    if not stored:  # nothing to compare with: no join, no shuffle
+        assert "Join" not in got._jdf.queryExecution().toString()
+
+
+def test_landing_is_stored_packed_and_in_bounded_files(spark, tmp_dir):
+    for name, rows, ddl in (("part", [(i, f"n{i}", "Brand#1") for i in range(60)], "p_partkey long, p_name string, p_brand string"),):
+        spark.createDataFrame(rows, ddl).write.parquet(os.path.join(tmp_dir, f"{name}.parquet"))
+    spark.createDataFrame([(1, 1, 1, 1, 2.0, "F", "N", None)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, "
+                          "l_quantity double, l_linestatus string, l_returnflag string, l_shipdate timestamp"
+                          ).write.parquet(os.path.join(tmp_dir, "lineitem.parquet"))
+    base, _ = job_run(spark, tmp_dir, base=os.path.join(tmp_dir, "job"))
+    files = [f for d in os.listdir(base) if d.startswith("landed-") for f in os.listdir(os.path.join(base, d)) if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert spark.read.parquet(os.path.join(base, "core", "twitch_games")).count() == 60
