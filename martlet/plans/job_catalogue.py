@@ -57,7 +57,7 @@ def _run(spark, d, times: int = 1, base: str | None = None, only: str | None = N
         raw = raw.filter(F.col("record_type") == only)
     path = f"{base}/landed-{uuid.uuid4().hex}"
     # text so alike packs well; files that can't be split are kept small
-    raw.write.option("compression", "gzip").option("maxRecordsPerFile", 500_000).json(path)
+    raw.write.option("compression", "lz4").option("maxRecordsPerFile", 500_000).json(path)
     for _ in range(times):
         logs = run_pipeline(spark, [Landing("Twitch", path, LANDING_SCHEMAS["twitch"])], base, run_id)
     return base, logs

@@ -409,5 +409,5 @@ def test_landing_is_stored_packed_and_in_bounded_files(spark, tmp_dir):
                           ).write.parquet(os.path.join(tmp_dir, "lineitem.parquet"))
     base, _ = job_run(spark, tmp_dir, base=os.path.join(tmp_dir, "job"))
     files = [f for d in os.listdir(base) if d.startswith("landed-") for f in os.listdir(os.path.join(base, d)) if f.startswith("part-")]
-    assert files and all(f.endswith(".json.gz") for f in files)
+    assert files and all(f.endswith(".json.lz4") for f in files)
     assert spark.read.parquet(os.path.join(base, "core", "twitch_games")).count() == 60
