@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import arrow, stored
-from .tokens import encoder, groups
+from .tokens import CHARS, encoder, groups
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, lane long"
 PLACED = "lane long, length long, sequence long, offset long, open boolean"
@@ -40,7 +40,7 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int, size: int) -> DataFrame:
         end = np.array([end_id], np.uint32)
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
-            for at, texts in groups(batch.column("text")):
+            for at, texts in groups(batch.column("text"), CHARS):
                 rows = []
                 for k, ids in enumerate(enc.encode(texts), at):
                     ids = np.concatenate([ids, end]).astype("<u4")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import WHITE, arrow, shared_folder, stored
-from .tokens import encoder, groups
+from .tokens import CHARS, encoder, groups
 
 KEYS = ("source", "lang", "tokenizer")
 ROLLUP = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
@@ -34,7 +34,7 @@ def counted(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches):
         enc = encoder(vocabulary)
         for batch in batches:
-            n = [len(ids) for _, texts in groups(batch.column("text")) for ids in enc.encode(texts)]
+            n = [len(ids) for _, texts in groups(batch.column("text"), CHARS) for ids in enc.encode(texts)]
             rest = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(n, pa.int64())],
                                              names=[*rest, "n_tokens"])

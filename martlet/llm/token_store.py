@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import arrow, local_uri, partitions, shared_folder, stored
-from .tokens import encoder, groups
+from .tokens import CHARS, encoder, groups
 
 MAGIC, VERSION, BLOCK = b"DACS", 1, 512
 HEAD = struct.Struct("<4sIQQII")
@@ -165,7 +165,7 @@ def write_store(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0,
 
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
-            for at, texts in groups(batch.column("text")):
+            for at, texts in groups(batch.column("text"), CHARS):
                 for k, ids in enumerate(enc.encode(texts), at):
                     doc_ids.append(keys[k])
                     arrays.append(np.concatenate([ids, end]))

@@ -9,7 +9,7 @@ from hypothesis import given, settings, strategies as st
 
 from martlet.llm import packing, token_store
 from martlet.llm.queries import REGISTRY, vocabulary
-from martlet.llm.tokens import Encoder
+from martlet.llm.tokens import Encoder, _Memo
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,6 +29,18 @@ def test_cuts_never_change_ids(enc, texts):
     assert [a.tolist() for a in enc.encode(texts)] == [plain(enc, t) for t in texts]
 
 
+def test_new_cuts_are_added_at_once_and_old_ones_not_encoded_again(enc, monkeypatch):
+    own, added, add = Encoder(vocabulary(), memo=100), [], _Memo.add
+    monkeypatch.setattr(_Memo, "add", lambda memo, cuts, *got: (added.append(len(cuts)), add(memo, cuts, *got)))
+    first = " ".join(f"w{i}" for i in range(12_000)) + " \t x"
+    texts = [first + " w7", "new " + first]
+    got = own.encode([first])
+    assert added == [12_001]  # one copy of the memo, not one for each 5,000 cuts
+    got += own.encode(texts)
+    assert added[1:] == [12_001, 1]  # from the generation before; only "w0" with a space before it is new
+    assert [a.tolist() for a in got] == [plain(enc, t) for t in [first, *texts]]
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string, ids string, lane long, length long")
 
