@@ -192,7 +192,9 @@ def compacted(nodes: DataFrame, k: int, w: int) -> DataFrame:
     path = [F.col("a.h1").alias("a1"), F.col("a.h2").alias("a2"), F.col("b.h1").alias("b1"), F.col("b.h2").alias("b2"),
             "n", (F.col("b.end") - F.col("a.pos")).alias("far")]
     same = ["a1", "a2", "b1", "b2", "n", "far"]
-    runs = stored(runs.select("doc_id", "tkey", F.col("a.pos").alias("first"), F.col("b.end").alias("last"), *path), "runs")
+    # a run without a whole window inside saves no comparison
+    runs = stored(runs.select("doc_id", "tkey", F.col("a.pos").alias("first"), F.col("b.end").alias("last"), *path)
+                  .filter(f"far >= {w - 1}"), "runs")
     # stored, so that a path that very many documents take is a plain join that Spark can split
     source = stored(runs.groupBy(*same).agg(F.min(F.struct("doc_id", "tkey", "first")).alias("s"), F.max("doc_id").alias("hi"))
                     .filter("s.doc_id < hi")

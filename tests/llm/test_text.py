@@ -106,6 +106,59 @@ def test_kept_kmers_and_rolled_hashes():
         assert mine == want
 
 
+def test_kept_nodes_have_every_window_once():
+    rng = np.random.default_rng(4)
+    h = np.concatenate([rng.integers(0, 9, 400), np.full(300, 7), rng.integers(0, 9000, 300), np.arange(400) % 3])
+    h = h.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    bounds = np.array([0, 0, 30, 550, 620, 669, 1000, 1400])
+    at, one, two, times, since, many = substrings.kept_nodes(h, bounds, 26, 25)
+    kept = substrings.kept_kmers(h, bounds, 26, 25)
+    assert [p + i for p, n in zip(at, times) for i in range(n)] == kept[0].tolist() and len(at) < len(kept[0]) - 150
+    hashes, seen = substrings.rolled(h, 26, 0), []
+    for x, a, n in zip(one.tolist(), since.tolist(), many.tolist()):
+        seen += range(a, a + n)
+        assert all(hashes[i:i + 25].min() == x for i in range(a, a + n))
+    want = [i for a, b in zip(bounds[:-1], bounds[1:]) for i in range(a, b - 49)]
+    assert sorted(seen) == want
+
+
+def compared(spark, monkeypatch, rows):
+    """Rows of the tables that a removal stores; its result is right."""
+    counts, stored = {}, substrings.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(substrings, "stored", counted)
+    got = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    monkeypatch.setattr(substrings, "stored", stored)
+    assert key(core(got)) == key(slow_removal(rows))
+    return counts
+
+
+def test_only_open_windows_are_compared(spark, monkeypatch):
+    base = " ".join(f"w{i}" for i in range(400))
+    counts = compared(spark, monkeypatch, [(1, base), (2, base), (3, base), (4, "a " * 300), (5, "a " * 200)])
+    # windows of copies are known, those of one word said over and over are one
+    assert counts["windows"] == 2 and counts["runs"] == 5
+
+
+def test_common_lines_without_a_window_meet_in_no_join(spark, monkeypatch):
+    line = " ".join(f"w{i}" for i in range(45))
+    rows = [(d, " ".join(f"{line} {' '.join(f'own{d}x{n}y{i}' for i in range(30))}" for n in range(4))) for d in range(12)]
+    counts = compared(spark, monkeypatch, rows)
+    assert counts["nodes"] > 40 and counts["runs"] == 0
+
+
+def test_sources_of_one_id_are_told_apart(spark, monkeypatch):
+    a, b = ([f"{c}{i}" for i in range(90)] for c in "ab")
+    x, y = ([f"{c}{i}" for i in range(40)] for c in "xy")
+    rows = [(1, " ".join([*a, *x])), (1, " ".join([*y, *b])), (2, " ".join([*a, *b])), (3, " ".join([*a, *b, *x]))]
+    compared(spark, monkeypatch, rows)
+
+
 # URL filters
 
 def lower(text):
